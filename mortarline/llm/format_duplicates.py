@@ -46,6 +46,10 @@ def _same_multiset(a: Column, b: Column) -> Column:
     return (F.size(a) == F.size(b)) & F.forall(F.array_distinct(a), lambda x: count(a, x) == count(b, x))
 
 
+def _pairs(field: str) -> Column:
+    return F.transform(F.col(f"_{field}"), lambda p: F.struct(F.lit(field).alias("field"), p.alias("part")))
+
+
 def _fingerprint(parts: Column, seed: int) -> Column:
     mask = F.lit((1 << MODULUS_BITS) - 1)
     return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: (acc + F.xxhash64(F.lit(seed), p["field"], p["part"]).bitwiseAND(mask)).bitwiseAND(mask))
@@ -62,7 +66,7 @@ def duplicate_members(records: DataFrame, key: str, fields: Mapping[str, tuple[s
     for name, (column, parts) in fields.items():
         rows = rows.withColumn(f"_{name}", F.coalesce(parts(F.col(column)), F.array().cast("array<string>")))
     names = [f"_{name}" for name in fields]
-    pairs = F.concat(*[F.transform(F.col(f"_{name}"), lambda p, n=name: F.struct(F.lit(n).alias("field"), p.alias("part"))) for name in fields])
+    pairs = F.concat(*[_pairs(name) for name in fields])
     rows = rows.select(F.col(key).alias("_key"), *names, _fingerprint(pairs, 1).alias("f1"), _fingerprint(pairs, 2).alias("f2"))
     # the smallest record of each fingerprint; a group that holds a third of all rows is combined before the shuffle
     first = rows.groupBy("f1", "f2").agg(F.min(F.struct("_key", *names)).alias("first"))
