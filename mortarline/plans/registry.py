@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mortarline.plans import features_queries
+from mortarline.plans import features_queries, text_queries
 
-MODULES = [features_queries]
+MODULES = [features_queries, text_queries]
 
 
 def queries() -> dict:
