@@ -140,14 +140,19 @@ def lens_stack(rows: DataFrame, names: Sequence[str] = LENSES, sentence: str = "
     d = SPARK
     conf = confidence_rank or {"high": 3, "med": 2, "low": 1}
     ctx = context_rank or {"strong": 3, "moderate": 2, "weak": 1}
+    keep = rows.columns
     rows = rows.withColumn("_s", F.lower(F.col(sentence)))
+    # each lens once per row; what the lenses share is a column of its own
+    rows = rows.withColumns({"_strength": F.expr(context_strength(d, "_s")), "_weight": F.expr(source_weight(d, "'research_paper'"))})
+    for name in names:
+        x = lens(d, name, "_s")
+        rows = rows.withColumn(f"_{name}", F.expr(f"CASE WHEN {x['trigger']} THEN named_struct('event_type', {x['event_type']}, 'raw_outcome', {x['raw_outcome']}, 'confidence', {x['confidence']}, 'tags', {x['tags']}, 'entities', {x['entities']}) END"))
     events = []
     for i, name in enumerate(names):
-        c = lens_columns(d, name, "_s")
-        fields = ", ".join(f"'{k}', {v}" for k, v in c.items())
-        order = f"'o1', -({c['source_weight']}), 'o2', -({d.weights(c['confidence'], conf, 0)}), 'o3', -({d.weights(c['context_strength'], ctx, 0)}), 'o4', {i}"
-        events.append(f"CASE WHEN {lens(d, name, '_s')['trigger']} THEN named_struct({order}, {fields}) END")
-    ordered = F.array_sort(F.array_compact(F.array(*[F.expr(e) for e in events])))
-    keep = [c for c in rows.columns if c != "_s"]
+        e = f"_{name}"
+        order = f"'o1', -_weight, 'o2', -({d.weights(f'{e}.confidence', conf, 0)}), 'o3', -({d.weights('_strength', ctx, 0)}), 'o4', {i}"
+        fields = f"'lens', '{name}', 'event_type', {e}.event_type, 'outcome', {normalized_outcome(d, f'{e}.raw_outcome')}, 'raw_outcome', {e}.raw_outcome, 'confidence', {e}.confidence, 'context_strength', _strength, 'source_weight', _weight, 'tags', {e}.tags, 'entities', {e}.entities"
+        events.append(F.expr(f"CASE WHEN {e} IS NOT NULL THEN named_struct({order}, {fields}) END"))
+    ordered = F.array_sort(F.array_compact(F.array(*events)))
     out = rows.select(*keep, F.posexplode(ordered).alias("p", "e"))
-    return out.select(*keep, (F.col("p") + 1).alias("rank"), *[F.col(f"e.{c}").alias(c) for c in COLUMNS])
+    return out.select(*keep, (F.col("p") + 1).cast("bigint").alias("rank"), *[F.col(f"e.{c}").alias(c) for c in COLUMNS])
