@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mortarline.functions.normalize import alnum_key
+from mortarline.plans.session import checkpointed
 
 CONTAINER_BITS = 15
 #: Low bits of two bytes each; at this many the plain bitmap of 4,096 bytes is as short.
 ARRAY_LIMIT = 2048
+#: Hash buckets per venue in which lines are counted before any bitmap is built.
+BUCKETS = 4096
 
 
 def _high(doc: Column) -> Column:
@@ -34,30 +37,47 @@ def _has(container: Column, low: Column) -> Column:
     return F.coalesce(F.array_contains(container["lows"], low), bit, F.lit(False))
 
 
-def source_lines(pages: DataFrame, page_source: DataFrame) -> DataFrame:
-    """Every line that has a letter, as 128-bit keys of its spelling and of its letters and digits.
+def venue_pages(pages: DataFrame, page_source: DataFrame) -> DataFrame:
+    """chunk_id, doc_id, venue, lines: the pages of sources with a venue, written once.
 
     ``pages``: chunk_id, doc_id, source_id, chunk_text.  ``page_source``:
-    source_id, venue.  Pages without source, of a source without venue, without
-    text or without doc_id give nothing.  line_no counts from 1.
+    source_id, venue.  ``lines`` holds, for each line with a letter, 64-bit keys
+    of its letters and digits (two) and of its spelling, and line_no from 1.
+    Pages without source, of a source without venue or without doc_id are left
+    out; a page without text has no lines.
     """
     venue = page_source.select("source_id", "venue").dropna().dropDuplicates(["source_id"])
-    lines = pages.select("chunk_id", "doc_id", "source_id", F.posexplode(F.split("chunk_text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"\p{L}"))
-    lines = lines.select("chunk_id", "doc_id", "source_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), F.xxhash64("line").alias("spelling"), alnum_key(F.col("line")).alias("key"))
-    lines = lines.where(F.col("key").rlike(r"\p{L}")).withColumn("k1", F.xxhash64("key")).withColumn("k2", F.xxhash64(F.lit(1), "key")).drop("key")
-    return lines.join(venue, "source_id").drop("source_id")
+    numbered = F.transform(F.split("chunk_text", "\n"), lambda x, i: F.struct(x.alias("line"), (i + 1).cast("int").alias("line_no")))
+    lettered = F.filter(numbered, lambda x: x["line"].rlike(r"\p{L}"))
+    keyed = F.transform(lettered, lambda x: F.struct(alnum_key(x["line"]).alias("key"), F.xxhash64(x["line"]).alias("spelling"), x["line_no"].alias("line_no")))
+    hashed = F.transform(keyed, lambda x: F.struct(F.xxhash64(x["key"]).alias("k1"), F.xxhash64(F.lit(1), x["key"]).alias("k2"), x["spelling"].alias("spelling"), x["line_no"].alias("line_no")))
+    rows = pages.where(F.col("doc_id").isNotNull()).select("chunk_id", "doc_id", "source_id", F.coalesce(hashed, F.array().cast("array<struct<k1:bigint,k2:bigint,spelling:bigint,line_no:int>>")).alias("lines"))
+    return checkpointed(rows.join(venue, "source_id").drop("source_id"))
 
 
-def excess_lines(lines: DataFrame, venue_docs: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
+def _exploded(paged: DataFrame) -> DataFrame:
+    return paged.select("chunk_id", "doc_id", "venue", F.explode("lines").alias("l")).select("chunk_id", "doc_id", "venue", "l.*")
+
+
+def excess_lines(paged: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
     """Lines of a venue that stand in at least ``min_docs`` and ``min_share`` of its documents.
 
-    ``venue_docs``: venue, n_docs.  One row per line and container: venue, k1,
-    k2, hi, docs (the container), n (documents of the line over all containers).
+    ``paged`` is the result of venue_pages.  One row per line and container:
+    venue, k1, k2, hi, docs (the container), n (documents of the line over all
+    containers).
     """
+    # distinct documents first: a venue may hold a third of all rows
+    needed = paged.select("venue", "doc_id").distinct().groupBy("venue").agg(F.count("*").alias("n_docs"))
+    needed = needed.select("venue", F.greatest(F.lit(float(min_docs)), F.col("n_docs") * min_share).alias("needed"))
+    lines = _exploded(paged)
+    # a line has at most as many documents as its hash bucket has lines: buckets below the threshold hold no repeated line
+    bucket = F.pmod("k1", F.lit(BUCKETS)).cast("int")
+    full = lines.groupBy("venue", bucket.alias("bucket")).agg(F.count("*").alias("n_lines")).join(needed, "venue").where(F.col("n_lines") >= F.col("needed")).select("venue", "bucket")
+    lines = lines.withColumn("bucket", bucket).join(full, ["venue", "bucket"], "left_semi")
     by_spelling = lines.groupBy("venue", "k1", "k2", "spelling", _high(F.col("doc_id")).alias("hi")).agg(F.collect_set(_low(F.col("doc_id"))).alias("lows"))
     united = by_spelling.select("venue", "k1", "k2", "hi", F.explode("lows").alias("low")).groupBy("venue", "k1", "k2", "hi").agg(F.collect_set("low").alias("lows"))
     total = united.groupBy("venue", "k1", "k2").agg(F.sum(F.size("lows")).alias("n"))
-    total = total.where(F.col("n") >= min_docs).join(venue_docs, "venue").where(F.col("n") >= F.col("n_docs") * min_share).drop("n_docs")
+    total = total.join(needed, "venue").where(F.col("n") >= F.col("needed")).drop("needed")
     kept = united.join(total, ["venue", "k1", "k2"]).select("venue", "k1", "k2", "hi", "n", F.explode("lows").alias("low"))
     # a container is its low bits, or the plain bitmap where that is shorter
     packed = kept.groupBy("venue", "k1", "k2", "hi", "n").agg(F.bitmap_construct_agg(F.col("low").cast("bigint")).alias("bits"), F.collect_set("low").alias("lows"))
@@ -65,24 +85,17 @@ def excess_lines(lines: DataFrame, venue_docs: DataFrame, min_docs: int = 3, min
     return packed.select("venue", "k1", "k2", "hi", F.struct(F.when(~dense, F.col("lows")).alias("lows"), F.when(dense, F.col("bits")).alias("bits")).alias("docs"), "n")
 
 
-def documents_per_venue(pages: DataFrame, page_source: DataFrame) -> DataFrame:
-    """venue, n_docs: distinct documents with pages of each venue."""
-    venue = page_source.select("source_id", "venue").dropna().dropDuplicates(["source_id"])
-    docs = pages.select("source_id", "doc_id").dropna().distinct().join(venue, "source_id").select("venue", "doc_id").distinct()
-    return docs.groupBy("venue").agg(F.count("*").alias("n_docs"))
-
-
 def repeated_lines(pages: DataFrame, page_source: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
     """(chunk_id, line_no, venue, n): lines repeated excessively in their venue.
 
     Ties count: a line in exactly ``min_share`` of the documents is repeated.
     An empty table gives no rows.
     """
-    lines = source_lines(pages, page_source)
-    excess = excess_lines(lines, documents_per_venue(pages, page_source), min_docs, min_share)
+    paged = venue_pages(pages, page_source)
+    excess = excess_lines(paged, min_docs, min_share)
     # bitmap lookup: few lines are repeated that often, AQE broadcasts them if they are small
-    hit = lines.withColumn("hi", _high(F.col("doc_id"))).join(excess, ["venue", "k1", "k2", "hi"])
-    return hit.where(_has(F.col("docs"), _low(F.col("doc_id")))).select("chunk_id", "line_no", "venue", "n")
+    hit = _exploded(paged).withColumn("hi", _high(F.col("doc_id"))).join(excess, ["venue", "k1", "k2", "hi"])
+    return hit.where(_has(F.col("docs"), _low(F.col("doc_id")))).select("chunk_id", F.col("line_no").cast("bigint").alias("line_no"), "venue", "n")
 
 
 def cleaned_pages(pages: DataFrame, page_source: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
