@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mortarline.functions.phrases import DOI_PREFIXES
 
@@ -42,7 +43,7 @@ def author_set(c: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(parts, lambda x: F.lower(F.trim(x))), lambda x: x != ""))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of characters in matching blocks, for pairs that passed the blocking."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
