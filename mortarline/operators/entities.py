@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +35,27 @@ def dictionary_match(sentences: DataFrame, lexicon: DataFrame, key: str, sentenc
     return met.where(exact).drop(sentence).distinct()
 
 
-def _found(kind: str, variant: str, role: str | None, keywords: list[str], s: str = "_s") -> Column:
-    items = [F.when(F.expr(SPARK.one_word(s, k)), F.struct(F.lit(kind).alias("entity_type"), F.lit(k.upper()).alias("entity_name"), F.lit(variant).alias("entity_variant"), F.lit(role).cast("string").alias("role"))) for k in keywords]
-    return F.array_compact(F.array(*items))
+ENTITIES = "array<struct<entity_type:string,entity_name:string,entity_variant:string,role:string>>"
+
+
+def word_pattern(phrase: str) -> str:
+    return r"\b" + re.sub(r"([\\.^$*+?{}\[\]|()])", r"\\\1", phrase) + r"\b"
+
+
+def vocabulary(entries: list[tuple[str, str, str | None, str | None, str, str]]) -> Column:
+    """A constant array of (type, name, variant, role, gate, pattern)."""
+    rows = [F.struct(F.lit(t).alias("entity_type"), F.lit(n).alias("entity_name"), F.lit(v).cast("string").alias("entity_variant"), F.lit(r).cast("string").alias("role"), F.lit(g).alias("gate"), F.lit(p).alias("pattern")) for t, n, v, r, g, p in entries]
+    return F.array(*rows)
+
+
+def standing_in(entries: Column, s: Column) -> Column:
+    """The entries whose gate is part of the text and whose pattern it matches; patterns run only behind their gate."""
+    hits = F.filter(entries, lambda e: F.contains(s, e["gate"]) & F.regexp_like(s, e["pattern"]))
+    return F.transform(hits, lambda e: F.struct(e["entity_type"], e["entity_name"], e["entity_variant"], e["role"]))
+
+
+def _keywords(kind: str, variant: str, role: str | None, keywords: list[str]) -> list[tuple]:
+    return [(kind, k.upper(), variant, role, k, word_pattern(k)) for k in keywords]
 
 
 def model_variant(name: Column) -> Column:
@@ -56,15 +76,12 @@ def _peptides(sentence: Column) -> Column:
     return F.transform(peptide_sequences(sentence), lambda x: F.struct(F.lit("peptide").alias("entity_type"), x.alias("entity_name"), F.lit("sequence").alias("entity_variant"), F.lit("tested").alias("role")))
 
 
-def _models(s: str) -> Column:
-    items = [F.when(F.expr(SPARK.one_word(s, k)), F.struct(F.lit("model").alias("entity_type"), F.lit(k.upper()).alias("entity_name"), F.lit("cell_line" if k in ("hela", "hek293") else "organism").alias("entity_variant"), F.lit(None).cast("string").alias("role"))) for k in P.FALLBACK_MODELS]
-    return F.array_compact(F.array(*items))
-
-
 def one_name_once(entities: Column) -> Column:
     """The first entity of each name, punctuation and case aside, whatever its type."""
-    keep = lambda acc, e: F.when(F.exists(acc, lambda x: name_key(x["entity_name"]) == name_key(e["entity_name"])), acc).otherwise(F.concat(acc, F.array(e)))
-    return F.aggregate(entities, F.array().cast("array<struct<entity_type:string,entity_name:string,entity_variant:string,role:string>>"), keep)
+    # keys are made once and bound by a one-element array, else the lambda would make them again for every element
+    keyed = F.array(F.struct(entities.alias("es"), F.transform(entities, lambda e: name_key(e["entity_name"])).alias("keys")))
+    firsts = F.transform(keyed, lambda b: F.filter(b["es"], lambda e, i: F.array_position(b["keys"], F.get(b["keys"], i)) == i + 1))
+    return F.get(firsts, F.lit(0))
 
 
 def biomedical_entities(sentence: Column, s: str = "_s", compounds: list[str] | None = None, targets: list[str] | None = None) -> Column:
@@ -74,18 +91,17 @@ def biomedical_entities(sentence: Column, s: str = "_s", compounds: list[str] |
     through dictionary_match.  Targets of up to three letters need a word of
     biology in the sentence.
     """
+    text = F.col(s)
     near = F.expr(SPARK.has(s, P.TARGET_CONTEXT_TERMS))
-    short = [t for t in targets or [] if len(t) <= 3]
-    groups = [
-        _found("compound", "small_molecule", "tested", compounds or []) if compounds else None,
-        _found("target", "protein", "target", [t for t in targets or [] if len(t) > 3]) if targets else None,
-        F.when(near, _found("target", "protein", "target", short)).otherwise(F.array().cast("array<struct<entity_type:string,entity_name:string,entity_variant:string,role:string>>")) if short else None,
-        _found("stem_cell", "stem_cell", None, P.STEM_CELL_KEYWORDS),
-        _found("neural_cell", "neural_cell", None, P.NEURAL_CELL_KEYWORDS),
-        _models(s),
-        _peptides(sentence),
-    ]
-    return one_name_once(F.concat(*[g for g in groups if g is not None]))
+    always = [t for t in targets or [] if len(t) > 3]
+    models = [("model", k.upper(), "cell_line" if k in ("hela", "hek293") else "organism", None, k, word_pattern(k)) for k in P.FALLBACK_MODELS]
+    first = vocabulary([*_keywords("compound", "small_molecule", "tested", compounds or []), *_keywords("target", "protein", "target", always)])
+    short = vocabulary(_keywords("target", "protein", "target", [t for t in targets or [] if len(t) <= 3]))
+    rest = vocabulary([*_keywords("stem_cell", "stem_cell", None, P.STEM_CELL_KEYWORDS), *_keywords("neural_cell", "neural_cell", None, P.NEURAL_CELL_KEYWORDS), *models])
+    groups = [standing_in(first, text)] if compounds or always else []
+    if targets and len(always) < len(targets):
+        groups.append(F.when(near, standing_in(short, text)).otherwise(F.array().cast(ENTITIES)))
+    return one_name_once(F.concat(*groups, standing_in(rest, text), _peptides(sentence)))
 
 
 def specific_failures(s: Column) -> Column:
@@ -101,17 +117,13 @@ def construction_entities(s: str = "_s") -> Column:
     """Specific failures first, then the groups of construction terms; a term of several words also matches by all its words."""
     text = F.col(s)
     failures = F.transform(specific_failures(text), lambda x: F.struct(F.lit("failure_mode").alias("entity_type"), x.alias("entity_name"), F.lit(None).cast("string").alias("entity_variant"), F.lit("failure_mode").alias("role")))
-    groups = [failures]
+    entries = []
     for kind, terms in P.CONSTRUCTION_GROUPS.items():
-        items = []
         for t in terms:
             tokens = t.split()
-            hit = SPARK.one_word(s, t)
-            if len(tokens) > 1 and len(t) > 4:
-                hit = f"({hit} OR ({' AND '.join(SPARK.one_word(s, x) for x in tokens)}))"
-            items.append(F.when(F.expr(hit), F.struct(F.lit(kind).alias("entity_type"), F.lit(t.upper()).alias("entity_name"), F.lit(None).cast("string").alias("entity_variant"), F.lit(kind).alias("role"))))
-        groups.append(F.array_compact(F.array(*items)))
-    return one_name_once(F.concat(*groups))
+            spread = "|^(?s)" + "".join(f"(?=.*{word_pattern(x)})" for x in tokens) if len(tokens) > 1 and len(t) > 4 else ""
+            entries.append((kind, t.upper(), None, kind, tokens[0], word_pattern(t) + spread))
+    return one_name_once(F.concat(failures, standing_in(vocabulary(entries), text)))
 
 
 def tag_entities(rows: DataFrame, sentence: str = "sentence", domain: str = "research_domain", compounds: list[str] | None = None, targets: list[str] | None = None) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mortarline.plans import analytic_queries, features_queries, score_queries, text_queries
+from mortarline.plans import analytic_queries, extract_queries, features_queries, score_queries, text_queries
 
-MODULES = [features_queries, text_queries, score_queries, analytic_queries]
+MODULES = [features_queries, text_queries, score_queries, analytic_queries, extract_queries]
 
 
 def queries() -> dict:
