@@ -17,8 +17,8 @@ def nfkc(c: Column) -> Column:
 
 
 def fold_case(c: Column) -> Column:
-    """Case folding: upper then lower, so that sharp s and its capitals agree."""
-    return F.lower(F.upper(c))
+    """Case folding: capitals first, so that all cases of a letter agree; sharp s is ss."""
+    return F.replace(F.lower(F.upper(c)), F.lit("ß"), F.lit("ss"))
 
 
 def alnum_key(c: Column) -> Column:
@@ -39,6 +39,7 @@ def iso_timestamp(c: Column) -> Column:
     s = F.regexp_replace(s, r"(\d),(\d)", "$1.$2")
     s = F.regexp_replace(s, r"([T ][\d:.]+) ?([+-]\d{2}):?(\d{2})?$", "$1$2:$3")
     s = F.regexp_replace(s, r":$", ":00")
+    s = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), s)
     zoned = F.when(s.rlike(r"[T ].*(Z|[+-]\d{2}:\d{2})$"), s).when(s.rlike("[T ]"), F.concat(s, F.lit("Z"))).otherwise(F.concat(s, F.lit("T00:00:00Z")))
     return zoned.try_cast("timestamp")
 
