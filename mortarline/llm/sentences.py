@@ -45,6 +45,8 @@ ABBREVIATIONS = {
 MONTHS = "Januar Jänner Februar März April Mai Juni Juli August September Oktober November Dezember".split()
 
 CLOSERS = "\"'”’“»›)\\]}」』】）》〉"
+#: Without the mark that closes in German and opens in Chinese.
+WIDE_CLOSERS = CLOSERS.replace("“", "")
 OPENERS = "\"'“‘„«‹(\\[{「『【（《〈¿¡"
 _SPACE = r"\s 　"
 _THAI = "฀-๿"
@@ -90,8 +92,8 @@ TABLES: dict[str, list[tuple[bool, str, str]]] = {
         (True, rf"[.!?…]+(?:[{_SPACE}]*»|[{CLOSERS}])*", rf"[{_SPACE}]+[^\w\s ,;:.!?…)»”’\]]"),
     ],
     "wide": [
-        (False, rf"[。！？｡!?…][{CLOSERS}]+", rf"[^\s　{OPENERS}]"),
-        (True, rf"[。！？｡!?…]+[{CLOSERS}]*", r""),
+        (False, rf"[。！？｡!?…][{WIDE_CLOSERS}]+", rf"[^\s　{OPENERS}]"),
+        (True, rf"[。！？｡!?…]+[{WIDE_CLOSERS}]*", r""),
     ],
     "th": [
         (True, rf"[{_THAI}ฯๆ][{CLOSERS}]*", rf"[  \t]+[{OPENERS}]*[{_THAI}]"),
@@ -113,7 +115,7 @@ def _compiled(cascade: str) -> list[tuple[bool, re.Pattern, re.Pattern]]:
 _RULES = {c: _compiled(c) for c in CASCADES}
 _PARAGRAPH = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 #: Every position that may be a boundary: after end marks with what closes them, or between Thai words.
-_MAYBE = re.compile(rf"[.!?…؟۔।॥。！？｡]+(?:[{_SPACE}]*»|[{CLOSERS}])*|(?<=[{_THAI}])(?=[ \t ]+[{OPENERS}]?[{_THAI}])")
+_MAYBE = re.compile(rf"[。！？｡][。！？｡!?…]*[{WIDE_CLOSERS}]*|[.!?…؟۔।॥]+(?:[{_SPACE}]*»|[{CLOSERS}])*|(?<=[{_THAI}])(?=[ \t ]+[{OPENERS}]?[{_THAI}])")
 _BEFORE, _AFTER = 48, 24
 
 
