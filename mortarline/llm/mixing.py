@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mortarline.plans.session import checkpointed
@@ -23,6 +24,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 MAX_SOURCES = 10_000
 MAX_STEPS = 60
 TOLERANCE = 1e-9
+#: Bins of the rounding threshold per source.
+BINS = 4096
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") -> DataFrame:
@@ -126,9 +129,10 @@ def _dual(sizes: DataFrame, states: dict[str, dict]) -> DataFrame:
 def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | None = None, key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """(mix, report): documents with their copies (0 left out), and shares reached.
 
-    A rate is rounded up or down by a hash of the document's key, so that copies
-    have the rate as their mean and never exceed max_repeats.  The report adds to
-    that of balance n_copies, reached (size in the mix) and reached_share.
+    A rate is rounded down, and up for the documents whose hash comes first, as
+    many as bring the source's size to its expected one; copies never exceed
+    max_repeats.  The report adds to that of balance n_copies, reached (size in
+    the mix) and reached_share.
     """
     report, rates = balance(docs, targets, size, total, source)
     if not rates:
@@ -137,9 +141,29 @@ def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | None = No
     rate, mean, cap = (_lookup({s: v[i] for s, v in rates.items()})[F.col(source)] for i in range(3))
     copies = F.when(rate == math.inf, cap).when(rate == -math.inf, 0.0).otherwise(F.least(F.exp(F.least(rate * amount / mean, F.lit(700.0))), cap))
     unit = F.pmod(F.xxhash64(F.lit("copies"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = docs.where(F.col(source).isin(list(rates))).withColumn("rate", copies)
-    chosen = chosen.withColumn("copies", (F.floor("rate") + F.when(unit < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")).where(F.col("copies") > 0)
+    rated = docs.where(F.col(source).isin(list(rates))).withColumn("rate", copies)
+    # a document goes up if its hash lies less than delta above the rate's fraction; with delta 0 the mean is right
+    rated = rated.withColumn("_over", unit - (F.col("rate") - F.floor("rate"))).withColumn("_floor", F.floor("rate"))
+    delta = _rounding(rated.select(F.col(source).alias("source"), amount.alias("size"), "_floor", "_over", "rate"))
+    shift = F.coalesce(_lookup(delta)[F.col(source)], F.lit(0.0)) if delta else F.lit(0.0)
+    up = F.when((F.col("_over") < shift) & (F.col("rate") > F.col("_floor")), 1).otherwise(0)
+    chosen = rated.withColumn("copies", (F.col("_floor") + up).cast("int")).where(F.col("copies") > 0).drop("_over", "_floor")
     reached = chosen.groupBy(F.col(source).alias("source")).agg(F.sum("copies").alias("n_copies"), F.sum(F.col("copies") * amount).alias("reached"))
     out = report.join(F.broadcast(reached), "source", "left").fillna(0, ["n_copies", "reached"])  # reached: one row per listed source
     whole = reached.agg(F.sum("reached").alias("whole"))
-    return chosen, out.withColumn("reached_share", F.col("reached") / whole.scalar())
+    return chosen, out.withColumn("reached_share", F.try_divide(F.col("reached"), whole.scalar()))
+
+
+def _rounding(rated: DataFrame) -> dict[str, float]:
+    """By source, the shift of the rounding threshold that brings the rounded size next to the expected one.
+
+    Sizes are added up in BINS bins of how far a document's hash lies over its
+    fraction; running sums over a source's bins give the last bin to round up.
+    """
+    bins = F.floor((F.col("_over") + 1.0) * (BINS / 2))
+    rows = rated.groupBy("source", F.when(F.col("rate") > F.col("_floor"), bins).otherwise(F.lit(-1)).alias("bin"))
+    rows = rows.agg(F.sum(F.col("size") * F.col("rate")).alias("wanted"), F.sum(F.col("size") * F.col("_floor")).alias("down"), F.sum(F.when(F.col("rate") > F.col("_floor"), F.col("size")).otherwise(0.0)).alias("extra"))
+    whole = W.partitionBy("source")
+    rows = rows.withColumn("lack", F.sum("wanted").over(whole) - F.sum("down").over(whole)).withColumn("sum", F.sum("extra").over(whole.orderBy("bin")))
+    best = rows.where("bin >= 0").groupBy("source").agg(F.min_by("bin", F.abs(F.col("sum") - F.col("lack"))).alias("bin"))
+    return {s: (b + 1) / (BINS / 2) - 1.0 for s, b in best.collect()}

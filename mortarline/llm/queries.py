@@ -16,7 +16,7 @@ from mortarline.llm.repeated_lines import cleaned_pages, repeated_lines
 from mortarline.llm.scan_repair import found_noise, repaired_paragraphs
 from mortarline.llm.sentences import split_sentences
 from mortarline.llm.splitting import split_items, split_oversized
-from mortarline.plans.session import table
+from mortarline.plans.session import checkpointed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,14 +85,19 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return report.where("not feasible").select("source")
 
 
+def _sized_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with their tokens, counted once."""
+    counted = token_counts(table(spark, d, "documents").select("doc_id", "source", "text"))
+    return checkpointed(counted.select("doc_id", "source", "n_tokens"))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    chosen, _ = mix(token_counts(table(spark, d, "documents").select("doc_id", "source", "text")), table(spark, d, "mix_targets"), "n_tokens")
+    chosen, _ = mix(_sized_documents(spark, d), table(spark, d, "mix_targets"), "n_tokens")
     return chosen.select("doc_id", "source", "n_tokens", "copies")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    _, report = mix(token_counts(table(spark, d, "documents").select("doc_id", "source", "text")), table(spark, d, "mix_targets"), "n_tokens")
-    return report
+    return mix(_sized_documents(spark, d), table(spark, d, "mix_targets"), "n_tokens")[1]
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
