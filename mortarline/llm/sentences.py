@@ -109,14 +109,28 @@ CASCADES = {
 
 
 def _compiled(cascade: str) -> list[tuple[bool, re.Pattern, re.Pattern]]:
-    return [(brk, re.compile(rf"(?:{before})\Z"), re.compile(after)) for t in CASCADES[cascade] for brk, before, after in TABLES[t]]
+    """A cascade ready to run: neighbours with the same decision are tried as one where what follows is the same."""
+    rules = [r for t in CASCADES[cascade] for r in TABLES[t]]
+    out: list[tuple[bool, re.Pattern, re.Pattern]] = []
+    i = 0
+    while i < len(rules):
+        j = i
+        while j < len(rules) and rules[j][0] == rules[i][0]:
+            j += 1
+        by_after: dict[str, list[str]] = {}
+        for _, before, after in rules[i:j]:
+            by_after.setdefault(after, []).append(before)
+        out += [(rules[i][0], re.compile(rf"(?:{'|'.join(f'(?:{x})' for x in before)})\Z"), re.compile(after)) for after, before in by_after.items()]
+        i = j
+    return out
 
 
 _RULES = {c: _compiled(c) for c in CASCADES}
 _PARAGRAPH = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 #: Every position that may be a boundary: after end marks with what closes them, or between Thai words.
 _MAYBE = re.compile(rf"[。！？｡][。！？｡!?…]*[{WIDE_CLOSERS}]*|[.!?…؟۔।॥]+(?:[{_SPACE}]*»|[{CLOSERS}])*|(?<=[{_THAI}])(?=[ \t ]+[{OPENERS}]?[{_THAI}])")
-_BEFORE, _AFTER = 48, 24
+_BEFORE, _AFTER = 32, 24
+_SMALL = re.compile(rf"[{_SPACE}]+[a-zß-öø-ÿ](?![A-Z]|[a-z][A-Z])")
 
 
 def _cascade(text: str, at: int, mark: str) -> str:
@@ -146,6 +160,8 @@ def _decide(text: str, start: int, at: int, end: int, mark: str) -> bool:
     if cascade == "wide" and mark[-1] in "。！？｡!?…" and _in_quote(text, start, at, end):
         return False
     before, after = text[max(start, at - _BEFORE) : at], text[at : min(end, at + _AFTER)]
+    if cascade == "cased" and _SMALL.match(after):
+        return False  # no rule breaks before a word in small letters
     for brk, b, a in _RULES[cascade]:
         if a.match(after) and b.search(before):
             return brk

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ PENALTIES = (0.0, 1.0, 4.0, 16.0)
 
 _BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 _WORD = re.compile(r"\S+")
+_SPACE = re.compile(r"\s")
 
 
 def _paragraphs(text: str) -> list[tuple[int, int]]:
@@ -64,7 +66,7 @@ def _overlap_start(text: str, cut: int, overlap: int, floor: int) -> int:
     if at >= cut or at <= 0:
         return max(min(at, cut), 0)
     if not (text[at - 1].isspace() or text[at].isspace()):
-        found = re.compile(r"\s").search(text, at, cut)
+        found = _SPACE.search(text, at, cut)
         if not found:
             return at
         at = found.start()
@@ -103,20 +105,25 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[s
     positions = sorted(ranks)
     starts = [_overlap_start(text, p, overlap, 0) for p in positions]
     even = n / max(1, -(-(n - overlap) // room))
-    best: list[tuple[float, int]] = []
+    pos, start = np.array(positions), np.array(starts)
+    penalty = np.array([PENALTIES[ranks[p]] for p in positions])
+    cost, back = np.full(len(pos), np.inf), np.full(len(pos), -1)
     first = 0
     for j, p in enumerate(positions):
-        cost, back = (float("inf"), -1) if p > limit else (((p - even) / room) ** 2, -1)
+        if p <= limit:
+            cost[j] = ((p - even) / room) ** 2
         while first < j and p - starts[first] > limit:
             first += 1
-        for i in range(first, j):
-            c = best[i][0] + PENALTIES[ranks[positions[i]]] + ((p - positions[i] - even) / room) ** 2
-            if p - starts[i] <= limit and c < cost:
-                cost, back = c, i
-        best.append((cost, back))
+        if first < j:
+            # starts grow with their cuts, so the pieces that fit end at the cuts from ``first`` on
+            c = cost[first:j] + penalty[first:j] + ((p - pos[first:j] - even) / room) ** 2
+            c[p - start[first:j] > limit] = np.inf
+            i = int(c.argmin())
+            if c[i] < cost[j]:
+                cost[j], back[j] = c[i], first + i
     pieces, j = [], len(positions) - 1
     while j >= 0:
-        i = best[j][1]
+        i = int(back[j])
         pieces.append((starts[i] if i >= 0 else 0, positions[j]))
         j = i
     return kind, pieces[::-1]
