@@ -2,8 +2,8 @@
 
 Events are combined to (entity, type, outcome) totals before anything moves by
 entity, so an entity that holds a third of all rows sends at most one narrow row
-per type and outcome.  One grouped pass with conditional sums and maxima over a
-fixed type list then lays the totals out as columns.
+per type and outcome.  One grouped pass with conditional counts and maxima makes
+these totals; a fixed type list lays them out as columns.
 """
 
 from __future__ import annotations
@@ -79,11 +79,11 @@ def entity_features(pairs: DataFrame, types: Sequence[str], as_of: Column | None
     kind = F.when(F.col("event_type").isin(*types), F.col("event_type")).otherwise("other_types")
     stats = ["n", "last", *outcomes]
     cells = pairs.groupBy("entity_id", kind.alias("kind")).agg(F.count("*").alias("n"), F.max("ts").alias("last"), *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes])
-    # every column list below is one wide row of the entity: lay it out only where all of its cells are
-    cells = cells.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity_id")
-    wide = cells.groupBy("entity_id").pivot("kind", kinds).agg(*[F.max(x).alias(x) for x in stats])
-    wide = wide.toDF("entity_id", *[_name(t, x) for t in kinds for x in stats])
-    wide = wide.fillna(0, [_name(t, x) for t in kinds for x in stats if x != "last"])
+    # at most one narrow cell per type and entity is left: put them side by side, then lay them out as columns
+    cells = cells.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct(*stats)))).alias("_m"))
+    cell = lambda t, x: f"try_element_at(_m, {_quoted(t)}).{x}"
+    columns = [f"{cell(t, x)} as `{_name(t, x)}`" if x == "last" else f"coalesce({cell(t, x)}, 0L) as `{_name(t, x)}`" for t in kinds for x in stats]
+    wide = cells.selectExpr("entity_id", *columns)
     if as_of is None:
         return wide
     since = {_name(t, "days_since"): (F.unix_micros(as_of) - F.unix_micros(F.col(_name(t, "last")))) / F.lit(86_400_000_000.0) for t in types}
