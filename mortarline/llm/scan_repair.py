@@ -19,13 +19,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mortarline.llm.char_editor import LINE_MARKS, MAX_WORDS, STRAYS, CharEditor
+from mortarline.llm.char_editor import LINE_MARKS, MAX_WORDS, MISREADINGS, STRAYS, CharEditor
 from mortarline.llm.repeated_lines import excess_lines, venue_pages
 from mortarline.plans.session import checkpointed
 
 EDGE_LINES = 3
 HEADER_PAGES = 2
 MIN_COUNT = 3
+#: A word of scanned pages alone is a misreading if a single one parts it from a word so many times as frequent.
+MISREAD_RATIO = 20
 LONGEST_LINE = 110
 
 _TOKEN = re.compile(rf"[^\W_]+(?:[{re.escape(STRAYS)}'’-]+[^\W_]+)*[{re.escape(STRAYS)}]*|[{re.escape(STRAYS)}]+[^\W_]+")
@@ -112,12 +114,42 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("d").alias("n_digital"), F.sum("s").alias("n_scanned"))
 
 
+#: Letters for letters that a scanner takes for each other, in both directions.
+_SWAPS = sorted({p for a, b in MISREADINGS if (a + b).isalpha() and (a + b).islower() for p in ((a, b), (b, a))})
+
+
+def printed_forms(word: str) -> set[str]:
+    """The words of which ``word`` may be a single misreading in letters alone."""
+    return {word[: m.start()] + a + word[m.start() + len(b) :] for a, b in _SWAPS for m in re.finditer(f"(?={b})", word)}
+
+
+def sound_words(counts: DataFrame) -> DataFrame:
+    """The rows of word_counts whose word is no misreading.
+
+    Words of born-digital pages count from the second time on.  A word of scanned
+    pages alone may be as frequent as it likes in a large corpus: it counts only
+    if no word that it may be a misreading of is MISREAD_RATIO times as frequent.
+    (A least share of the words would make the parts of broken words unknown.)
+    """
+    alone = counts.where((F.col("n_digital") < 2) & (F.col("n_scanned") >= 10 * MIN_COUNT))
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(w, n, f) for w, n in zip(*(c.to_pylist() for c in batch.columns), strict=True) for f in sorted(printed_forms(w))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*pairs, strict=True)) or [()] * 3, (pa.string(), pa.int64(), pa.string()), strict=True)], ["word", "n", "form"])
+
+    printed = counts.select(F.col("word").alias("form"), (F.col("n_digital") + F.col("n_scanned")).alias("n_form"))
+    pairs = alone.select("word", F.col("n_digital") + F.col("n_scanned")).mapInArrow(forms, "word string, n bigint, form string")
+    misread = pairs.join(printed, "form").where(F.col("n_form") >= MISREAD_RATIO * F.col("n")).select("word").distinct()
+    return counts.where("n_digital >= 2").unionByName(alone.join(misread, "word", "left_anti"))
+
+
 def train_editor(pages: DataFrame, max_words: int = MAX_WORDS) -> CharEditor:
-    """An editor trained on the corpus's ``max_words`` most frequent words (a bounded sample; the counts cover all pages).
+    """An editor trained on the corpus's ``max_words`` most frequent sound words (a bounded sample; the counts cover all pages).
 
     Words of born-digital pages go first, as scanners did not touch them.
     """
-    counts = word_counts(pages).where((F.col("n_digital") >= 2) | (F.col("n_scanned") >= 10 * MIN_COUNT))
+    counts = sound_words(checkpointed(word_counts(pages)))
     top = counts.orderBy(F.desc(F.col("n_digital") * 10 + F.col("n_scanned")), "word").limit(max_words).collect()
     return CharEditor([r["word"] for r in top])
 

@@ -140,6 +140,31 @@ def test_found_noise(spark, editor):
     assert " concrete " in text[1] and "¬" not in text[1] and "Title" not in text[1] and "venue" not in text[1]
 
 
+@pytest.mark.parametrize("size", [1, 20])
+def test_misreadings_stay_unknown_at_any_size(spark, size):
+    """Misread words are as unknown, and found as often, in a corpus of twenty times the rows."""
+    rng = random.Random(8)
+    words = [w for w in WORDS if len(w) > 5 and "-" not in w]
+    pages = [(f"d{k}", k, f"s{k}", 1, " ".join(rng.choices(words, k=200))) for k in range(20)]
+    bad = {"moisture": "moisfure", "concrete": "concrcte", "thermal": "therrnal", "strength": "sfrength"}
+    for k in range(20, 60):
+        lines = [rng.choices(words, k=7) for _ in range(30)]
+        lines[k % 30][3] = bad[rng.choice(list(bad))]
+        lines[5][2], lines[9][4] = "tells", "tells"  # sound, though on scanned pages alone
+        pages.append((f"c{k}", k, f"s{k}", 1, "\n".join(map(" ".join, lines))))
+    chunks = spark.createDataFrame([(f"{c}-{i}", d * 100 + i, s, p, t) for c, d, s, p, t in pages for i in range(size)], "chunk_id string, doc_id long, source_id string, page_number int, chunk_text string")
+    editor = R.train_editor(chunks)
+    assert not editor.lexicon & set(bad.values()) and "tells" in editor.lexicon
+    sources = spark.createDataFrame([(f"s{k}", f"V{k}") for k in range(60)], "source_id string, venue string")
+    got = R.judged_lines(R.scanned_with_venue_lines(chunks, sources).withColumn("venue_lines", F.lit(None).cast("array<bigint>")), editor).where("what = 'ocr'")
+    assert {(r["chunk_id"], r["line_no"]) for r in got.collect()} == {(f"c{k}-{i}", k % 30 + 1) for k in range(20, 60) for i in range(size)}
+
+
+def test_printed_forms():
+    assert {"percent"} <= R.printed_forms("percerit") & R.printed_forms("percenf") and "diurnal" in R.printed_forms("diiirnal")
+    assert "chloride" in R.printed_forms("chlonde") and not R.printed_forms("x")
+
+
 def test_scanned_page_column_agrees(spark):
     texts = ["a b c d e f g h i j k l m n o\n" * 6, "one line only", "", None, "short\nlines\nhere", "Para one is a line of prose without breaks.\n\nPara two.", "1\t2\n" * 9]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
