@@ -4,15 +4,20 @@ For every character of a word it predicts to keep it, to delete it, to replace
 it, or to insert something after it; for a mark at the end of a line it predicts
 whether the line's last word is joined to the next line and the mark dropped.
 It is trained on a bounded list of the corpus's own words, to which the misreadings
-of scanners are applied.
+of scanners are applied; what is a word is judged by all of the corpus's words.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Container, Iterable, Sequence
+
+import numpy as np
+import xxhash
 
 #: The most frequent words of the corpus that an editor is trained on, and their longest form.
 MAX_WORDS = 8000
@@ -127,10 +132,27 @@ def _dropped(word: str, rng: random.Random) -> tuple[str, list[str]] | None:
     return word[:i] + word[i + 1 :], [KEEP] * (i - 1) + [f"I{word[i]}"] + [KEEP] * (len(word) - i - 1)
 
 
+class HashedWords:
+    """A list of words of any length as sorted hashes, 8 bytes a word, those that Spark's xxhash64 gives."""
+
+    def __init__(self, hashes: Sequence[int]) -> None:
+        self.hashes = array("q")
+        self.hashes.frombytes(np.sort(np.asarray(hashes, np.int64)).tobytes())
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def __contains__(self, word: str) -> bool:
+        h = xxhash.xxh64_intdigest(word.encode(), 42)
+        h -= (h >> 63) << 64
+        i = bisect_left(self.hashes, h)
+        return i < len(self.hashes) and self.hashes[i] == h
+
+
 class CharEditor:
-    """The trained editor with the word list that bounds it."""
+    """The trained editor with the word list by which it judges: the words of its training, or more."""
 
-    def __init__(self, lexicon: Iterable[str], seed: int = 7) -> None:
+    def __init__(self, lexicon: Iterable[str], seed: int = 7, known: Container[str] | None = None) -> None:
         words = [w for w in dict.fromkeys(lexicon) if 1 < len(w) <= MAX_LETTERS][:MAX_WORDS]
         self.lexicon = frozenset(words) | {x for w in words if "-" in w for x in w.split("-") if len(x) > 1}
         self.chars, self.joins = Perceptron(), Perceptron()
@@ -155,6 +177,8 @@ class CharEditor:
                 self.joins.learn(self._join_features(left, ""), truth)
         self.chars.average()
         self.joins.average()
+        if known is not None:
+            self.lexicon = known
 
     def _join_features(self, left: str, right: str) -> list[str]:
         last = re.split("-", left)[-1]

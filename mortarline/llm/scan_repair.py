@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mortarline.llm.char_editor import LINE_MARKS, MAX_WORDS, MISREADINGS, STRAYS, CharEditor
+from mortarline.llm.char_editor import LINE_MARKS, MAX_WORDS, MISREADINGS, STRAYS, CharEditor, HashedWords
 from mortarline.llm.repeated_lines import excess_lines, venue_pages
 from mortarline.plans.session import checkpointed
 
@@ -145,13 +145,16 @@ def sound_words(counts: DataFrame) -> DataFrame:
 
 
 def train_editor(pages: DataFrame, max_words: int = MAX_WORDS) -> CharEditor:
-    """An editor trained on the corpus's ``max_words`` most frequent sound words (a bounded sample; the counts cover all pages).
+    """An editor trained on the corpus's ``max_words`` most frequent sound words, judging by all of them.
 
-    Words of born-digital pages go first, as scanners did not touch them.
+    Words of born-digital pages go first, as scanners did not touch them.  Only
+    the training is a bounded sample; beyond it all sound words are known by hash.
     """
-    counts = sound_words(checkpointed(word_counts(pages)))
+    counts = checkpointed(sound_words(checkpointed(word_counts(pages))).where(F.length("word") > 1))
     top = counts.orderBy(F.desc(F.col("n_digital") * 10 + F.col("n_scanned")), "word").limit(max_words).collect()
-    return CharEditor([r["word"] for r in top])
+    words = counts.select("word").unionByName(counts.where("contains(word, '-')").select(F.explode(F.split("word", "-")).alias("word")).where(F.length("word") > 1))
+    hashes = words.select(F.xxhash64("word").alias("h")).distinct().toArrow()["h"]
+    return CharEditor([r["word"] for r in top], known=HashedWords(hashes.to_numpy()))
 
 
 def _line_key(line: str) -> int:
