@@ -16,6 +16,12 @@ def _escaped(phrase: str) -> str:
     return re.sub(r"([\\.^$*+?{}\[\]|()])", r"\\\1", phrase)
 
 
+def _shortest(phrases: Sequence[str]) -> list[str]:
+    """The phrases without those that hold another one of them: a text with such a one has the other as well."""
+    distinct = list(dict.fromkeys(phrases))
+    return [p for p in distinct if not any(q != p and q in p for q in distinct)]
+
+
 @dataclass(frozen=True)
 class Dialect:
     """SQL text for one engine."""
@@ -37,12 +43,18 @@ class Dialect:
         return f"({s} RLIKE {self.text(pattern)})" if self.spark else f"regexp_matches({s}, {self.text(pattern)})"
 
     def word(self, s: str, phrases: Iterable[str]) -> str:
-        """Whether any phrase stands in the text between word boundaries."""
-        return self.matches(s, r"\b(?:" + "|".join(map(_escaped, phrases)) + r")\b")
+        """Whether any phrase stands in the text between word boundaries.
+
+        In Spark plain searches go before the pattern: most sentences have none of
+        the phrases, and a search for a few bytes costs a tenth of the pattern.
+        """
+        phrases = list(phrases)
+        found = self.matches(s, r"\b(?:" + "|".join(map(_escaped, phrases)) + r")\b")
+        return f"({self.has(s, _shortest(phrases))} AND {found})" if self.spark else found
 
     def one_word(self, s: str, phrase: str) -> str:
-        """As word, for one phrase; a plain search goes before the pattern."""
-        return f"(contains({s}, {self.text(phrase)}) AND {self.word(s, [phrase])})"
+        """As word, for one phrase."""
+        return self.word(s, [phrase]) if self.spark else f"(contains({s}, {self.text(phrase)}) AND {self.word(s, [phrase])})"
 
     def has(self, s: str, phrases: Iterable[str]) -> str:
         """Whether any phrase is part of the text."""

@@ -94,6 +94,8 @@ UNIT_PATTERNS = [
     r"\bmpa\b", r"\bkpa\b", r"\bgpa\b", r"\bkn\b", r"\bmn\b", r"\bmm\b", r"\bcm\b", r"\bft\b", r"\bw/m2k\b", r"\bw/m·k\b", r"\bw/mk\b",
     r"\bwh\b", r"\bkwh\b", r"\bkw\b", r"\bpa\b", r"\bppm\b", r"\d%(?:\s|$)", r"\bpercent\b", r"\w°c\b", r"\bdegc\b", r"\w°f\b",
 ]
+#: Of each unit pattern a part that a text with the unit has.
+UNIT_PARTS = ["pa", "kn", "mn", "mm", "cm", "ft", "w/m", "wh", "kw", "ppm", "%", "percent", "°c", "degc", "°f"]
 OUTCOME_BUCKETS = {"improved": "positive", "successful": "positive", "pass": "positive", "positive": "positive", "degraded": "negative", "failed": "negative", "fail": "negative", "negative": "negative", "neutral": "neutral", "mixed": "neutral", "mixed_hazard": "neutral", "stable": "neutral", "unknown": "unknown"}
 SOURCE_WEIGHTS = {"reddit": 0.25, "forum": 0.35, "social_post": 0.35, "blog": 0.55, "news": 0.65, "industry_article": 0.75, "technical_report": 0.85, "research_paper": 0.9, "standard": 1.0, "code_standard": 1.0}
 STRONG_RESULT_TERMS = ["improved", "enhanced", "higher", "reduced", "lower", "decreased", "failed", "collapse", "non-compliant", "complies", "meets", "worsened", "exacerbated"]

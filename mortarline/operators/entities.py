@@ -10,29 +10,34 @@ from pyspark.sql import functions as F
 from mortarline.functions import phrases as P
 from mortarline.functions.dialect import SPARK
 
-MAX_WORDS = 6
-
-
 def name_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(c)), r"[\s\-_,.;:]+", "")
 
 
-def dictionary_match(sentences: DataFrame, lexicon: DataFrame, key: str, sentence: str = "sentence", max_words: int = MAX_WORDS) -> DataFrame:
+def _words(c: Column) -> Column:
+    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def dictionary_match(sentences: DataFrame, lexicon: DataFrame, key: str, sentence: str = "sentence") -> DataFrame:
     """(key, term, …lexicon columns): the terms that stand in a sentence between non-letters.
 
-    Sentences are cut into runs of up to ``max_words`` words that meet the lexicon
-    in an equi-join; only what meets is held against the exact boundary pattern.
-    Each pair is returned once.  Terms of more words are matched by their first
-    ``max_words`` words and then verified as a whole.
+    The distinct words of the sentences meet the longest word of each term in an
+    equi-join that carries keys alone, so a lexicon of any size is no broadcast.
+    A term of one word is thereby found; terms of several words are looked up
+    once more in the text of the sentences that have their word.  Each pair is
+    returned once; terms without a letter or digit, and null texts, match nothing.
     """
-    words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    rows = sentences.select(key, sentence).where(F.col(sentence).isNotNull()).withColumn("_w", words(F.col(sentence)))
-    runs = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(max_words)), lambda n: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size("_w"), F.lit(1))), lambda i: i + n - 1 <= F.size("_w")), lambda i: F.array_join(F.slice("_w", i, n), " ")))))
-    grams = rows.select(key, sentence, F.explode(runs).alias("_gram"))
-    terms = lexicon.where(F.col("term").isNotNull() & (F.trim("term") != "")).withColumn("_gram", F.array_join(F.slice(words(F.col("term")), 1, max_words), " "))
-    met = grams.join(terms, "_gram").drop("_gram")
-    exact = F.expr(f"lower(`{sentence}`) RLIKE concat('(?<![\\\\p{{L}}\\\\p{{N}}])\\\\Q', lower(term), '\\\\E(?![\\\\p{{L}}\\\\p{{N}}])')")
-    return met.where(exact).drop(sentence).distinct()
+    rows = sentences.select(key, sentence).where(F.col(sentence).isNotNull())
+    words = rows.select(key, F.explode(F.array_distinct(_words(F.col(sentence)))).alias("_word"))
+    terms = lexicon.where(F.col("term").isNotNull()).withColumn("_ws", _words(F.col("term"))).where(F.size("_ws") > 0)
+    longest = F.element_at(F.array_sort(F.transform("_ws", lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), 1)["w"]
+    terms = terms.withColumn("_word", longest).withColumn("_alone", F.lower("term") == longest).drop("_ws")
+    met = words.join(terms, "_word").drop("_word")
+    alone = met.where("_alone").drop("_alone")
+    inside = met.where("not _alone").drop("_alone").join(rows, key)
+    low = F.lower(F.col(sentence))
+    exact = F.contains(low, F.lower("term")) & F.expr(f"lower(`{sentence}`) RLIKE concat('(?<![\\\\p{{L}}\\\\p{{N}}])\\\\Q', lower(term), '\\\\E(?![\\\\p{{L}}\\\\p{{N}}])')")
+    return alone.unionByName(inside.where(exact).drop(sentence)).distinct()
 
 
 ENTITIES = "array<struct<entity_type:string,entity_name:string,entity_variant:string,role:string>>"
@@ -42,16 +47,16 @@ def word_pattern(phrase: str) -> str:
     return r"\b" + re.sub(r"([\\.^$*+?{}\[\]|()])", r"\\\1", phrase) + r"\b"
 
 
-def vocabulary(entries: list[tuple[str, str, str | None, str | None, str, str]]) -> Column:
-    """A constant array of (type, name, variant, role, gate, pattern)."""
-    rows = [F.struct(F.lit(t).alias("entity_type"), F.lit(n).alias("entity_name"), F.lit(v).cast("string").alias("entity_variant"), F.lit(r).cast("string").alias("role"), F.lit(g).alias("gate"), F.lit(p).alias("pattern")) for t, n, v, r, g, p in entries]
-    return F.array(*rows)
+Entry = tuple[str, str, str | None, str | None, str, str]
+
 
+def standing_in(entries: list[Entry], s: Column) -> Column:
+    """The entries (type, name, variant, role, gate, pattern) whose gate is part of the text and whose pattern it matches.
 
-def standing_in(entries: Column, s: Column) -> Column:
-    """The entries whose gate is part of the text and whose pattern it matches; patterns run only behind their gate."""
-    hits = F.filter(entries, lambda e: F.contains(s, e["gate"]) & F.regexp_like(s, e["pattern"]))
-    return F.transform(hits, lambda e: F.struct(e["entity_type"], e["entity_name"], e["entity_variant"], e["role"]))
+    Patterns are constants, compiled once, and run only behind their gate.
+    """
+    struct = lambda t, n, v, r: F.struct(F.lit(t).alias("entity_type"), F.lit(n).alias("entity_name"), F.lit(v).cast("string").alias("entity_variant"), F.lit(r).cast("string").alias("role"))
+    return F.array_compact(F.array(*[F.when(F.contains(s, F.lit(gate)) & s.rlike(pattern), struct(t, n, v, r)) for t, n, v, r, gate, pattern in entries]))
 
 
 def _keywords(kind: str, variant: str, role: str | None, keywords: list[str]) -> list[tuple]:
@@ -95,9 +100,9 @@ def biomedical_entities(sentence: Column, s: str = "_s", compounds: list[str] |
     near = F.expr(SPARK.has(s, P.TARGET_CONTEXT_TERMS))
     always = [t for t in targets or [] if len(t) > 3]
     models = [("model", k.upper(), "cell_line" if k in ("hela", "hek293") else "organism", None, k, word_pattern(k)) for k in P.FALLBACK_MODELS]
-    first = vocabulary([*_keywords("compound", "small_molecule", "tested", compounds or []), *_keywords("target", "protein", "target", always)])
-    short = vocabulary(_keywords("target", "protein", "target", [t for t in targets or [] if len(t) <= 3]))
-    rest = vocabulary([*_keywords("stem_cell", "stem_cell", None, P.STEM_CELL_KEYWORDS), *_keywords("neural_cell", "neural_cell", None, P.NEURAL_CELL_KEYWORDS), *models])
+    first = [*_keywords("compound", "small_molecule", "tested", compounds or []), *_keywords("target", "protein", "target", always)]
+    short = _keywords("target", "protein", "target", [t for t in targets or [] if len(t) <= 3])
+    rest = [*_keywords("stem_cell", "stem_cell", None, P.STEM_CELL_KEYWORDS), *_keywords("neural_cell", "neural_cell", None, P.NEURAL_CELL_KEYWORDS), *models]
     groups = [standing_in(first, text)] if compounds or always else []
     if targets and len(always) < len(targets):
         groups.append(F.when(near, standing_in(short, text)).otherwise(F.array().cast(ENTITIES)))
@@ -123,7 +128,7 @@ def construction_entities(s: str = "_s") -> Column:
             tokens = t.split()
             spread = "|^(?s)" + "".join(f"(?=.*{word_pattern(x)})" for x in tokens) if len(tokens) > 1 and len(t) > 4 else ""
             entries.append((kind, t.upper(), None, kind, tokens[0], word_pattern(t) + spread))
-    return one_name_once(F.concat(failures, standing_in(vocabulary(entries), text)))
+    return one_name_once(F.concat(failures, standing_in(entries, text)))
 
 
 def tag_entities(rows: DataFrame, sentence: str = "sentence", domain: str = "research_domain", compounds: list[str] | None = None, targets: list[str] | None = None) -> DataFrame:

@@ -79,10 +79,8 @@ def ontology_stage(s: str, ontology: Mapping[str, Sequence[str]]) -> Column:
                 rows.append((kind, t, "abbreviation", 0.6, short, word_pattern(short)))
     if not rows:
         return _none()
-    entries = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(t).alias("t"), F.lit(v).alias("v"), F.lit(c).alias("c"), F.lit(g).alias("g"), F.lit(p).alias("p")) for k, t, v, c, g, p in rows])
     text = F.col(s)
-    hits = F.filter(entries, lambda e: F.contains(text, e["g"]) & F.regexp_like(text, e["p"]))
-    return F.transform(hits, lambda e: F.struct(e["k"].alias("entity_type"), e["t"].alias("entity_name"), e["v"].alias("entity_variant"), e["c"].alias("confidence"), e["v"].alias("source")))
+    return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(gate)) & text.rlike(pattern), _entity(F.lit(kind), F.lit(term), F.lit(via), score, via)) for kind, term, via, score, gate, pattern in rows]))
 
 
 def context_stage(s: str, field: str) -> Column:

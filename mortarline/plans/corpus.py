@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mortarline.functions.dialect import SPARK, Dialect
-from mortarline.plans.session import table
+from mortarline.plans.session import spread, table
 
 SUBJECTS = ["Quercetin", "The EGFR receptor", "Concrete specimens", "The steel beam", "Fly ash concrete", "mTOR signaling", "The wall assembly", "Peptide ACDEFGHIK", "Microglia", "The HEK293 cell line", "Brick masonry"]
 FINDINGS = [
@@ -44,7 +44,7 @@ def columns(d: Dialect) -> list[str]:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*columns(SPARK))
+    return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")).selectExpr(*columns(SPARK))
 
 
 def corpus_sql(d: Dialect) -> str:
