@@ -175,4 +175,4 @@ def classify(rows: DataFrame, sentence: str = "sentence", has_entity: str = "has
 def explode_sentences(pages: DataFrame, text: str) -> DataFrame:
     """One row per sentence with position from 0; null and empty texts give none."""
     rest = [c for c in pages.columns if c != text]
-    return pages.select(*rest, F.posexplode(F.expr(sentences(SPARK, f"`{text}`"))).alias("position", "sentence"))
+    return pages.select(*rest, F.posexplode_outer(F.expr(sentences(SPARK, f"`{text}`"))).alias("position", "sentence")).where("sentence is not null")

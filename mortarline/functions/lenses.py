@@ -184,5 +184,5 @@ def lens_stack(rows: DataFrame, names: Sequence[str] = LENSES, sentence: str = "
         fields = f"'lens', '{name}', 'event_type', {e}.event_type, 'outcome', {normalized_outcome(d, f'{e}.raw_outcome')}, 'raw_outcome', {e}.raw_outcome, 'confidence', {e}.confidence, 'context_strength', _strength, 'source_weight', _weight, 'tags', {e}.tags, 'entities', {e}.entities"
         events.append(F.expr(f"CASE WHEN {e} IS NOT NULL THEN named_struct({order}, {fields}) END"))
     ordered = F.array_sort(F.array_compact(F.array(*events)))
-    out = rows.select(*keep, F.posexplode(ordered).alias("p", "e"))
+    out = rows.select(*keep, F.posexplode_outer(ordered).alias("p", "e")).where("e is not null")
     return out.select(*keep, (F.col("p") + 1).cast("bigint").alias("rank"), *[F.col(f"e.{c}").alias(c) for c in COLUMNS])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,3 +49,13 @@ def snake(c: Column) -> Column:
     s = F.lower(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")))
     s = F.regexp_replace(s, r"[\s\-_]+", "_")
     return F.regexp_replace(s, r"_*/_*", "/")
+
+
+def exploded(rows: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
+    """``keep`` with one row per element of an array that is not null.
+
+    From a plain explode Spark infers a filter on the array and pushes it below,
+    so that a costly array is made again for the filter, with all it is made of
+    written out.  An outer explode has no such filter.
+    """
+    return rows.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mortarline.functions import phrases as P
 from mortarline.functions.dialect import SPARK
+from mortarline.functions.normalize import exploded
 
 def name_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(c)), r"[\s\-_,.;:]+", "")
@@ -28,7 +29,7 @@ def dictionary_match(sentences: DataFrame, lexicon: DataFrame, key: str, sentenc
     returned once; terms without a letter or digit, and null texts, match nothing.
     """
     rows = sentences.select(key, sentence).where(F.col(sentence).isNotNull())
-    words = rows.select(key, F.explode(F.array_distinct(_words(F.col(sentence)))).alias("_word"))
+    words = exploded(rows, F.array_distinct(_words(F.col(sentence))), "_word", key)
     terms = lexicon.where(F.col("term").isNotNull()).withColumn("_ws", _words(F.col("term"))).where(F.size("_ws") > 0)
     longest = F.element_at(F.array_sort(F.transform("_ws", lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), 1)["w"]
     terms = terms.withColumn("_word", longest).withColumn("_alone", F.lower("term") == longest).drop("_ws")
@@ -143,4 +144,4 @@ def relations(rows: DataFrame, sentence: str = "sentence", entities: str = "enti
     pairs = rows.select(*keep, sentence, F.explode(f"{entities}.entity_name").alias("entity_1"), F.col(f"{entities}.entity_name").alias("_names"))
     pairs = pairs.where(F.col(sentence).rlike("(?i)than|analog of|derivative of")).select(*keep, sentence, "entity_1", F.explode("_names").alias("entity_2"))
     hits = [F.when(F.expr(f"`{sentence}` RLIKE concat('(?i)\\\\Q', entity_1, '\\\\E\\\\s+', {SPARK.text(p)}, '\\\\s+\\\\Q', entity_2, '\\\\E')"), F.lit(name)) for name, p in P.RELATIONS]
-    return pairs.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("relationship_type"), "entity_1", "entity_2").distinct()
+    return exploded(pairs, F.array_compact(F.array(*hits)), "relationship_type", *keep, "entity_1", "entity_2").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mortarline.functions import phrases as P
 from mortarline.functions.dialect import DUCKDB as D
+from mortarline.functions.normalize import exploded
 from mortarline.operators import documents as M
 from mortarline.operators import extractors as E
 from mortarline.operators.analytics import entity_quality
@@ -21,7 +22,7 @@ TARGETS = ["mtor", "egfr", "ros", "tau", "bdnf"]
 
 def entities_tagged(spark: SparkSession, d: str) -> DataFrame:
     rows = tag_entities(corpus(spark, d), compounds=COMPOUNDS, targets=TARGETS)
-    return rows.select("research_domain", F.explode("entities").alias("e")).groupBy("research_domain", F.col("e.entity_type").alias("entity_type"), F.col("e.entity_name").alias("entity_name")).agg(F.count("*").alias("n"))
+    return exploded(rows, F.col("entities"), "e", "research_domain").groupBy("research_domain", F.col("e.entity_type").alias("entity_type"), F.col("e.entity_name").alias("entity_name")).agg(F.count("*").alias("n"))
 
 
 def neural_and_stem_sentences(spark: SparkSession, d: str) -> DataFrame:
@@ -31,7 +32,7 @@ def neural_and_stem_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def peptides_found(spark: SparkSession, d: str) -> DataFrame:
-    return corpus(spark, d).select("research_domain", F.explode(peptide_sequences(F.col("sentence"))).alias("peptide")).groupBy("research_domain", "peptide").agg(F.count("*").alias("n"))
+    return exploded(corpus(spark, d), peptide_sequences(F.col("sentence")), "peptide", "research_domain").groupBy("research_domain", "peptide").agg(F.count("*").alias("n"))
 
 
 def relationships(spark: SparkSession, d: str) -> DataFrame:
@@ -42,12 +43,12 @@ def relationships(spark: SparkSession, d: str) -> DataFrame:
 
 def integrated_extraction(spark: SparkSession, d: str) -> DataFrame:
     rows = E.integrated_entities(corpus(spark, d))
-    return rows.select("fallback_used", F.explode("entities").alias("e")).groupBy("fallback_used", "e.entity_type", "e.source").agg(F.count("*").alias("n"), F.round(F.avg("e.confidence"), 4).alias("confidence"))
+    return exploded(rows, F.col("entities"), "e", "fallback_used").groupBy("fallback_used", "e.entity_type", "e.source").agg(F.count("*").alias("n"), F.round(F.avg("e.confidence"), 4).alias("confidence"))
 
 
 def fallback_candidates(spark: SparkSession, d: str) -> DataFrame:
     rows = corpus(spark, d).withColumn("_s", F.lower("sentence"))
-    return rows.select(F.explode(E.fallback_candidates(F.col("sentence"))).alias("c")).groupBy("c.source", "c.text").agg(F.count("*").alias("n"))
+    return exploded(rows, E.fallback_candidates(F.col("sentence")), "c").groupBy("c.source", "c.text").agg(F.count("*").alias("n"))
 
 
 def extraction_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -55,7 +56,7 @@ def extraction_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_score(spark: SparkSession, d: str) -> DataFrame:
-    found = E.integrated_entities(corpus(spark, d)).select("doc_id", F.explode("entities").alias("e")).select("doc_id", "e.entity_type", "e.confidence")
+    found = exploded(E.integrated_entities(corpus(spark, d)), F.col("entities"), "e", "doc_id").select("doc_id", "e.entity_type", "e.confidence")
     return entity_quality(found, "doc_id")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mortarline.functions import classify as C
 from mortarline.functions import lenses as X
 from mortarline.functions.dialect import DUCKDB, SPARK
+from mortarline.functions.normalize import exploded
 from mortarline.plans.corpus import corpus, corpus_sql, lower_corpus_sql
 from mortarline.plans.session import table
 
@@ -41,7 +42,7 @@ _grouped("confident_events_by_domain", ["research_domain", "event_type"], "confi
 
 
 def method_tag_counts(spark: SparkSession, d: str) -> DataFrame:
-    return C.classify(corpus(spark, d)).select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+    return exploded(C.classify(corpus(spark, d)), F.col("tags"), "tag").groupBy("tag").agg(F.count("*").alias("n"))
 
 
 def gate_comparison(spark: SparkSession, d: str) -> DataFrame:
@@ -52,7 +53,7 @@ def gate_comparison(spark: SparkSession, d: str) -> DataFrame:
 
 
 def measurements_by_type_unit(spark: SparkSession, d: str) -> DataFrame:
-    rows = corpus(spark, d).select(F.explode(F.expr(C.measurements(SPARK, "lower(sentence)"))).alias("m")).select(F.split("m", r"\|").alias("p"))
+    rows = exploded(corpus(spark, d).select(F.lower("sentence").alias("s")), F.expr(C.measurements(SPARK, "s")), "m").select(F.split("m", r"\|").alias("p"))
     rows = rows.select(F.col("p")[0].alias("measurement_type"), F.col("p")[2].alias("unit"), F.col("p")[1].cast("double").alias("value"))
     return rows.groupBy("measurement_type", "unit").agg(F.count("*").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
 
