@@ -1,11 +1,10 @@
 """Lines repeated across one source's documents (problem 1).
 
-Each distinct spelling of a line gets, per source, the set of documents it
-stands in as a two-level compressed bitmap: a container per 32,768 consecutive
-document numbers, kept as the array of its low bits while that is shorter than
-the 4,096 bytes of the plain bitmap.  Containers of the spellings of one line
-are united, their exact cardinalities summed and held against the threshold, and
-lines are deleted from a document when its bit is set.
+Each spelling of a line gets, per source, the set of documents it stands in as a
+bitmap in containers of 32,768 consecutive document numbers; the containers
+travel compressed, so that a sparse one is short.  The bitmaps of the spellings
+of one line are united, their exact cardinalities are held against the
+threshold, and a line is deleted from a document when its bit is set.
 """
 
 from __future__ import annotations
@@ -14,75 +13,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mortarline.functions.normalize import alnum_key
-from mortarline.plans.session import checkpointed
+from mortarline.plans.session import stored
 
-CONTAINER_BITS = 15
-#: Low bits of two bytes each; at this many the plain bitmap of 4,096 bytes is as short.
-ARRAY_LIMIT = 2048
 #: Hash buckets per venue in which lines are counted before any bitmap is built.
 BUCKETS = 4096
+_LINES = "array<struct<k:bigint,spelling:int,line_no:int>>"
 
 
-def _high(doc: Column) -> Column:
-    return F.shiftright(doc, CONTAINER_BITS)
-
-
-def _low(doc: Column) -> Column:
-    return doc.bitwiseAND(F.lit((1 << CONTAINER_BITS) - 1)).cast("smallint")
-
-
-def _has(container: Column, low: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(container["bits"], F.shiftright(low.cast("int"), 3) + 1, 1)), 16, 10).cast("int")
-    bit = F.call_function("getbit", byte, low.cast("int").bitwiseAND(F.lit(7))) == 1
-    return F.coalesce(F.array_contains(container["lows"], low), bit, F.lit(False))
+def _has(bits: Column, position: Column) -> Column:
+    """Whether a position's bit is set in a container."""
+    at = position.cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(at, 3) + 1, 1)), 16, 10).cast("int")
+    return F.call_function("getbit", byte, at.bitwiseAND(F.lit(7))) == 1
 
 
 def venue_pages(pages: DataFrame, page_source: DataFrame) -> DataFrame:
     """chunk_id, doc_id, venue, lines: the pages of sources with a venue, written once.
 
-    ``pages``: chunk_id, doc_id, source_id, chunk_text.  ``page_source``:
-    source_id, venue.  ``lines`` holds, for each line with a letter, 64-bit keys
-    of its letters and digits (two) and of its spelling, and line_no from 1.
-    Pages without source, of a source without venue or without doc_id are left
-    out; a page without text has no lines.
+    ``pages``: chunk_id, doc_id (a whole number), source_id, chunk_text.
+    ``page_source``: source_id, venue.  ``lines`` holds, for each line with a
+    letter, k (a 64-bit key of its letters and digits), a hash of its spelling and
+    line_no from 1.  A collision of keys matters only with one of the few hundred
+    lines that a venue repeats; of a billion lines, fewer than one in ten million
+    such venues would have one.  Pages without source, of a source without venue
+    or without doc_id are left out; a page without text has no lines.
     """
     venue = page_source.select("source_id", "venue").dropna().dropDuplicates(["source_id"])
     numbered = F.transform(F.split("chunk_text", "\n"), lambda x, i: F.struct(x.alias("line"), (i + 1).cast("int").alias("line_no")))
     lettered = F.filter(numbered, lambda x: x["line"].rlike(r"\p{L}"))
-    keyed = F.transform(lettered, lambda x: F.struct(alnum_key(x["line"]).alias("key"), F.xxhash64(x["line"]).alias("spelling"), x["line_no"].alias("line_no")))
-    hashed = F.transform(keyed, lambda x: F.struct(F.xxhash64(x["key"]).alias("k1"), F.xxhash64(F.lit(1), x["key"]).alias("k2"), x["spelling"].alias("spelling"), x["line_no"].alias("line_no")))
-    rows = pages.where(F.col("doc_id").isNotNull()).select("chunk_id", "doc_id", "source_id", F.coalesce(hashed, F.array().cast("array<struct<k1:bigint,k2:bigint,spelling:bigint,line_no:int>>")).alias("lines"))
-    return checkpointed(rows.join(venue, "source_id").drop("source_id"))
+    keyed = F.transform(lettered, lambda x: F.struct(F.xxhash64(alnum_key(x["line"])).alias("k"), F.hash(x["line"]).alias("spelling"), x["line_no"].alias("line_no")))
+    rows = pages.where(F.col("doc_id").isNotNull()).select("chunk_id", "doc_id", "source_id", F.coalesce(keyed, F.array().cast(_LINES)).alias("lines"))
+    return stored(rows.join(venue, "source_id").drop("source_id"))
 
 
-def _exploded(paged: DataFrame) -> DataFrame:
-    return paged.select("chunk_id", "doc_id", "venue", F.explode("lines").alias("l")).select("chunk_id", "doc_id", "venue", "l.*")
+def _exploded(paged: DataFrame, *keep: str) -> DataFrame:
+    return paged.select(*keep, "venue", F.explode("lines").alias("l")).select(*keep, "venue", "l.*")
 
 
 def excess_lines(paged: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
     """Lines of a venue that stand in at least ``min_docs`` and ``min_share`` of its documents.
 
     ``paged`` is the result of venue_pages.  One row per line and container:
-    venue, k1, k2, hi, docs (the container), n (documents of the line over all
-    containers).
+    venue, k, container, bits, n (documents of the line over all containers).
     """
     # distinct documents first: a venue may hold a third of all rows
     needed = paged.select("venue", "doc_id").distinct().groupBy("venue").agg(F.count("*").alias("n_docs"))
     needed = needed.select("venue", F.greatest(F.lit(float(min_docs)), F.col("n_docs") * min_share).alias("needed"))
-    lines = _exploded(paged)
-    # a line has at most as many documents as its hash bucket has lines: buckets below the threshold hold no repeated line
-    bucket = F.pmod("k1", F.lit(BUCKETS)).cast("int")
-    full = lines.groupBy("venue", bucket.alias("bucket")).agg(F.count("*").alias("n_lines")).join(needed, "venue").where(F.col("n_lines") >= F.col("needed")).select("venue", "bucket")
-    lines = lines.withColumn("bucket", bucket).join(full, ["venue", "bucket"], "left_semi")
-    by_spelling = lines.groupBy("venue", "k1", "k2", "spelling", _high(F.col("doc_id")).alias("hi")).agg(F.collect_set(_low(F.col("doc_id"))).alias("lows"))
-    united = by_spelling.select("venue", "k1", "k2", "hi", F.explode("lows").alias("low")).groupBy("venue", "k1", "k2", "hi").agg(F.collect_set("low").alias("lows"))
-    total = united.groupBy("venue", "k1", "k2").agg(F.sum(F.size("lows")).alias("n"))
-    total = total.join(needed, "venue").where(F.col("n") >= F.col("needed")).drop("needed")
-    kept = united.join(total, ["venue", "k1", "k2"]).select("venue", "k1", "k2", "hi", "n", F.explode("lows").alias("low"))
-    # a container is its low bits, or the plain bitmap where that is shorter
-    packed = kept.groupBy("venue", "k1", "k2", "hi", "n").agg(F.bitmap_construct_agg(F.col("low").cast("bigint")).alias("bits"), F.collect_set("low").alias("lows"))
-    dense = F.size("lows") > ARRAY_LIMIT
-    return packed.select("venue", "k1", "k2", "hi", F.struct(F.when(~dense, F.col("lows")).alias("lows"), F.when(dense, F.col("bits")).alias("bits")).alias("docs"), "n")
+    # a line has at most as many documents as it has occurrences, and those are at most its bucket's: what
+    # stays below the threshold is no repeated line, and no bitmap is built for it
+    enough = lambda counts: counts.join(needed, "venue").where(F.col("n_lines") >= F.col("needed"))
+    bucket = F.pmod("k", F.lit(BUCKETS)).cast("int")
+    full = enough(_exploded(paged).groupBy("venue", bucket.alias("bucket")).agg(F.count("*").alias("n_lines"))).select("venue", "bucket")
+    lines = _exploded(paged, "doc_id").withColumn("bucket", bucket).join(full, ["venue", "bucket"], "left_semi").drop("bucket")
+    often = enough(lines.groupBy("venue", "k").agg(F.count("*").alias("n_lines"))).select("venue", "k")
+    lines = lines.join(often, ["venue", "k"], "left_semi")
+    container = F.bitmap_bucket_number(F.col("doc_id"))
+    by_spelling = lines.groupBy("venue", "k", "spelling", container.alias("container")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("doc_id"))).alias("bits"))
+    united = by_spelling.groupBy("venue", "k", "container").agg(F.bitmap_or_agg("bits").alias("bits"))
+    total = united.groupBy("venue", "k").agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    kept = total.join(needed, "venue").where(F.col("n") >= F.col("needed")).drop("needed")
+    return united.join(kept, ["venue", "k"])
 
 
 def repeated_lines(pages: DataFrame, page_source: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
@@ -92,10 +82,11 @@ def repeated_lines(pages: DataFrame, page_source: DataFrame, min_docs: int = 3,
     An empty table gives no rows.
     """
     paged = venue_pages(pages, page_source)
-    excess = excess_lines(paged, min_docs, min_share)
-    # bitmap lookup: few lines are repeated that often, AQE broadcasts them if they are small
-    hit = _exploded(paged).withColumn("hi", _high(F.col("doc_id"))).join(excess, ["venue", "k1", "k2", "hi"])
-    return hit.where(_has(F.col("docs"), _low(F.col("doc_id")))).select("chunk_id", F.col("line_no").cast("bigint").alias("line_no"), "venue", "n")
+    excess = stored(excess_lines(paged, min_docs, min_share))
+    # only lines with the key of a repeated one meet the bitmaps: few keys, and AQE broadcasts what is small
+    lines = _exploded(paged, "chunk_id", "doc_id").join(excess.select("venue", "k").distinct(), ["venue", "k"], "left_semi")
+    hit = lines.withColumn("container", F.bitmap_bucket_number("doc_id")).join(excess, ["venue", "k", "container"])
+    return hit.where(_has(F.col("bits"), F.bitmap_bit_position("doc_id"))).select("chunk_id", F.col("line_no").cast("bigint").alias("line_no"), "venue", "n")
 
 
 def cleaned_pages(pages: DataFrame, page_source: DataFrame, min_docs: int = 3, min_share: float = 0.2) -> DataFrame:
