@@ -4,38 +4,50 @@ Entropy balancing: among all document rates that give each source its share of
 the size, the ones closest to 1 in relative entropy are exp(lambda_s * size),
 capped at the allowed repeats.  The multipliers are the solution of a convex
 dual with one coordinate per source; each Newton step takes one aggregate over
-the documents' sizes.  Rates are then rounded into whole copies.
+the documents' sizes.  A source whose dual has no finite solution, since even
+all its documents at their cap stay below its goal, cannot reach its share.
+Rates are then rounded into whole copies.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mortarline.plans.session import checkpointed
+from mortarline.plans.session import stored
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-#: Sources that a target table may list; their multipliers are kept on the driver.
+#: Sources that a target table may list; their multipliers are kept on the driver and sent to the tasks.
 MAX_SOURCES = 10_000
-MAX_STEPS = 60
+#: Newton steps, bisection included; more are an error.
+MAX_STEPS = 200
 TOLERANCE = 1e-9
-#: Bins of the rounding threshold per source.
+#: Bins of the rounding threshold per source, and the share of a source's goal above which a document is rounded by itself.
 BINS = 4096
+LARGE = 0.002
+LARGEST = "largest"
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``, counted by a tokenizer file of the tokenizers library; null text has 0."""
+    """``docs`` with ``n_tokens``, counted by a tokenizer file of the tokenizers library; null text has 0.
+
+    The file is read on the driver's machine and goes to the tasks with the job.
+    """
+    docs.sparkSession.sparkContext.addFile(tokenizer)
+    name = Path(tokenizer).name
 
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(tokenizer)
+        t = Tokenizer.from_file(SparkFiles.get(name))
         t.encode_special_tokens = True
         t.no_truncation()
         for s in batches:
@@ -72,82 +84,117 @@ def _step(state: dict, got: float, slope: float) -> None:
     state["rate"] = x
 
 
-def balance(docs: DataFrame, targets: DataFrame, size: str, total: float | None = None, source: str = "source") -> tuple[DataFrame, dict[str, tuple[float, float, int]]]:
-    """The report of a mix and, by source, (lambda, mean size, cap) of its rates.
+def _sizes(docs: DataFrame, size: str, source: str) -> DataFrame:
+    """(source, size, n): equal sizes of a source have equal rates, so the dual needs their number only."""
+    sizes = docs.where(F.col(source).isNotNull()).select(F.col(source).alias("source"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("double").alias("size"))
+    return stored(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
+
+
+def balance(docs: DataFrame, targets: DataFrame, size: str, total: float | str | None = None, source: str = "source") -> tuple[DataFrame, dict[str, dict]]:
+    """The report of a mix and, by source, what its rates are made of (rate, mean, cap).
 
     ``targets``: source, target_share, max_repeats.  The mix is to be as large
-    as ``total``, by default all documents whose source is not null.  Report
-    columns: source, target_share, max_repeats, n_docs, own_size, goal,
-    capacity (own size times max_repeats), feasible, expected (what the rates
-    give).  A source without documents has own size 0.  Documents of sources not
-    listed count towards the default total and are not in the mix; sizes that
-    are null or not positive count as 0.
+    as ``total``, by default all documents whose source is not null; "largest"
+    makes it the largest mix in which every listed source that has documents
+    keeps its share (the shares of those without any go to the others in
+    proportion).  Report columns: source, target_share, max_repeats, n_docs,
+    own_size, goal, capacity (own size times max_repeats), feasible (whether the
+    source can reach its goal), expected (what the rates give).  A source without
+    documents has own size 0.  Documents of sources not listed count towards the
+    default total and are not in the mix; sizes that are null or not positive
+    count as 0.
     """
     spark = docs.sparkSession
     wanted = targets.where(F.col(source).isNotNull()).select(source, "target_share", "max_repeats").limit(MAX_SOURCES + 1).collect()
     if len(wanted) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    sizes = docs.where(F.col(source).isNotNull()).select(F.col(source).alias("source"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("double").alias("size"))
-    # equal sizes of a source have equal rates: the dual needs their number only
-    sizes = checkpointed(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
-    own = {r["source"]: r for r in sizes.groupBy("source").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("size")).where(F.col("source").isin([r[0] for r in wanted])).collect()}
-    whole = float(total) if total is not None else float(sizes.agg(F.coalesce(F.sum(F.col("n") * F.col("size")), F.lit(0.0))).first()[0])
+    sizes = _sizes(docs, size, source)
+    listed = spark.createDataFrame([(s,) for s in dict.fromkeys(r[0] for r in wanted)], "source string")
+    own = {r["source"]: r for r in sizes.join(F.broadcast(listed), "source").groupBy("source").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("size")).collect()}  # listed: at most MAX_SOURCES rows
     states = {}
     for s, share, cap in wanted:
-        got = own.get(s)
-        n, amount = (got["n"], float(got["size"])) if got else (0, 0.0)
-        goal = (share or 0.0) * whole
-        states[s] = {"share": share, "cap": int(cap or 0), "n": n, "own": amount, "goal": goal, "mean": amount / n if n and amount else 1.0, "rate": 0.0, "low": -math.inf, "high": math.inf, "done": False, "expected": 0.0}
-        if amount * int(cap or 0) <= goal or goal <= 0:
-            states[s] |= {"done": True, "rate": math.inf if goal > 0 else -math.inf, "expected": amount * int(cap or 0) if goal > 0 else 0.0}
-    for _ in range(MAX_STEPS):
+        n, amount = (own[s]["n"], float(own[s]["size"])) if s in own else (0, 0.0)
+        states[s] = {"share": share, "weight": share or 0.0, "cap": int(cap or 0), "n": n, "own": amount, "mean": amount / n if n and amount else 1.0, "rate": 0.0, "low": -math.inf, "high": math.inf, "done": False, "expected": 0.0}
+    if total == LARGEST:
+        able = {s: v for s, v in states.items() if v["weight"] > 0 and v["own"] * v["cap"] > 0}
+        weight = sum(v["weight"] for v in able.values())
+        for s, v in states.items():
+            v["weight"] = v["weight"] / weight if s in able else 0.0
+        whole = min((v["own"] * v["cap"] / v["weight"] for v in able.values()), default=0.0)
+    elif total is None:
+        whole = float(sizes.agg(F.coalesce(F.sum(F.col("n") * F.col("size")), F.lit(0.0))).first()[0])
+    else:
+        whole = float(total)
+    for v in states.values():
+        v["goal"] = v["weight"] * whole
+    for step in range(MAX_STEPS):
         open_ = {s: v for s, v in states.items() if not v["done"]}
         if not open_:
             break
-        for s, got, slope in _dual(sizes, open_).collect():
-            open_[s]["expected"] = got
-            _step(open_[s], got, slope)
-    rows = [(s, v["share"], v["cap"], v["n"], v["own"], v["goal"], v["own"] * v["cap"], not v["own"] * v["cap"] < v["goal"], v["expected"]) for s, v in states.items()]
+        found = {r["source"]: r for r in _dual(sizes, _state_rows(spark, open_)).collect()}
+        for s, v in open_.items():
+            got, slope, most = (found[s]["got"], found[s]["slope"], found[s]["most"]) if s in found else (0.0, 0.0, 0.0)
+            if step == 0 and (most <= v["goal"] or v["goal"] <= 0):
+                # the gradient stays on one side however far the multiplier goes: the rates are at their cap, or nothing
+                up = v["goal"] > 0
+                v |= {"done": True, "rate": math.inf if up else -math.inf, "expected": most if up else 0.0}
+                continue
+            v["expected"] = got
+            _step(v, got, slope)
+    else:
+        raise RuntimeError(f"no balance after {MAX_STEPS} steps")
+    rows = [(s, v["share"], v["cap"], v["n"], v["own"], v["goal"], v["own"] * v["cap"], not (v["rate"] == math.inf and v["expected"] < v["goal"]), v["expected"]) for s, v in states.items()]
     schema = "source string, target_share double, max_repeats int, n_docs bigint, own_size double, goal double, capacity double, feasible boolean, expected double"
-    return spark.createDataFrame(rows, schema), {s: (v["rate"], v["mean"], v["cap"]) for s, v in states.items()}
+    return spark.createDataFrame(rows, schema), states
 
 
-def _lookup(values: dict[str, float]):  # noqa: ANN202
-    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))])
+def _state_rows(spark: SparkSession, states: Mapping[str, dict], **more: Mapping[str, float]) -> DataFrame:
+    """The states as a table of at most MAX_SOURCES rows, small enough to be sent to every task."""
+    rows = [(s, float(v["rate"]), float(v["mean"]), float(v["cap"]), float(v["goal"]), *(float(m.get(s, 0.0)) for m in more.values())) for s, v in states.items()]
+    return spark.createDataFrame(rows, ", ".join(["source string", "_rate double", "_mean double", "_cap double", "_goal double", *(f"{k} double" for k in more)]))
 
 
-def _dual(sizes: DataFrame, states: dict[str, dict]) -> DataFrame:
-    """Each source's expected size and its derivative at the present multipliers."""
-    rate, mean, cap = (_lookup({s: v[x] for s, v in states.items()})[F.col("source")] for x in ("rate", "mean", "cap"))
-    x = F.col("size") / mean
-    tilt = F.exp(F.least(rate * x, F.lit(700.0)))
+def _dual(sizes: DataFrame, states: DataFrame) -> DataFrame:
+    """Each source's expected size and its derivative at the present multipliers, and its size at the cap."""
+    x = F.col("size") / F.col("_mean")
+    tilt = F.exp(F.least(F.col("_rate") * x, F.lit(700.0)))
     amount = F.col("n") * F.col("size")
-    rows = sizes.where(F.col("source").isin(list(states)))
-    return rows.groupBy("source").agg(F.sum(amount * F.least(tilt, cap)).alias("got"), F.sum(F.when(tilt < cap, amount * x * tilt).otherwise(0.0)).alias("slope"))
+    rows = sizes.join(F.broadcast(states), "source")  # states: at most MAX_SOURCES rows
+    return rows.groupBy("source").agg(F.sum(amount * F.least(tilt, F.col("_cap"))).alias("got"), F.sum(F.when(tilt < F.col("_cap"), amount * x * tilt).otherwise(0.0)).alias("slope"), F.sum(amount * F.col("_cap")).alias("most"))
+
 
+def _rate(amount: Column) -> Column:
+    tilt = F.least(F.exp(F.least(F.col("_rate") * amount / F.col("_mean"), F.lit(700.0))), F.col("_cap"))
+    return F.when(F.col("_rate") == math.inf, F.col("_cap")).when(F.col("_rate") == -math.inf, 0.0).otherwise(tilt)
 
-def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | None = None, key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
+
+def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | str | None = None, key: str = "doc_id", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """(mix, report): documents with their copies (0 left out), and shares reached.
 
-    A rate is rounded down, and up for the documents whose hash comes first, as
-    many as bring the source's size to its expected one; copies never exceed
+    ``total`` as for balance.  A rate is rounded down, and up for the documents
+    whose hash comes first, as many as bring the source's size to its expected
+    one; documents above LARGE of the goal are rounded to the nearest first, so
+    that what is left to chance is small.  A source misses its expected size by
+    less than one such document and half a bin (1 / BINS of what may be rounded
+    up), or, if it has fewer documents, by half its largest.  Copies never exceed
     max_repeats.  The report adds to that of balance n_copies, reached (size in
     the mix) and reached_share.
     """
-    report, rates = balance(docs, targets, size, total, source)
-    if not rates:
-        rates = {"": (-math.inf, 1.0, 0)}
+    spark = docs.sparkSession
+    report, states = balance(docs, targets, size, total, source)
     amount = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("double")
-    rate, mean, cap = (_lookup({s: v[i] for s, v in rates.items()})[F.col(source)] for i in range(3))
-    copies = F.when(rate == math.inf, cap).when(rate == -math.inf, 0.0).otherwise(F.least(F.exp(F.least(rate * amount / mean, F.lit(700.0))), cap))
+    rated = docs.join(F.broadcast(_state_rows(spark, states).withColumnRenamed("source", source)), source)  # at most MAX_SOURCES rows
+    rated = rated.withColumn("rate", _rate(amount)).withColumn("_floor", F.floor("rate").cast("int"))
     unit = F.pmod(F.xxhash64(F.lit("copies"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rated = docs.where(F.col(source).isin(list(rates))).withColumn("rate", copies)
     # a document goes up if its hash lies less than delta above the rate's fraction; with delta 0 the mean is right
-    rated = rated.withColumn("_over", unit - (F.col("rate") - F.floor("rate"))).withColumn("_floor", F.floor("rate"))
-    delta = _rounding(rated.select(F.col(source).alias("source"), amount.alias("size"), "_floor", "_over", "rate"))
-    shift = F.coalesce(_lookup(delta)[F.col(source)], F.lit(0.0)) if delta else F.lit(0.0)
-    up = F.when((F.col("_over") < shift) & (F.col("rate") > F.col("_floor")), 1).otherwise(0)
-    chosen = rated.withColumn("copies", (F.col("_floor") + up).cast("int")).where(F.col("copies") > 0).drop("_over", "_floor")
+    over = unit - (F.col("rate") - F.col("_floor"))
+    rated = rated.withColumn("_over", F.when(amount > LARGE * F.col("_goal"), F.when(F.col("rate") - F.col("_floor") >= 0.5, -9.0).otherwise(9.0)).otherwise(over))
+    may = F.col("rate") > F.col("_floor")
+    delta = _rounding(rated.select(F.col(source).alias("source"), amount.alias("size"), "_floor", "_over", "rate", may.alias("may")))
+    shifts = _state_rows(spark, states, _shift=delta).select(F.col("source").alias(source), "_shift")
+    up = F.when(may & (F.col("_over") < F.col("_shift")), 1).otherwise(0)
+    chosen = rated.join(F.broadcast(shifts), source).withColumn("copies", F.col("_floor") + up)  # shifts: at most MAX_SOURCES rows
+    chosen = chosen.where(F.col("copies") > 0).select(*docs.columns, "rate", "copies")
     reached = chosen.groupBy(F.col(source).alias("source")).agg(F.sum("copies").alias("n_copies"), F.sum(F.col("copies") * amount).alias("reached"))
     out = report.join(F.broadcast(reached), "source", "left").fillna(0, ["n_copies", "reached"])  # reached: one row per listed source
     whole = reached.agg(F.sum("reached").alias("whole"))
@@ -160,10 +207,13 @@ def _rounding(rated: DataFrame) -> dict[str, float]:
     Sizes are added up in BINS bins of how far a document's hash lies over its
     fraction; running sums over a source's bins give the last bin to round up.
     """
-    bins = F.floor((F.col("_over") + 1.0) * (BINS / 2))
-    rows = rated.groupBy("source", F.when(F.col("rate") > F.col("_floor"), bins).otherwise(F.lit(-1)).alias("bin"))
-    rows = rows.agg(F.sum(F.col("size") * F.col("rate")).alias("wanted"), F.sum(F.col("size") * F.col("_floor")).alias("down"), F.sum(F.when(F.col("rate") > F.col("_floor"), F.col("size")).otherwise(0.0)).alias("extra"))
+    bins = F.when(F.col("_over") < -1, -1).when(F.col("_over") > 1, BINS).otherwise(F.floor((F.col("_over") + 1.0) * (BINS / 2)))
+    rows = rated.groupBy("source", F.when(F.col("may"), bins).otherwise(F.lit(BINS)).alias("bin"))
+    rows = rows.agg(F.sum(F.col("size") * F.col("rate")).alias("wanted"), F.sum(F.col("size") * F.col("_floor")).alias("down"), F.sum(F.when(F.col("may"), F.col("size")).otherwise(0.0)).alias("extra"))
+    # at most BINS + 2 rows of a source
     whole = W.partitionBy("source")
     rows = rows.withColumn("lack", F.sum("wanted").over(whole) - F.sum("down").over(whole)).withColumn("sum", F.sum("extra").over(whole.orderBy("bin")))
-    best = rows.where("bin >= 0").groupBy("source").agg(F.min_by("bin", F.abs(F.col("sum") - F.col("lack"))).alias("bin"))
-    return {s: (b + 1) / (BINS / 2) - 1.0 for s, b in best.collect()}
+    best = rows.where(F.col("bin") < BINS).groupBy("source").agg(F.min_by("bin", F.abs(F.col("sum") - F.col("lack"))).alias("bin"), F.min("bin").alias("first"), F.min_by("sum", "bin").alias("least"), F.min("lack").alias("lack"))
+    # nothing goes up where even the first bin is further from the goal than none, unless it holds the large ones
+    none = (F.col("first") >= 0) & (F.col("lack") < F.abs(F.col("least") - F.col("lack"))) & (F.col("bin") == F.col("first"))
+    return {s: (b + 1) / (BINS / 2) - 1.0 for s, b in best.select("source", F.when(none, -1).otherwise(F.col("bin"))).collect()}

@@ -11,12 +11,12 @@ from mortarline.llm.canonical import map_values
 from mortarline.llm.cooccurrence import associations
 from mortarline.llm.format_duplicates import collapsed_records, copies_found
 from mortarline.llm.leakage import find_leaks
-from mortarline.llm.mixing import balance, mix, token_counts
+from mortarline.llm.mixing import LARGEST, balance, mix, token_counts
 from mortarline.llm.repeated_lines import cleaned_pages, repeated_lines
 from mortarline.llm.scan_repair import found_noise, repaired_paragraphs
 from mortarline.llm.sentences import split_sentences
 from mortarline.llm.splitting import split_items, split_oversized
-from mortarline.plans.session import checkpointed, table
+from mortarline.plans.session import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,19 +85,29 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return report.where("not feasible").select("source")
 
 
-def _sized_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with their tokens, counted once."""
+def _mixed(spark: SparkSession, d: str, total: str | None) -> tuple[DataFrame, DataFrame]:
+    """Mix and report in tokens, which are counted once."""
     counted = token_counts(table(spark, d, "documents").select("doc_id", "source", "text"))
-    return checkpointed(counted.select("doc_id", "source", "n_tokens"))
+    sized = stored(counted.select("doc_id", "source", "n_tokens"))
+    return mix(sized, table(spark, d, "mix_targets"), "n_tokens", total)
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    chosen, _ = mix(_sized_documents(spark, d), table(spark, d, "mix_targets"), "n_tokens")
-    return chosen.select("doc_id", "source", "n_tokens", "copies")
+    """The largest mix in which every source that has documents keeps its share."""
+    return _mixed(spark, d, LARGEST)[0].select("doc_id", "source", "n_tokens", "copies")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mix(_sized_documents(spark, d), table(spark, d, "mix_targets"), "n_tokens")[1]
+    return _mixed(spark, d, LARGEST)[1]
+
+
+def p9_full_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mix as large as all documents, in which some sources cannot reach their share."""
+    return _mixed(spark, d, None)[0].select("doc_id", "source", "n_tokens", "copies")
+
+
+def p9_full_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d, None)[1]
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -112,7 +122,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         p1_found, p1_clean_chunks, p2_found, p2_collapsed, p3_found, p3_pairs, p4_found, p4_unmatched, p5_found, p5_pieces,
-        p6_found, p6_paragraphs, p8_found, p8_leaked_items, p9_found, p9_mix, p9_shares, p10_found, p10_sentences,
+        p6_found, p6_paragraphs, p8_found, p8_leaked_items, p9_found, p9_mix, p9_shares, p9_full_mix, p9_full_shares, p10_found, p10_sentences,
     )
 }
 

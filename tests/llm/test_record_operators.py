@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mortarline.llm import canonical as K
 from mortarline.llm import format_duplicates as D
 from mortarline.llm.cooccurrence import associations
-from mortarline.llm.mixing import balance, mix, token_counts
+from mortarline.llm.mixing import LARGEST, balance, mix, token_counts
 from mortarline.llm.repeated_lines import cleaned_pages, repeated_lines
 
 
@@ -117,6 +117,14 @@ def test_mixing(spark):
         assert out[s]["reached"] == pytest.approx(out[s]["goal"], rel=0.08)
     caps = {"big": 2, "small": 4}
     assert all(0 < r["copies"] <= caps[r["source"]] for r in chosen.collect())
+    for total in (None, LARGEST):
+        out = {r["source"]: r for r in mix(df, targets, "size", total)[1].collect()}
+        for s in ("big", "small"):
+            assert out[s]["reached"] == pytest.approx(out[s]["expected"], rel=0.005)
+    # the largest mix keeps the shares of the sources there are: 3 to 5
+    assert out["big"]["reached_share"] == pytest.approx(0.375, abs=0.003) and out["small"]["reached_share"] == pytest.approx(0.625, abs=0.003)
+    own = {s: sum(x for _, t, x in rows if t == s and x) for s in ("big", "small")}
+    assert sum(r["goal"] for r in out.values()) == pytest.approx(min(own["big"] * 2 / 0.375, own["small"] * 4 / 0.625))
     assert balance(df.where("false"), targets, "size")[0].where("feasible").count() == 3
     assert mix(df, targets.where("false"), "size")[0].count() == 0
 
