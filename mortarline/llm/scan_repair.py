@@ -15,13 +15,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mortarline.llm.char_editor import LINE_MARKS, MAX_WORDS, MISREADINGS, STRAYS, CharEditor, HashedWords
-from mortarline.llm.repeated_lines import excess_lines, venue_pages
-from mortarline.plans.session import checkpointed
+from mortarline.llm.repeated_lines import repeated_lines
+from mortarline.plans.session import stored
 
 EDGE_LINES = 3
 HEADER_PAGES = 2
@@ -55,23 +54,13 @@ def _broken(line: str) -> re.Match | None:
 _MARKS = frozenset(LINE_MARKS)
 
 
-def is_scanned(text: str | None) -> bool:
-    """A page in short lines: lines of prose follow each other without a blank line between them."""
-    if not text or "\n" not in text:
-        return False
-    lines = text.split("\n")
-    if max(map(len, lines)) > 4 * LONGEST_LINE:
-        return False
-    run = sum(1 for a, b in zip(lines, lines[1:], strict=False) if 25 <= len(a) <= LONGEST_LINE and b.strip() and "\t" not in a and a.count(" ") >= 3)
-    return run >= 3
+#: A line of prose as a scanner leaves it, short and with three spaces at least, and a line with text right after it.
+_SHORT_LINE = r"(?md)^(?=[^\t\n]{25,%d}$)(?=(?:[^ \n]* ){3})[^\n]*\n(?=[^\n]*\S)" % LONGEST_LINE
 
 
 def scanned_page(text: Column) -> Column:
-    """is_scanned as a column of the JVM, so that other pages are not sent to Python."""
-    lines = F.split(text, "\n")
-    following = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-    pairs = F.zip_with(lines, following, lambda a, b: F.coalesce((F.length(a) >= 25) & (F.length(a) <= LONGEST_LINE) & (F.trim(b) != "") & ~F.contains(a, F.lit("\t")) & a.rlike("(?: .*){3}"), F.lit(False)))
-    return F.coalesce((F.size(F.filter(pairs, lambda x: x)) >= 3) & (F.array_max(F.transform(lines, F.length)) <= 4 * LONGEST_LINE), F.lit(False))
+    """Whether a page is in short lines: three times a line of prose has the next one right below it."""
+    return F.coalesce(F.regexp_count(text, F.lit(_SHORT_LINE)) >= 3, F.lit(False))
 
 
 def roman(text: str) -> int | None:
@@ -103,14 +92,14 @@ def word_counts(pages: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digital, scanned = Counter(), Counter()
-            for t in batch.column(0).to_pylist():
+            for t, by_scanner in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if t:
-                    (scanned if is_scanned(t) else digital).update(t.lower().encode().translate(_PARTS).split())
+                    (scanned if by_scanner else digital).update(t.lower().encode().translate(_PARTS).split())
             digital, scanned = _letter_words(digital), _letter_words(scanned)
             words = list(digital.keys() | scanned.keys())
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([digital[w] for w in words], pa.int64()), pa.array([scanned[w] for w in words], pa.int64())], ["word", "d", "s"])
 
-    rows = pages.select("chunk_text").mapInArrow(count, "word string, d bigint, s bigint")
+    rows = pages.select("chunk_text", scanned_page(F.col("chunk_text"))).mapInArrow(count, "word string, d bigint, s bigint")
     return rows.groupBy("word").agg(F.sum("d").alias("n_digital"), F.sum("s").alias("n_scanned"))
 
 
@@ -150,23 +139,16 @@ def train_editor(pages: DataFrame, max_words: int = MAX_WORDS) -> CharEditor:
     Words of born-digital pages go first, as scanners did not touch them.  Only
     the training is a bounded sample; beyond it all sound words are known by hash.
     """
-    counts = checkpointed(sound_words(checkpointed(word_counts(pages))).where(F.length("word") > 1))
+    counts = stored(sound_words(stored(word_counts(pages))).where(F.length("word") > 1))
     top = counts.orderBy(F.desc(F.col("n_digital") * 10 + F.col("n_scanned")), "word").limit(max_words).collect()
     words = counts.select("word").unionByName(counts.where("contains(word, '-')").select(F.explode(F.split("word", "-")).alias("word")).where(F.length("word") > 1))
     hashes = words.select(F.xxhash64("word").alias("h")).distinct().toArrow()["h"]
     return CharEditor([r["word"] for r in top], known=HashedWords(hashes.to_numpy()))
 
 
-def _line_key(line: str) -> int:
-    """The key that Spark's xxhash64 gives the letters and digits of a line."""
-    key = line.encode().lower().translate(None, _NOT_ALNUM) if line.isascii() else _key(line).encode()
-    h = xxhash.xxh64_intdigest(key, 42)
-    return h - (1 << 64) if h >> 63 else h
-
-
-def _page_lines(text: str, venue_keys: frozenset[int]) -> list[tuple[int, str]]:
-    """(line number, line) of the lines that are neither blank nor the venue's own."""
-    return [(i, x) for i, x in enumerate(text.split("\n"), 1) if x.strip() and not (venue_keys and _line_key(x) in venue_keys)]
+def _page_lines(text: str, gone: frozenset[int]) -> list[tuple[int, str]]:
+    """(line number, line) of the lines that are neither blank nor among those to leave out."""
+    return [(i, x) for i, x in enumerate(text.split("\n"), 1) if i not in gone and x.strip()]
 
 
 def _edge(line: str) -> tuple[str, int | None, bool]:
@@ -286,21 +268,11 @@ class LineJudge:
         return same < len(left), same >= len(left)
 
 
-def venue_line_keys(pages: DataFrame, sources: DataFrame) -> DataFrame:
-    """(venue, venue_lines): keys of the lines a venue puts on its documents, as problem 1 finds them.
-
-    A line stands in a fifth of the documents, so a venue has at most five times
-    the lines of its average document.
-    """
-    excess = excess_lines(venue_pages(pages, sources))
-    return excess.groupBy("venue").agg(F.collect_set("k1").alias("venue_lines"))
-
-
 def judged_lines(pages: DataFrame, editor: CharEditor) -> DataFrame:
     """Per line of the scanned pages: hyphen, ocr, or an edge line with what it holds.
 
-    ``pages`` has chunk_id, doc_id, page_number, chunk_text and venue_lines (keys
-    of the venue's lines).  Columns: chunk_id, doc_id, page_number, line_no, what,
+    ``pages`` has chunk_id, doc_id, page_number, chunk_text and venue_lines (the
+    numbers of the lines that are the venue's).  Columns: chunk_id, doc_id, page_number, line_no, what,
     place (lines from the edge, 0 first), top, key, number, alone, shape.
     """
     model = pages.sparkSession.sparkContext.broadcast(editor)
@@ -362,7 +334,8 @@ def furniture(lines: DataFrame) -> DataFrame:
     blocks = F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.substring("key", 1, 5)), F.concat(F.lit(">"), F.substring(F.reverse("key"), 1, 5))))).alias("block")
     one = seen.select("doc_id", "key", "pages", blocks)
     other = one.select("doc_id", "block", F.col("key").alias("other"), F.col("pages").alias("other_pages"))
-    close = F.levenshtein("key", "other") * 6 <= F.greatest(F.length("key"), F.lit(6))
+    most = F.greatest(F.length("key"), F.lit(6))
+    close = (F.col("key") == F.col("other")) | (F.abs(F.length("key") - F.length("other")) * 6 <= most) & (F.levenshtein("key", "other") * 6 <= most)
     pairs = one.join(other, ["doc_id", "block"]).where(close).select("doc_id", "key", "other", "other_pages").distinct()
     running = pairs.groupBy("doc_id", "key").agg(F.sum("other_pages").alias("pages")).where(F.col("pages") >= HEADER_PAGES)
     near = heads.join(running.select("doc_id", "key"), ["doc_id", "key"])
@@ -373,11 +346,10 @@ def furniture(lines: DataFrame) -> DataFrame:
 
 
 def scanned_with_venue_lines(pages: DataFrame, sources: DataFrame) -> DataFrame:
-    """The scanned pages with the letters and digits of the lines that their venue puts on its documents."""
-    scanned = pages.where(scanned_page(F.col("chunk_text")))
-    venue = sources.select("source_id", "venue").dropna().dropDuplicates(["source_id"])
-    marked = venue.join(venue_line_keys(pages, sources), "venue").select("source_id", "venue_lines")
-    return scanned.select("chunk_id", "doc_id", "source_id", "page_number", "chunk_text").join(marked, "source_id", "left")
+    """The scanned pages with the numbers of the lines that their venue puts on its documents, as problem 1 finds them."""
+    lines = repeated_lines(pages, sources).groupBy("chunk_id").agg(F.collect_set("line_no").alias("venue_lines"))
+    scanned = pages.where(scanned_page(F.col("chunk_text"))).select("chunk_id", "doc_id", "page_number", "chunk_text")
+    return scanned.join(lines, "chunk_id", "left")
 
 
 def found_noise(pages: DataFrame, sources: DataFrame, editor: CharEditor | None = None) -> DataFrame:
@@ -387,7 +359,7 @@ def found_noise(pages: DataFrame, sources: DataFrame, editor: CharEditor | None
     kinds; a page without page_number is compared by its edge lines alone.
     """
     editor = editor or train_editor(pages)
-    lines = checkpointed(judged_lines(scanned_with_venue_lines(pages, sources), editor))
+    lines = stored(judged_lines(scanned_with_venue_lines(pages, sources), editor))
     direct = lines.where("what <> 'edge'").select("chunk_id", "line_no", F.col("what").alias("kind"))
     return direct.unionByName(furniture(lines)).distinct()
 
@@ -453,8 +425,8 @@ def repaired_paragraphs(pages: DataFrame, sources: DataFrame, editor: CharEditor
     goes on with the paragraph before.
     """
     editor = editor or train_editor(pages)
-    marked = checkpointed(scanned_with_venue_lines(pages, sources))
-    lines = checkpointed(judged_lines(marked, editor))
+    marked = stored(scanned_with_venue_lines(pages, sources))
+    lines = stored(judged_lines(marked, editor))
     gone = furniture(lines).groupBy("chunk_id").agg(F.collect_set("line_no").alias("gone"))
     model = pages.sparkSession.sparkContext.broadcast(editor)
 
@@ -463,9 +435,7 @@ def repaired_paragraphs(pages: DataFrame, sources: DataFrame, editor: CharEditor
         for batch in batches:
             index, no, texts, broken, first = [], [], [], [], []
             for i, (t, v, g) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
-                keys = frozenset(v or ())
-                out = frozenset(g or ()) | {k for k, x in enumerate(t.split("\n"), 1) if keys and x.strip() and _line_key(x) in keys}
-                for k, (p, b) in enumerate(page_paragraphs(t, out, judge)):
+                for k, (p, b) in enumerate(page_paragraphs(t, frozenset(v or ()) | frozenset(g or ()), judge)):
                     index.append(i)
                     no.append(k)
                     texts.append(p)
@@ -477,7 +447,7 @@ def repaired_paragraphs(pages: DataFrame, sources: DataFrame, editor: CharEditor
     doc_type = pages.schema["doc_id"].dataType.simpleString()
     pieces = marked.join(gone, "chunk_id", "left").select("chunk_id", "doc_id", "page_number", "chunk_text", "venue_lines", "gone").mapInArrow(repair, f"chunk_id string, doc_id {doc_type}, page_number int, piece int, text string, broken boolean, new boolean")
     page = F.coalesce("page_number", F.lit(2_147_483_647))
-    pieces = checkpointed(pieces.withColumn("block", F.floor(page / PAGE_BLOCK)).withColumn("page", page))
+    pieces = stored(pieces.withColumn("block", F.floor(page / PAGE_BLOCK)).withColumn("page", page))
     # number the paragraphs of a document: within blocks of pages, then from block to block
     order = Window.partitionBy("doc_id", "block").orderBy("page", "chunk_id", "piece")
     inside = pieces.withColumn("n", F.sum(F.col("new").cast("int")).over(order))

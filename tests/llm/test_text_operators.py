@@ -97,23 +97,33 @@ def test_split_items_keeps_short_and_null(spark):
 
 WORDS = "the moisture content of concrete was reported after repeated freezing in low-oxygen storage and cross-bonded timber slab stayed exposed although compressive strength improved between readings governs laboratory reproduce specimens measured thermal transmittance".split()
 
+MORE_WORDS = "mortar cement aggregate chloride carbonation corrosion reinforcement permeability porosity shrinkage hydration durability insulation masonry plaster asphalt membrane humidity temperature condensation ventilation foundation settlement deflection fatigue fracture delamination spalling adhesion viscosity density modulus elasticity ductility hardness polymer composite laminate sealant coating primer pigment solvent binder additive accelerator retarder".split()
+
 
 @pytest.fixture(scope="module")
 def editor():
     return CharEditor(WORDS)
 
 
-def test_editor_held_out_accuracy(editor):
+def test_editor_held_out_accuracy():
+    """Misreadings of words that the editor was not trained on; it only knows them to be words."""
     from mortarline.llm.char_editor import misreadings, strayed
 
     rng = random.Random(99)
+    long = sorted({w for w in (*WORDS, *MORE_WORDS) if len(w) > 5 and "-" not in w})
     good = total = 0
-    for w in (w for w in WORDS if len(w) > 5 and "-" not in w):
-        for seen, _ in [*rng.sample(misreadings(w), min(3, len(misreadings(w)))), strayed(w, rng)]:
-            if seen not in editor.lexicon:
-                total += 1
-                good += editor.correct(seen) == w
-    assert good / total >= 0.9
+    for fold in range(4):
+        held = set(long[fold::4])
+        editor = CharEditor([w for w in (*WORDS, *MORE_WORDS) if w not in held], known=frozenset(WORDS) | set(MORE_WORDS))
+        for w in sorted(held):
+            for seen, _ in [*rng.sample(misreadings(w), min(3, len(misreadings(w)))), strayed(w, rng)]:
+                if seen not in editor.lexicon:
+                    total += 1
+                    good += editor.correct(seen) == w
+    assert total > 200 and good / total >= 0.85, (good, total)  # trained on sixty words only
+
+
+def test_editor_keeps_words_and_hyphens(editor):
     assert all(editor.correct(w) == w for w in WORDS)
     assert editor.joins_lines("conc", "rete") and not editor.joins_lines("low", "oxygen")
 
@@ -176,10 +186,16 @@ def test_printed_forms():
     assert "chloride" in R.printed_forms("chlonde") and not R.printed_forms("x")
 
 
-def test_scanned_page_column_agrees(spark):
-    texts = ["a b c d e f g h i j k l m n o\n" * 6, "one line only", "", None, "short\nlines\nhere", "Para one is a line of prose without breaks.\n\nPara two.", "1\t2\n" * 9]
+def test_scanned_page(spark):
+    line = "a line of prose as scanners leave it"
+    texts = [f"{line}\n" * 4, f"{line}\n" * 3, "one line only", "", None, "short\nlines\nhere", "Para one is a line of prose without breaks.\n\nPara two.", "1\t2\n" * 9, "x" * 900 + f"\n{line}" * 5, f"{line}\n\n" * 9, f"{line}\n \t\n" * 9]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    assert [r[0] for r in df.orderBy("i").select(R.scanned_page(F.col("t"))).collect()] == [R.is_scanned(t) for t in texts]
+
+    def brute(t):
+        lines = (t or "").split("\n")
+        return sum(25 <= len(a) <= R.LONGEST_LINE and "\t" not in a and a.count(" ") >= 3 and b.strip() != "" for a, b in zip(lines, lines[1:], strict=False)) >= 3
+
+    assert [r[0] for r in df.orderBy("i").select(R.scanned_page(F.col("t"))).collect()] == [brute(t) for t in texts]
 
 
 def test_leaks_against_brute_force(spark):
