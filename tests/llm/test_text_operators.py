@@ -201,7 +201,7 @@ def test_scanned_page(spark):
 def test_leaks_against_brute_force(spark):
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(60)]
-    items = [(k, "en", " ".join(rng.choices(vocab, k=40))) for k in range(6)] + [(9, "zh", "".join(rng.choices("天地玄黄宇宙洪荒日月盈昃", k=60))), (10, "en", "too short"), (11, "en", None)]
+    items = [(k, "en", " ".join(rng.choices(vocab, k=40))) for k in range(6)] + [(9, "zh", "".join(rng.choices("天地玄黄宇宙洪荒日月盈昃", k=60))), (10, "en", "too short"), (12, "en", ""), (13, None, "十四天地玄黄宇宙洪荒日月盈昃寒来暑往秋收冬藏"), (11, "en", None)]
     docs = []
     for d in range(60):
         w = rng.choices(vocab, k=80)
@@ -210,19 +210,45 @@ def test_leaks_against_brute_force(spark):
             at = rng.randrange(0, len(src) - n)
             w[30:30] = [x.upper() + "," for x in src[at : at + n]]
         docs.append((d, " ".join(w)))
+    docs += [(110, "x 十四天地玄黄宇宙洪荒日月盈昃寒来暑往秋收"), (111, "here it is: Too, short!")]
     docs += [(100, "x " + items[6][2][5:25] + "。"), (101, items[6][2][5:24]), (102, None), (103, "")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     it = spark.createDataFrame(items, "item_id long, lang string, text string")
     want = set()
     for d, t in docs:
         for k, lang, x in items:
-            u, n = (L.characters, L.CHARACTERS) if lang == "zh" else (L.words, L.WORDS)
+            u, n = (L.characters, L.CHARACTERS) if lang != "en" else (L.words, L.WORDS)
             a, b = u(t or ""), u(x or "")
             have = {tuple(a[i : i + n]) for i in range(len(a) - n + 1)}
             if any(tuple(b[i : i + n]) in have for i in range(len(b) - n + 1)):
                 want.add((d, k))
     got = L.find_leaks(df, it).where("verbatim")
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want and len(want) > 5
-    passes = L.find_leaks(df, it, item_block=2).where("verbatim")
+    assert (111, 10, False) in {(r["doc_id"], r["item_id"], r["verbatim"]) for r in L.find_leaks(df, it).collect()}
+    passes = L.find_leaks(df, it, index_bytes=9000).where("verbatim")
     assert {(r["doc_id"], r["item_id"]) for r in passes.collect()} == want
     assert L.find_leaks(df, it.where("false")).count() == 0
+
+
+def test_edited_items_are_found(spark):
+    """Whole items with every tenth or so word changed: found if they are similar enough, against brute force over all windows."""
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(4000)]
+    items = [(k, "en", " ".join(rng.choices(vocab, k=rng.randrange(45, 110)))) for k in range(40)]
+    docs = []
+    for d in range(200):
+        w = items[d % 40][2].split()
+        for _ in range(1 + d % 3):
+            w[rng.randrange(len(w))] = "changed"
+        docs.append((d, " ".join([*rng.choices(vocab, k=50), *w, *rng.choices(vocab, k=50)])))
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in L.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, lang string, text string")).collect()}
+    near = same = 0
+    for d, t in docs:
+        item = items[d % 40][2].split()
+        size = L._item_size(len(item), L.WORDS)
+        u = t.split()
+        best = max(L.weighted_similarity(u[i : i + size], x) for x in (item[:size], item[-size:]) for i in range(len(u) - size + 1))
+        if best >= L.SIMILARITY:
+            near += 1
+            same += got.get((d, d % 40), 0.0) >= best
+    assert near >= 60 and same / near >= 0.9, (same, near)
