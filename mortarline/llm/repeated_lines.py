@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mortarline.functions.normalize import alnum_key
+from mortarline.functions.normalize import fold_case, nfkc
 from mortarline.plans.session import stored
 
 #: Hash buckets per venue in which lines are counted before any bitmap is built.
@@ -27,6 +27,11 @@ def _has(bits: Column, position: Column) -> Column:
     return F.call_function("getbit", byte, at.bitwiseAND(F.lit(7))) == 1
 
 
+def _line_keys(text: Column) -> Column:
+    """A text in which only letters, digits and line breaks are left, case and compatibility form aside."""
+    return F.regexp_replace(fold_case(nfkc(text)), r"[^\p{L}\p{N}\n]+", "")
+
+
 def venue_pages(pages: DataFrame, page_source: DataFrame) -> DataFrame:
     """chunk_id, doc_id, venue, lines: the pages of sources with a venue, written once.
 
@@ -39,10 +44,10 @@ def venue_pages(pages: DataFrame, page_source: DataFrame) -> DataFrame:
     or without doc_id are left out; a page without text has no lines.
     """
     venue = page_source.select("source_id", "venue").dropna().dropDuplicates(["source_id"])
-    numbered = F.transform(F.split("chunk_text", "\n"), lambda x, i: F.struct(x.alias("line"), (i + 1).cast("int").alias("line_no")))
-    lettered = F.filter(numbered, lambda x: x["line"].rlike(r"\p{L}"))
-    keyed = F.transform(lettered, lambda x: F.struct(F.xxhash64(alnum_key(x["line"])).alias("k"), F.hash(x["line"]).alias("spelling"), x["line_no"].alias("line_no")))
-    rows = pages.where(F.col("doc_id").isNotNull()).select("chunk_id", "doc_id", "source_id", F.coalesce(keyed, F.array().cast(_LINES)).alias("lines"))
+    numbered = F.transform(F.split(_line_keys(F.col("chunk_text")), "\n"), lambda k, i: F.struct(k.alias("key"), (i + 1).cast("int").alias("line_no")))
+    keyed = F.zip_with(numbered, F.split("chunk_text", "\n"), lambda x, line: F.struct(F.when(x["key"].rlike(r"\p{L}"), F.xxhash64(x["key"])).alias("k"), F.hash(line).alias("spelling"), x["line_no"].alias("line_no")))
+    lettered = F.filter(keyed, lambda x: x["k"].isNotNull())
+    rows = pages.where(F.col("doc_id").isNotNull()).select("chunk_id", "doc_id", "source_id", F.coalesce(lettered, F.array()).cast(_LINES).alias("lines"))
     return stored(rows.join(venue, "source_id").drop("source_id"))
 
 
