@@ -23,6 +23,10 @@ import xxhash
 MAX_WORDS = 8000
 MAX_LETTERS = 32
 EPOCHS = 2
+#: Characters to both sides that features reach.
+SIGHT = 3
+#: By how much the right operation must lead for an example not to be looked at again.
+CLEAR = 4.0
 
 # What is printed and what a scanner makes of it.
 MISREADINGS = [
@@ -57,51 +61,60 @@ class Perceptron:
 
     def __init__(self) -> None:
         self.weights: dict[str, dict[str, float]] = {}
-        self._sums: dict[tuple[str, str], float] = defaultdict(float)
-        self._stamps: dict[tuple[str, str], int] = defaultdict(int)
+        #: For each weight, the sum of its changes times the steps before them; the mean over all steps follows from it.
+        self._late: dict[tuple[str, str], float] = defaultdict(float)
         self._now = 0
 
     def scores(self, features: Iterable[str]) -> dict[str, float]:
         out: dict[str, float] = {}
+        known = self.weights
         for f in features:
-            w = self.weights.get(f)
-            if w:
-                for op, x in w.items():
-                    out[op] = out.get(op, 0.0) + x
+            if f in known:
+                for op, x in known[f].items():
+                    if op in out:
+                        out[op] += x
+                    else:
+                        out[op] = x
         return out
 
     def predict(self, features: Iterable[str], default: str = KEEP) -> str:
-        best, top = default, 0.0
         scores = self.scores(features)
-        top = scores.get(default, 0.0)
-        for op in sorted(scores):
-            if scores[op] > top:
-                best, top = op, scores[op]
+        best, top = default, scores.get(default, 0.0)
+        for op, x in scores.items():
+            if x > top or x == top and best != default and op < best:
+                best, top = op, x
         return best
 
     def learn(self, features: list[str], truth: str, default: str = KEEP) -> bool:
+        """Take in an example; whether it was told right by a clear margin."""
         self._now += 1
-        guess = self.predict(features, default)
+        scores = self.scores(features)
+        guess, top, rest = default, scores.get(default, 0.0), -1e9
+        for op, x in scores.items():
+            if op == default:
+                continue
+            if x > top or x == top and guess != default and op < guess:
+                guess, top, rest = op, x, top
+            elif x > rest:
+                rest = x
         if guess == truth:
-            return True
+            return top - max(rest, 0.0) >= CLEAR
+        late, now = self._late, self._now
         for f in features:
             w = self.weights.setdefault(f, {})
-            for op, d in ((truth, 1.0), (guess, -1.0)):
-                k = (f, op)
-                self._sums[k] += (self._now - self._stamps[k]) * w.get(op, 0.0)
-                self._stamps[k] = self._now
-                w[op] = w.get(op, 0.0) + d
+            w[truth] = w.get(truth, 0.0) + 1.0
+            w[guess] = w.get(guess, 0.0) - 1.0
+            late[f, truth] += now
+            late[f, guess] -= now
         return False
 
     def average(self) -> None:
         for f, w in self.weights.items():
             for op in list(w):
-                k = (f, op)
-                w[op] = (self._sums[k] + (self._now - self._stamps[k]) * w[op]) / max(self._now, 1)
+                w[op] -= self._late[f, op] / max(self._now, 1)
                 if not w[op]:
                     del w[op]
-        self._sums.clear()
-        self._stamps.clear()
+        self._late.clear()
 
 
 def misreadings(word: str) -> list[tuple[str, list[str]]]:
@@ -158,16 +171,20 @@ class CharEditor:
         self.chars, self.joins = Perceptron(), Perceptron()
         rng = random.Random(seed)
         parts = [w for w in words if len(w) > 2 and "-" not in w]
-        for _ in range(EPOCHS):
-            order = parts[:]
-            rng.shuffle(order)
-            for w in order:
-                noisy = [(w, [KEEP] * len(w)), *misreadings(w), strayed(w, rng), _dropped(w, rng)]
-                for seen in noisy:
-                    if seen is None or (seen[0] != w and seen[0] in self.lexicon):
-                        continue
-                    for i, op in enumerate(seen[1]):
-                        self.chars.learn(_features(seen[0], i), op)
+        # all examples once, then only those that were not told right by a clear margin
+        unclear: list[tuple[str, int, str]] = []
+        rng.shuffle(parts)
+        for w in parts:
+            for seen in [(w, [KEEP] * len(w)), *misreadings(w), strayed(w, rng), strayed(w, rng), _dropped(w, rng)]:
+                if seen is None or (seen[0] != w and seen[0] in self.lexicon):
+                    continue
+                # features reach SIGHT characters: further from an edit they are those of the word itself
+                edits = [i for i, op in enumerate(seen[1]) if op != KEEP]
+                first, last = (edits[0] - SIGHT, edits[-1] + SIGHT + 1) if edits else (0, len(seen[0]))
+                unclear += [(seen[0], i, seen[1][i]) for i in range(max(first, 0), min(last, len(seen[0]))) if not self.chars.learn(_features(seen[0], i), seen[1][i])]
+        for _ in range(EPOCHS - 1):
+            rng.shuffle(unclear)
+            unclear = [(seen, i, op) for seen, i, op in unclear if not self.chars.learn(_features(seen, i), op)]
         breaks = [(w[:i], w[i:], "J") for w in parts if len(w) > 4 for i in range(2, len(w) - 1)]
         breaks += [(w[:i], w[i + 1 :], KEEP) for w in words for i in (m.start() for m in re.finditer("-", w)) if 0 < i < len(w) - 1] * 3
         for _ in range(EPOCHS):

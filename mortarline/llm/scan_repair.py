@@ -37,6 +37,7 @@ _CODE = re.compile(r"^[A-Z]{1,3}-?\d|^\d+[A-Z]|^\d+(?:[.,]\d+)*[a-z]{0,2}\d?$|^v
 _BROKEN = re.compile(rf"([^\W\d_]+(?:-[^\W\d_]+)*)[{re.escape(STRAYS)}]?([{re.escape(LINE_MARKS)}])\s*$")
 _CONTINUED = re.compile(rf"^\s*([^\W\d_][^\W_{re.escape(STRAYS)}]*(?:[{re.escape(STRAYS)}-]+[^\W_]+)*)")
 _NUMBER = re.compile(r"^[\W_]*(?:page|pages|pg|p|seite|s|página|pág|pag)?[\W_]*(\d{1,5}|[ivxlc]{1,7})(?:\s*(?:of|/|von|de|sur)\s*\d+)?[\W_]*$", re.I)
+_DIGIT = re.compile(r"\d")
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 _LEAD, _TRAIL = re.compile(r"^\W*(\d{1,5})(?:\s*[|•·/–—-]\s*|\s+)(?=\D)"), re.compile(r"(?:\s*[|•·/–—-]\s*|\s+)(\d{1,5})\W*$")
 
@@ -153,9 +154,12 @@ def _page_lines(text: str, gone: frozenset[int]) -> list[tuple[int, str]]:
 
 def _edge(line: str) -> tuple[str, int | None, bool]:
     """(header key, printed number, nothing but the number) of a line at a page's edge."""
-    m = _NUMBER.match(line)
+    digits = _DIGIT.search(line) is not None
+    m = _NUMBER.match(line) if digits or len(line) < 60 else None
     if m:
         return "", int(m[1]) if m[1].isdigit() else roman(m[1]), True
+    if not digits:
+        return _key(line), None, False
     number = None
     for p in (_LEAD, _TRAIL):
         n = p.search(line)
