@@ -1,9 +1,12 @@
 """Mapping free-entered values to a canonical list (problem 4).
 
 The reference entries of a type, their aliases and the shortened forms of both
-are paths of a trie.  A value walks the trie with the rows of a Levenshtein
-automaton (adjacent transpositions count as one edit), so a whole branch is left
-as soon as no continuation can stay within the distance its length allows.
+are paths of a trie.  A value becomes a Levenshtein automaton (adjacent
+transpositions count as one edit) that walks the trie: a state holds, per number
+of edits, the set of the value's positions reached, steps between states are kept
+once they are made, and a branch is left as soon as no state of it is alive
+within the distance that the longest name below allows.  All entries within the
+distance of their length come out, the closest first.
 """
 
 from __future__ import annotations
@@ -11,14 +14,13 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Reference rows per pass over the values; a longer list is worked off in so many passes.
-ENTRY_BLOCK = 20_000
+#: Bytes of names that go to the tasks at once as a trie; a longer list is worked off block by block in the same scan.
+BLOCK_BYTES = 4 << 20
 #: A shortened word keeps at least so many characters of a word of at least LONG_WORD.
 SHORTENED, LONG_WORD = 4, 7
 
@@ -60,18 +62,16 @@ def writings(value: str) -> list[str]:
     return [f for f in dict.fromkeys(forms) if f and f not in PLACEHOLDERS]
 
 
-@dataclass
-class Node:
-    children: dict[str, Node] = field(default_factory=dict)
-    entries: list[tuple[int, int]] = field(default_factory=list)  # (entry, slack: edits this path may not use)
-    longest: int = 0
-
-
 class Trie:
-    """Reference names, aliases and shortened forms as paths that end in entry numbers."""
+    """Reference names, aliases and shortened forms as paths that end in entry numbers.
+
+    Nodes are numbers from 0, the root: so a trie of any depth can be sent to the tasks.
+    """
 
     def __init__(self) -> None:
-        self.root = Node()
+        self.children: list[dict[str, int]] = [{}]
+        self.entries: list[list[tuple[int, int]]] = [[]]  # (entry, slack: edits this path may not use)
+        self.longest: list[int] = [0]  # the longest name below
 
     def add(self, name: str, entry: int) -> None:
         plain = _plain(name)
@@ -83,104 +83,157 @@ class Trie:
                     self._path(_squeeze(" ".join([*words[:i], w[:n], *words[i + 1 :]])), entry, 1)
 
     def _path(self, text: str, entry: int, slack: int) -> None:
-        node = self.root
+        node = 0
         for c in text:
-            node.longest = max(node.longest, len(text))
-            node = node.children.setdefault(c, Node())
-        node.longest = max(node.longest, len(text))
-        if text and (entry, slack) not in node.entries:
-            node.entries.append((entry, slack))
+            self.longest[node] = max(self.longest[node], len(text))
+            child = self.children[node].get(c)
+            if child is None:
+                child = self.children[node][c] = len(self.children)
+                self.children.append({})
+                self.entries.append([])
+                self.longest.append(0)
+            node = child
+        self.longest[node] = max(self.longest[node], len(text))
+        if text and (entry, slack) not in self.entries[node]:
+            self.entries[node].append((entry, slack))
 
     def search(self, query: str) -> dict[int, int]:
         """All entries within the distance their length allows, with their smallest distance (a shortened form counts one)."""
         found: dict[int, int] = {}
-        n = len(query)
-        stack: list[tuple[Node, int, str, list[int], list[int] | None]] = [(self.root, 0, "", list(range(n + 1)), None)]
+        automaton = Automaton(query, allowed_distance(self.longest[0]))
+        stack = [(0, 0, 0)]
         while stack:
-            node, depth, last, row, before = stack.pop()
-            for entry, slack in node.entries:
-                d = row[n] + slack
-                if d <= allowed_distance(depth) and d < found.get(entry, 99):
-                    found[entry] = d
-            most = allowed_distance(node.longest)
-            for c, child in node.children.items():
-                new = [row[0] + 1]
-                for j in range(1, n + 1):
-                    q = query[j - 1]
-                    d = min(new[j - 1] + 1, row[j] + 1, row[j - 1] + (q != c))
-                    if before is not None and j > 1 and q == last and query[j - 2] == c:
-                        d = min(d, before[j - 2] + 1)
-                    new.append(d)
-                if min(new) <= most or min(row) < most:
-                    stack.append((child, depth + 1, c, new, row))
+            node, depth, state = stack.pop()
+            if self.entries[node]:
+                edits = automaton.edits(state)
+                if edits is not None:
+                    for entry, slack in self.entries[node]:
+                        if edits + slack <= allowed_distance(depth) and edits + slack < found.get(entry, 99):
+                            found[entry] = edits + slack
+            for c, child in self.children[node].items():
+                after = automaton.step(state, c)
+                if after >= 0 and automaton.least[after] <= allowed_distance(self.longest[child]):
+                    stack.append((child, depth + 1, after))
         return found
 
 
-def best_match(value: str, trie: Trie) -> tuple[int, int] | None:
-    """(entry, distance) of the closest entry to any writing of the value; ties go to the smallest entry."""
-    best: tuple[int, int] | None = None
-    for form in writings(value):
-        forms = [form]
-        if form.endswith("s") and len(form) > 4:
-            forms.append(form[:-1])
-        for f in forms:
+class Automaton:
+    """The Levenshtein automaton of one text for up to ``most`` edits, made state by state as it is walked."""
+
+    def __init__(self, text: str, most: int) -> None:
+        self.most, self.end, self.whole = most, 1 << len(text), (1 << (len(text) + 1)) - 1
+        #: Bit i + 1 is set where the text has the character at i.
+        self.places: dict[str, int] = {}
+        for i, c in enumerate(text):
+            self.places[c] = self.places.get(c, 0) | 1 << (i + 1)
+        # a state: per number of edits the positions reached, those before the last character, and that character
+        start = tuple(((1 << (j + 1)) - 1) & self.whole for j in range(most + 1))
+        self.states: list[tuple[tuple[int, ...], tuple[int, ...], str]] = [(start, (0,) * (most + 1), "")]
+        self.numbers = {self.states[0]: 0}
+        #: The fewest edits with which a state is alive.
+        self.least = [0]
+        self.steps: dict[tuple[int, str], int] = {}
+
+    def step(self, state: int, c: str) -> int:
+        """The state after one more character of a name, -1 if none is alive."""
+        known = self.steps.get((state, c))
+        if known is not None:
+            return known
+        now, before, last = self.states[state]
+        here, then = self.places.get(c, 0), self.places.get(last, 0)
+        out: list[int] = []
+        for j in range(self.most + 1):
+            reached = now[j] << 1 & here
+            if j:
+                # the name's character is one too many, another one, or the text has one too many; or two changed places
+                reached |= now[j - 1] | now[j - 1] << 1 | out[j - 1] << 1 | before[j - 1] << 2 & here << 1 & then
+            out.append(reached & self.whole)
+        alive = next((j for j, x in enumerate(out) if x), -1)
+        after = -1
+        if alive >= 0:
+            key = (tuple(out), now, c)
+            after = self.numbers.get(key, -1)
+            if after < 0:
+                after = self.numbers[key] = len(self.states)
+                self.states.append(key)
+                self.least.append(alive)
+        self.steps[state, c] = after
+        return after
+
+    def edits(self, state: int) -> int | None:
+        """The edits between the text and the characters walked, None if they are too many."""
+        return next((j for j, x in enumerate(self.states[state][0]) if x & self.end), None)
+
+
+def matches(value: str, trie: Trie) -> list[tuple[int, int]]:
+    """(entry, distance) of all entries that any writing of the value is near, closest first.
+
+    Of equally close ones those of the plainer writing come first, then the
+    smaller entries.
+    """
+    found: dict[int, tuple[int, int]] = {}
+    for k, form in enumerate(writings(value)):
+        for f in (form, form[:-1]) if form.endswith("s") and len(form) > 4 else (form,):
             for entry, d in trie.search(f).items():
-                if best is None or (d, entry) < (best[1], best[0]):
-                    best = entry, d
-        if best is not None and best[1] == 0:
-            break
-    return best
-
-
-def map_values(values: DataFrame, reference: DataFrame, key: str = "entity_id", kind: str = "entity_type", value: str = "entity_name", entry: str = "canonical_id", entry_block: int = ENTRY_BLOCK) -> DataFrame:
-    """(key, kind, value, canonical_id, distance): the closest reference row of the same kind.
-
-    canonical_id is 0 and distance null if no row is within reach (placeholders,
-    null and blank values among them).  Values of a kind that the reference does
-    not hold are left out.  Rows that repeat a key are each mapped.
+                if entry not in found or (d, k) < found[entry]:
+                    found[entry] = d, k
+    return [(entry, d) for entry, (d, k) in sorted(found.items(), key=lambda x: (x[1], x[0]))]
+
+
+def _tries(rows: list[tuple]) -> dict[str, Trie]:
+    """A trie per kind of (entry, kind, canonical, aliases) rows."""
+    tries: dict[str, Trie] = {}
+    for entry, kind, canonical, aliases in rows:
+        trie = tries.setdefault(kind, Trie())
+        for name in dict.fromkeys([canonical, *(aliases or [])]):
+            if name:
+                trie.add(name, entry)
+    return tries
+
+
+def map_values(values: DataFrame, reference: DataFrame, key: str = "entity_id", kind: str = "entity_type", value: str = "entity_name", entry: str = "canonical_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, kind, value, canonical_id, distance, matches): the reference rows of the same kind that a value is near.
+
+    ``matches`` has all of them with their distance, closest first; canonical_id
+    and distance are those of the first.  canonical_id is 0, distance null and
+    matches empty if no row is within reach (placeholders, null and blank values,
+    and values of a kind that the reference does not hold, among them).  Rows that
+    repeat a key are each mapped.
     """
-    rows = reference.where(F.col(entry).isNotNull() & F.col(kind).isNotNull())
-    n = rows.count()
-    passes = max(1, -(-n // entry_block))
+    rows = reference.where(F.col(entry).isNotNull() & F.col(kind).isNotNull()).select(entry, kind, "canonical", "aliases")
+    names = F.coalesce(F.length("canonical"), F.lit(0)) + F.coalesce(F.length(F.array_join("aliases", "")), F.lit(0))
+    blocks = max(1, -(-rows.agg(F.coalesce(F.sum(names), F.lit(0))).first()[0] // block_bytes))
     sc = values.sparkSession.sparkContext
     key_type = values.schema[key].dataType.simpleString()
-    kinds = rows.select(kind).distinct()
-    inputs = values.select(key, kind, value).join(kinds, kind, "left_semi").select(key, kind, value)
-    schema = f"`{key}` {key_type}, `{kind}` string, `{value}` string, canonical_id bigint, distance int"
-    mapped = None
-    for k in range(passes):
-        block = rows.where(F.pmod(F.xxhash64(entry), F.lit(passes)) == k).select(entry, kind, "canonical", "aliases").collect()
-        part = inputs.mapInArrow(_mapper(sc.broadcast([tuple(r) for r in block])), schema)
-        mapped = part if mapped is None else mapped.unionByName(part)
-    if passes == 1:
-        return mapped
-    order = F.struct(F.coalesce("distance", F.lit(1 << 20)), "canonical_id")
-    best = mapped.groupBy(key, kind, value).agg(F.min_by(F.struct("canonical_id", "distance"), order).alias("b"))
-    return best.select(key, kind, value, "b.canonical_id", "b.distance")
-
-
-def _mapper(block):  # noqa: ANN001, ANN202
+    mapped = values.select(key, kind, value, F.array().cast(_MATCHES).alias("matches"))
+    for k in range(blocks):
+        block = rows.where(F.pmod(F.xxhash64(entry), F.lit(blocks)) == k).collect()
+        mapped = mapped.mapInArrow(_mapper(sc.broadcast(_tries([tuple(r) for r in block]))), f"`{key}` {key_type}, `{kind}` string, `{value}` string, matches {_MATCHES}")
+    best = F.get("matches", F.lit(0))
+    return mapped.select(key, kind, value, F.coalesce(best["canonical_id"], F.lit(0)).cast("bigint").alias("canonical_id"), best["distance"].alias("distance"), "matches")
+
+
+_MATCHES = "array<struct<canonical_id:bigint,distance:int>>"
+
+
+def _mapper(sent):  # noqa: ANN001, ANN202
+    """Add the matches of one block of the reference to those there are."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries: dict[str, Trie] = {}
-        for entry, kind, canonical, aliases in block.value:
-            trie = tries.setdefault(kind, Trie())
-            for name in dict.fromkeys([canonical, *(aliases or [])]):
-                if name:
-                    trie.add(name, entry)
-        known: dict[tuple[str, str], tuple[int, int] | None] = {}
+        tries: dict[str, Trie] = sent.value
+        known: dict[tuple[str, str], list[tuple[int, int]]] = {}
         for batch in batches:
-            ids, distances = [], []
-            for t, v in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if v is None or t not in tries:
-                    m = None
-                elif (t, v) in known:
-                    m = known[t, v]
-                else:
-                    if len(known) > 200_000:
-                        known.clear()
-                    m = known[t, v] = best_match(v, tries[t])
-                ids.append(m[0] if m else 0)
-                distances.append(m[1] if m else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64()), pa.array(distances, pa.int32())], ["k", "t", "v", "canonical_id", "distance"])
+            out = []
+            for t, v, earlier in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                m = []
+                if v is not None and t in tries:
+                    m = known.get((t, v))
+                    if m is None:
+                        if len(known) > 200_000:
+                            known.clear()
+                        m = known[t, v] = matches(v, tries[t])
+                both = [(x["canonical_id"], x["distance"]) for x in earlier or ()] + m
+                out.append([{"canonical_id": e, "distance": d} for e, d in (sorted(both, key=lambda x: x[1]) if earlier else both)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out, pa.list_(pa.struct([("canonical_id", pa.int64()), ("distance", pa.int32())])))], ["k", "t", "v", "matches"])
 
     return run

@@ -47,10 +47,19 @@ def p3_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return map_values(table(spark, d, "entities"), table(spark, d, "construction_science_aliases")).select("entity_id", "canonical_id")
+    """The entities of the types that the list holds."""
+    names, listed = table(spark, d, "entities"), table(spark, d, "construction_science_aliases")
+    return map_values(names.join(listed.select("entity_type").distinct(), "entity_type", "left_semi"), listed).select("entity_id", "canonical_id")
+
+
+def p4_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Every entity with all rows within reach and their distances."""
+    mapped = map_values(table(spark, d, "entities"), table(spark, d, "construction_science_aliases"))
+    return mapped.select("entity_id", F.posexplode("matches").alias("position", "m")).select("entity_id", (F.col("position") + 1).alias("position"), "m.canonical_id", "m.distance")
 
 
 def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The names that match no row, those of types that the list does not hold among them."""
     mapped = map_values(table(spark, d, "entities"), table(spark, d, "construction_science_aliases")).where("canonical_id = 0")
     return mapped.groupBy("entity_type", "entity_name").agg(F.count("*").alias("n_entities"))
 
@@ -121,7 +130,7 @@ def p10_sentences(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        p1_found, p1_clean_chunks, p2_found, p2_collapsed, p3_found, p3_pairs, p4_found, p4_unmatched, p5_found, p5_pieces,
+        p1_found, p1_clean_chunks, p2_found, p2_collapsed, p3_found, p3_pairs, p4_found, p4_matches, p4_unmatched, p5_found, p5_pieces,
         p6_found, p6_paragraphs, p8_found, p8_leaked_items, p9_found, p9_mix, p9_shares, p9_full_mix, p9_full_shares, p10_found, p10_sentences,
     )
 }

@@ -96,9 +96,15 @@ def test_canonical_names(spark):
     cases = {"Concrête": 1, "соncrеte [12]": 1, "cats ston mix": 1, "Stone mix, cast": 1, "CONCRETES – sample 9": 1, "granite": 0, "unknown": 0, "": 0, None: 0}
     rows = [(f"m{i}", "material", v) for i, v in enumerate(cases)] + [("p1", "property", "Compre. strength"), ("p2", "property", "creep"), ("f1", "failure_mode", "CREPE"), ("z", "compound", "concrete"), ("n", None, "creep")]
     df = spark.createDataFrame(rows, "entity_id string, entity_type string, entity_name string").withColumn("canonical_id", F.lit(5))
-    for block in (20_000, 1):
-        got = {r["entity_id"]: r["canonical_id"] for r in K.map_values(df, ref, entry_block=block).collect()}
-        assert got == {f"m{i}": c for i, c in enumerate(cases.values())} | {"p1": 2, "p2": 3, "f1": 4}
+    want = {f"m{i}": c for i, c in enumerate(cases.values())} | {"p1": 2, "p2": 3, "f1": 4, "z": 0, "n": 0}
+    for size in (K.BLOCK_BYTES, 10):
+        rows = K.map_values(df, ref, block_bytes=size).collect()
+        assert {r["entity_id"]: r["canonical_id"] for r in rows} == want and len(rows) == len(want)
+        assert all((r["canonical_id"] == 0) == (r["distance"] is None) == (not r["matches"]) for r in rows)
+    near = spark.createDataFrame([(1, "material", "cement a", []), (2, "material", "cement b", None), (3, "material", "lime", ["cement"])], "canonical_id long, entity_type string, canonical string, aliases array<string>")
+    got = K.map_values(df.where("entity_id = 'm0'").withColumn("entity_name", F.lit("cement b")), near).first()
+    assert [tuple(m) for m in got["matches"]] == [(2, 0), (1, 1), (3, 2)] or [tuple(m) for m in got["matches"]] == [(2, 0), (1, 1)]
+    assert K.map_values(df, ref.where("false")).where("canonical_id <> 0").count() == 0 and K.map_values(df.where("false"), ref).count() == 0
 
 
 def test_mixing(spark):
