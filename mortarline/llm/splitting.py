@@ -34,30 +34,67 @@ def _paragraphs(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if text[a:b].strip()]
 
 
-def _longest(spans: list[tuple[int, int]]) -> int:
-    return max((e - s for s, e in spans), default=0)
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    part = text[a:b]
+    return a + len(part) - len(part.lstrip()), a + len(part.rstrip())
+
+
+def _stretches(text: str, limit: int) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Per kind of break, coarsest first, the stretches between neighbouring breaks, white space at their edges aside."""
+    yield KINDS[0], [_trimmed(text, a, b) for a, b in _paragraphs(text)]
+    yield KINDS[1], sentence_spans(text)
+    yield KINDS[2], [m.span() for m in _WORD.finditer(text)]
+
+
+def _cheapest(ends: list[int], starts: list[int], penalties: list[float], limit: int, even: float, room: int) -> list[int] | None:
+    """The cheapest choice of ends by dynamic programming: their indexes in order, None if no choice keeps the limit.
+
+    A piece goes from the start that belongs to the end before it (the first one
+    from the beginning) to its own end, and the last end is always chosen.
+    """
+    pos, start, penalty = np.array(ends), np.array(starts), np.array(penalties)
+    cost, back = np.full(len(pos), np.inf), np.full(len(pos), -1)
+    first = 0
+    for j, p in enumerate(ends):
+        if p <= limit:
+            cost[j] = ((p - even) / room) ** 2
+        while first < j and p - starts[first] > limit:
+            first += 1
+        if first < j:
+            # starts grow with their ends, so the pieces that fit begin after the ends from ``first`` on
+            c = cost[first:j] + penalty[first:j] + ((p - pos[first:j] - even) / room) ** 2
+            c[p - start[first:j] > limit] = np.inf
+            i = int(c.argmin())
+            if c[i] < cost[j]:
+                cost[j], back[j] = c[i], first + i
+    if not len(pos) or not np.isfinite(cost[-1]):
+        return None
+    chosen, j = [], len(ends) - 1
+    while j >= 0:
+        chosen.append(j)
+        j = int(back[j])
+    return chosen[::-1]
 
 
 def boundary_kind(text: str, limit: int = LIMIT) -> tuple[str, list[tuple[int, int]]]:
-    """The coarsest kind of break that leaves no stretch over ``limit``, and each cut position with its kind's rank.
+    """The coarsest kind of break at which pieces within the limit can be cut, and each cut position with its kind's rank.
 
     White space at the edges of a stretch does not count towards its length.
+    Breaks of a finer kind are added only within stretches that are too long.
     """
-    trimmed = lambda a, b: (a + len(text[a:b]) - len(text[a:b].lstrip()), a + len(text[a:b].rstrip()))
-    spans = [trimmed(a, b) for a, b in _paragraphs(text)]
-    cuts = [(e, 0) for _, e in spans]
-    if _longest(spans) <= limit:
-        return KINDS[0], cuts
-    sentences = sentence_spans(text)
-    known = {p for p, _ in cuts}
-    cuts += [(e, 1) for _, e in sentences if e not in known]
-    if _longest(sentences) <= limit:
-        return KINDS[1], cuts
-    words = [m.span() for m in _WORD.finditer(text)]
-    known |= {p for p, _ in cuts}
-    long = [(s, e) for s, e in sentences if e - s > limit]
-    cuts += [(e, 2) for _, e in words if e not in known and any(s < e < t for s, t in long)]
-    return (KINDS[2] if _longest(words) <= limit else KINDS[3]), cuts
+    cuts: dict[int, int] = {}
+    long: list[tuple[int, int]] | None = None
+    for rank, (kind, spans) in enumerate(_stretches(text, limit)):
+        for _, e in spans:
+            if e not in cuts and (rank < 2 or any(s < e < t for s, t in long or ())):
+                cuts[e] = rank
+        # pieces without overlap from stretch to stretch: there is a way if no stretch is too long by itself
+        lead = spans[0][0] if spans else 0
+        ends, starts = [e - lead for _, e in spans], [s - lead for s, _ in spans[1:]] + [len(text)]
+        if not spans or _cheapest(ends, starts, [0.0] * len(ends), limit, limit, limit) is not None:
+            return kind, list(cuts.items())
+        long = [(s, e) for s, e in spans if e - s > limit]
+    return KINDS[3], list(cuts.items())
 
 
 def _overlap_start(text: str, cut: int, overlap: int, floor: int) -> int:
@@ -105,40 +142,22 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[s
     positions = sorted(ranks)
     starts = [_overlap_start(text, p, overlap, 0) for p in positions]
     even = n / max(1, -(-(n - overlap) // room))
-    pos, start = np.array(positions), np.array(starts)
-    penalty = np.array([PENALTIES[ranks[p]] for p in positions])
-    cost, back = np.full(len(pos), np.inf), np.full(len(pos), -1)
-    first = 0
-    for j, p in enumerate(positions):
-        if p <= limit:
-            cost[j] = ((p - even) / room) ** 2
-        while first < j and p - starts[first] > limit:
-            first += 1
-        if first < j:
-            # starts grow with their cuts, so the pieces that fit end at the cuts from ``first`` on
-            c = cost[first:j] + penalty[first:j] + ((p - pos[first:j] - even) / room) ** 2
-            c[p - start[first:j] > limit] = np.inf
-            i = int(c.argmin())
-            if c[i] < cost[j]:
-                cost[j], back[j] = c[i], first + i
-    pieces, j = [], len(positions) - 1
-    while j >= 0:
-        i = int(back[j])
-        pieces.append((starts[i] if i >= 0 else 0, positions[j]))
-        j = i
-    return kind, pieces[::-1]
+    chosen = _cheapest(positions, starts, [PENALTIES[ranks[p]] for p in positions], limit, even, room)
+    assert chosen is not None  # no two positions are further apart than a piece has room for
+    return kind, [(starts[i] if i >= 0 else 0, positions[j]) for i, j in zip([-1, *chosen], chosen, strict=False)]
 
 
-def split_oversized(items: DataFrame, key: str = "chunk_id", text: str = "chunk_text", limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """Pieces of the items longer than ``limit``: key, boundary, n_chars, piece_no, n_pieces, start_pos, end_pos, piece.
+def split_oversized(items: DataFrame, key: str = "chunk_id", text: str = "chunk_text", limit: int = LIMIT, overlap: int = OVERLAP, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pieces of the items longer than ``limit``: key, boundary, n_chars, piece_no, n_pieces, start_pos, end_pos, piece and the item's columns ``keep``.
 
     piece_no counts from 1; positions are code points, end exclusive.  Items
-    within the limit, null ones included, are not among them.
+    within the limit, null ones included, are not among them.  Rows that repeat a
+    key are each cut.
     """
-    kind = items.schema[key].dataType.simpleString()
+    kept = {c: items.schema[c].dataType.simpleString() for c in keep}
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k", "boundary", "n_chars", "piece_no", "n_pieces", "start_pos", "end_pos", "piece"]
+        names = ["k", "boundary", "n_chars", "piece_no", "n_pieces", "start_pos", "end_pos", "piece", *(f"keep_{i}" for i in range(len(kept)))]
         for batch in batches:
             rows: list[tuple] = []
             index: list[int] = []
@@ -148,10 +167,12 @@ def split_oversized(items: DataFrame, key: str = "chunk_id", text: str = "chunk_
                 index += [i] * len(pieces)
             types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
             columns = list(zip(*rows, strict=True)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index, pa.int64())), *(pa.array(c, ty) for c, ty in zip(columns, types, strict=True))], names)
+            at = pa.array(index, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *(pa.array(c, ty) for c, ty in zip(columns, types, strict=True)), *(batch.column(2 + i).take(at) for i in range(len(kept)))], names)
 
-    long = items.where(F.length(text) > limit).select(key, text)
-    return long.mapInArrow(split, f"`{key}` {kind}, boundary string, n_chars bigint, piece_no int, n_pieces int, start_pos bigint, end_pos bigint, piece string")
+    long = items.where(F.length(text) > limit).select(key, text, *keep)
+    more = "".join(f", `{c}` {t}" for c, t in kept.items())
+    return long.mapInArrow(split, f"`{key}` {items.schema[key].dataType.simpleString()}, boundary string, n_chars bigint, piece_no int, n_pieces int, start_pos bigint, end_pos bigint, piece string{more}")
 
 
 def split_items(items: DataFrame, key: str = "chunk_id", text: str = "chunk_text", keep: tuple[str, ...] = ("doc_id", "section_guess"), limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
@@ -161,5 +182,4 @@ def split_items(items: DataFrame, key: str = "chunk_id", text: str = "chunk_text
     gives one piece that is null.
     """
     whole = items.where(F.coalesce(F.length(text), F.lit(0)) <= limit).select(key, *keep, F.lit(1).alias("piece_no"), F.lit(1).alias("n_pieces"), F.lit(0).cast("bigint").alias("start_pos"), F.length(text).cast("bigint").alias("end_pos"), F.col(text).alias("piece"))
-    parts = split_oversized(items, key, text, limit, overlap).drop("boundary", "n_chars")
-    return whole.unionByName(parts.join(items.where(F.length(text) > limit).select(key, *keep), key))
+    return whole.unionByName(split_oversized(items, key, text, limit, overlap, keep).drop("boundary", "n_chars"))
