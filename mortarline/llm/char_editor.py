@@ -20,7 +20,7 @@ import numpy as np
 import xxhash
 
 #: The most frequent words of the corpus that an editor is trained on, and their longest form.
-MAX_WORDS = 8000
+MAX_WORDS = 5000
 MAX_LETTERS = 32
 EPOCHS = 2
 #: Characters to both sides that features reach.
@@ -30,10 +30,11 @@ CLEAR = 4.0
 
 # What is printed and what a scanner makes of it.
 MISREADINGS = [
-    ("m", "rn"), ("n", "ri"), ("u", "ii"), ("w", "vv"), ("cl", "d"), ("li", "h"), ("d", "cl"), ("h", "li"), ("rn", "m"),
+    ("m", "rn"), ("n", "ri"), ("ri", "n"), ("u", "ii"), ("w", "vv"), ("cl", "d"), ("li", "h"), ("d", "cl"), ("h", "li"), ("rn", "m"),
     ("l", "1"), ("i", "l"), ("l", "i"), ("i", "1"), ("s", "5"), ("g", "9"), ("b", "6"), ("o", "0"), ("e", "c"), ("c", "e"),
     ("t", "f"), ("f", "t"), ("h", "b"), ("z", "2"), ("a", "4"), ("q", "9"), ("B", "8"), ("S", "5"), ("O", "0"), ("I", "l"), ("l", "I"),
 ]
+_UNDO = sorted({(a.lower(), b.lower()) for a, b in MISREADINGS if a.lower() != b.lower()})
 STRAYS = "¦|^~"
 LINE_MARKS = "-¬\xad‐‑"
 KEEP = "="
@@ -243,4 +244,19 @@ class CharEditor:
                     score = scores[op] - scores.get(KEEP, 0.0)
                     if changed + rest in self.lexicon and (best is None or score > best[0]):
                         best = score, changed + rest
+        return best[1] if best else self._undone(word)
+
+    def _undone(self, word: str) -> str | None:
+        """The most likely word of the list of which ``word`` is a single misreading."""
+        best: tuple[float, str] | None = None
+        for a, b in _UNDO:
+            at = word.find(b)
+            while at >= 0:
+                whole = word[:at] + a + word[at + len(b) :]
+                if whole in self.lexicon:
+                    scores = self.chars.scores(_features(word, at))
+                    score = scores.get(f"R{a}", 0.0) - scores.get(KEEP, 0.0)
+                    if best is None or score > best[0]:
+                        best = score, whole
+                at = word.find(b, at + 1)
         return best[1] if best else None

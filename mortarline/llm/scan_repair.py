@@ -285,6 +285,7 @@ def judged_lines(pages: DataFrame, editor: CharEditor) -> DataFrame:
         judge = LineJudge(model.value)
         names = ["chunk_id", "doc_id", "page_number", "line_no", "what", "place", "top", "key", "number", "alone", "shape"]
         types = [pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.bool_(), pa.int32()]
+        none = (None,) * 6
         for batch in batches:
             index, rows = [], []
             for i, (t, v) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
@@ -294,7 +295,7 @@ def judged_lines(pages: DataFrame, editor: CharEditor) -> DataFrame:
                 n = len(lines)
                 for no, what in judge.page(lines):
                     index.append(i)
-                    rows.append((no, what, None, None, None, None, None, None))
+                    rows.append((no, what, *none))
                 for x in dict.fromkeys([*range(min(EDGE_LINES, n)), *range(max(0, n - EDGE_LINES), n)]):
                     no, line = lines[x]
                     key, number, alone = _edge(line)
