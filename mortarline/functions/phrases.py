@@ -164,6 +164,38 @@ OVERLAYS = {
         "demote": {"in vitro": -1, "cell line": -1, "rodent model": -1, "pathway": -1, "molecular mechanism": -1, "assay": -1},
         "priority": {"compound": 2, "indication": 2, "model": 1, "pathway": 1, "assay": 0.5},
     },
+    "construction_research_v1": {"boost": {}, "demote": {}, "priority": {}},
+    "climate_resilience_v1": {
+        "boost": {
+            "freeze-thaw": 3, "freeze thaw": 3, "frost action": 3, "frost damage": 3, "chloride ingress": 3, "chloride attack": 3, "salt attack": 3, "deicing salts": 3,
+            "de-icing salts": 3, "salt spray": 3, "carbonation": 3, "carbonation depth": 3, "CO2 attack": 3, "sulfate attack": 3, "sulfate corrosion": 3, "coastal exposure": 3,
+            "marine environment": 3, "relative humidity": 2, "RH": 2, "thermal cycling": 2, "temperature cycling": 2, "wetting/drying": 2, "humidity cycling": 2, "UV exposure": 2,
+            "solar radiation": 2, "wind-driven rain": 2, "high wind": 2, "seismic": 2, "flood": 2, "arctic": 2, "tropical": 2, "climate": 1.5, "resilience": 1.5, "adaptation": 1.5,
+            "hazard": 1.5, "extreme weather": 2.5, "temperature extremes": 2.5, "precipitation": 2, "rainfall": 2, "snow load": 2, "ice formation": 2, "condensation": 2,
+            "moisture ingress": 2, "water intrusion": 2, "thermal shock": 2.5, "thermal stress": 2, "expansion joints": 2, "control joints": 2, "crack control": 2,
+            "drying shrinkage": 2, "plastic shrinkage": 2, "creep": 2, "stress relaxation": 2, "load redistribution": 2, "structural integrity": 2, "service life": 2, "durability": 2,
+            "performance degradation": 2, "material degradation": 2, "corrosion protection": 2, "weathering resistance": 2, "freeze protection": 2, "thermal insulation": 2,
+            "moisture control": 2, "vapor barrier": 2, "air barrier": 2, "waterproofing": 2, "drainage": 2, "ventilation": 2, "airtightness": 2, "thermal bridge": 2,
+            "heat transfer": 2, "thermal conductivity": 2, "R-value": 2, "U-value": 2, "thermal mass": 2, "heat capacity": 2, "specific heat": 2, "thermal expansion coefficient": 2,
+            "coefficient of thermal expansion": 2, "moisture diffusion": 2, "vapor diffusion": 2, "permeability": 2, "perm rating": 2, "water absorption": 2, "sorption": 2,
+            "desorption": 2, "equilibrium moisture content": 2, "absolute humidity": 2, "dew point": 2, "condensation point": 2, "wet bulb temperature": 2, "dry bulb temperature": 2,
+            "ambient temperature": 2, "surface temperature": 2, "core temperature": 2, "temperature gradient": 2, "thermal gradient": 2, "temperature differential": 2,
+            "thermal differential": 2, "heat flow": 2, "heat flux": 2, "heat transfer coefficient": 2, "convection": 2, "conduction": 2, "radiation": 2, "solar gain": 2,
+            "solar heat gain": 2, "infrared radiation": 2, "ultraviolet radiation": 2, "electromagnetic radiation": 2, "thermal radiation": 2, "black body radiation": 2,
+            "gray body radiation": 2, "emissivity": 2, "absorptivity": 2, "reflectivity": 2, "transmissivity": 2, "opacity": 2, "transparency": 2, "translucency": 2, "haze": 2,
+            "clarity": 2, "turbidity": 2, "cloudiness": 2, "fogging": 2, "fog": 2, "mist": 2, "dew": 2, "frost": 2, "ice": 2, "snow": 2, "hail": 2, "sleet": 2, "drizzle": 2,
+            "rain": 2, "storm": 2, "hurricane": 2, "tornado": 2, "cyclone": 2, "typhoon": 2, "monsoon": 2, "drought": 2, "heat wave": 2, "cold snap": 2, "temperature inversion": 2,
+            "thermal inversion": 2, "atmospheric pressure": 2, "barometric pressure": 2, "air pressure": 2, "wind pressure": 2, "wind load": 2, "wind speed": 2, "wind direction": 2,
+            "wind velocity": 2, "wind turbulence": 2, "wind shear": 2, "gust": 2, "gust factor": 2, "gust response": 2, "dynamic pressure": 2, "static pressure": 2,
+            "differential pressure": 2, "pressure differential": 2, "pressure gradient": 2, "pressure drop": 2, "pressure loss": 2, "pressure recovery": 2, "pressure distribution": 2,
+            "pressure coefficient": 2, "pressure tap": 2, "pressure sensor": 2, "pressure transducer": 2, "pressure gauge": 2, "pressure meter": 2, "pressure indicator": 2,
+            "pressure recorder": 2, "pressure data logger": 2, "pressure monitoring": 2, "pressure measurement": 2, "pressure testing": 2, "pressure test": 2, "pressure check": 2,
+            "pressure verification": 2, "pressure validation": 2, "pressure calibration": 2, "pressure adjustment": 2, "pressure regulation": 2, "pressure control": 2,
+            "pressure management": 2,
+        },
+        "demote": {"theoretical": -1, "conceptual": -1, "simulation": -0.5, "modeling": -0.5},
+        "priority": {"environment": 1.5, "failure_mode": 1.5, "hazard": 1.5, "material": 1.2, "system": 1.2},
+    },
 }
 ASSAY_KEYWORDS = ["lc-ms", "elisa", "western blot", "rna-seq", "flow cytometry", "mass spectrometry", "hplc", "nmr", "fluorescence", "spectrometry"]
 CO_CLIMATE = ["freeze-thaw", "freeze thaw", "frost", "chloride", "salt", "carbonation", "thermal", "temperature", "humidity", "uv", "solar", "wind", "seismic", "flood", "arctic", "tropical", "climate", "resilience", "adaptation"]
@@ -217,3 +249,154 @@ ABSTRACT_PATTERNS = [
 ]
 PDF_LINK = r"(?i)https?://[^\s<>\"']+\.pdf(?:\?[^\s<>\"']*)?(?:#[^\s<>\"']*)?"
 DOI_PREFIXES = ["https://doi.org/", "http://doi.org/", "https://dx.doi.org/", "http://dx.doi.org/", "doi:"]
+
+# --- scored extraction: writings by which a term of an ontology is known, the term itself first
+ABBREVIATIONS_OF_TERMS = {
+    "concrete": ["concrete", "conc", "cocrete"], "steel": ["steel", "stl"], "wood": ["wood", "timber", "lumber"], "glass": ["glass", "glz"], "brick": ["brick", "brk"],
+    "masonry": ["masonry", "msonry"], "foundation": ["foundation", "found", "fdn"], "beam": ["beam", "bm"], "column": ["column", "col", "clm"], "wall": ["wall", "wl"],
+    "roof": ["roof", "rf"], "floor": ["floor", "flr"], "insulation": ["insulation", "insul", "ins"], "moisture": ["moisture", "moist", "mstr"],
+    "corrosion": ["corrosion", "corrode", "corr"], "durability": ["durability", "durable", "dur"], "strength": ["strength", "str", "stren"],
+    "performance": ["performance", "perf", "prf"], "failure": ["failure", "fail", "fl"], "crack": ["crack", "crk"], "deflection": ["deflection", "defl", "def"],
+    "settlement": ["settlement", "settl", "sett"], "load": ["load", "ld"], "stress": ["stress", "strs"], "strain": ["strain", "strn"],
+    "temperature": ["temperature", "temp", "tmp"], "humidity": ["humidity", "humid", "hum"], "fire": ["fire", "flame", "fr"], "water": ["water", "wtr", "h2o"],
+    "vapor": ["vapor", "vpr"], "air": ["air"], "wind": ["wind", "wnd"], "seismic": ["seismic", "earthquake", "eq"], "snow": ["snow", "snw"], "ice": ["ice", "ic"],
+    "frost": ["frost", "frst"], "freeze": ["freeze", "frz"], "thaw": ["thaw", "thw"], "thermal": ["thermal", "therm", "th"], "acoustic": ["acoustic", "sound", "ac"],
+    "structural": ["structural", "struct", "str"], "mechanical": ["mechanical", "mech", "mc"], "chemical": ["chemical", "chem", "ch"], "physical": ["physical", "phys", "ph"],
+    "environmental": ["environmental", "env", "envr"], "building": ["building", "bldg", "bld"], "construction": ["construction", "const", "cnst"],
+    "design": ["design", "des", "ds"], "analysis": ["analysis", "anal", "anl"], "test": ["test", "tst"], "method": ["method", "meth", "mth"],
+    "procedure": ["procedure", "proc", "prc"], "standard": ["standard", "std", "stnd"], "code": ["code", "cd"], "specification": ["specification", "spec", "spc"],
+    "requirement": ["requirement", "req", "rqr"], "guideline": ["guideline", "guid", "gdl"], "practice": ["practice", "prac", "pr"], "technique": ["technique", "tech", "tch"],
+    "approach": ["approach", "app", "apr"], "strategy": ["strategy", "strat", "stg"], "solution": ["solution", "sol", "sl"], "system": ["system", "sys", "sys"],
+    "component": ["component", "comp", "cmp"], "element": ["element", "elem", "elm"], "member": ["member", "mem", "mbr"], "connection": ["connection", "conn", "cn"],
+    "joint": ["joint", "jnt"], "anchor": ["anchor", "anch", "anc"], "fastener": ["fastener", "fast", "fst"], "bolt": ["bolt", "blt"], "screw": ["screw", "scr"],
+    "nail": ["nail", "nl"], "weld": ["weld", "wld"], "adhesive": ["adhesive", "adhs", "adh"], "sealant": ["sealant", "seal", "sl"], "coating": ["coating", "coat", "ct"],
+    "paint": ["paint", "pnt"], "finish": ["finish", "fnsh", "fn"], "surface": ["surface", "surf", "sf"], "interface": ["interface", "intf", "if"],
+    "boundary": ["boundary", "bnd", "bd"], "transition": ["transition", "trans", "tr"], "junction": ["junction", "jnc", "jct"], "intersection": ["intersection", "intr", "ix"],
+    "penetration": ["penetration", "pen", "pn"], "opening": ["opening", "opn", "op"], "void": ["void", "vd"], "cavity": ["cavity", "cav", "cv"], "gap": ["gap", "gp"],
+    "fissure": ["fissure", "fis", "fs"], "fracture": ["fracture", "frac", "fr"], "split": ["split", "splt", "sp"], "tear": ["tear", "tr"], "rip": ["rip", "rp"],
+    "break": ["break", "brk"], "damage": ["damage", "dm", "dg"], "deterioration": ["deterioration", "deter", "dt"], "degradation": ["degradation", "degrad", "dg"],
+    "decay": ["decay", "dcy", "dc"], "rot": ["rot", "rt"], "oxidation": ["oxidation", "oxid", "ox"], "weathering": ["weathering", "weather", "wth"],
+    "erosion": ["erosion", "eros", "er"], "wear": ["wear", "wr"], "fatigue": ["fatigue", "fat", "ft"], "creep": ["creep", "crp"], "shrinkage": ["shrinkage", "shrink", "shk"],
+    "expansion": ["expansion", "expand", "exp"], "contraction": ["contraction", "contract", "cont"], "movement": ["movement", "move", "mv"],
+    "displacement": ["displacement", "displace", "dsp"], "deformation": ["deformation", "deform", "dfm"], "distortion": ["distortion", "distort", "dstr"],
+    "buckling": ["buckling", "buckle", "bkl"], "sag": ["sag", "sg"], "bow": ["bow", "bw"], "twist": ["twist", "twt", "tw"], "warp": ["warp", "wrp"],
+    "camber": ["camber", "cmb"], "slope": ["slope", "slp"], "grade": ["grade", "grd"], "pitch": ["pitch", "ptch", "pt"], "angle": ["angle", "ang", "ag"],
+    "orientation": ["orientation", "orient", "ort"], "alignment": ["alignment", "align", "aln"], "position": ["position", "pos", "ps"], "location": ["location", "loc", "lc"],
+    "placement": ["placement", "place", "plc"], "installation": ["installation", "install", "inst"], "erection": ["erection", "erect", "er"],
+    "assembly": ["assembly", "assem", "asm"], "fabrication": ["fabrication", "fabric", "fab"], "manufacturing": ["manufacturing", "manufact", "mfg"],
+    "production": ["production", "product", "prod"],
+}
+#: By field and kind of context, the patterns of which one must be in the text.
+CONTEXT_PATTERNS = {
+    "construction": {
+        "material_context": [
+            r"(?:material|construction|building|structural).*?(?:test|analysis|performance)", r"(?:concrete|steel|wood|glass).*?(?:strength|durability|performance)",
+            r"(?:material|component).*?(?:failure|degradation|corrosion)",
+        ],
+        "system_context": [
+            r"(?:system|assembly|component).*?(?:performance|failure|analysis)", r"(?:wall|roof|foundation).*?(?:design|analysis|performance)",
+        ],
+        "environment_context": [
+            r"(?:environment|condition|exposure).*?(?:effect|impact|performance)", r"(?:temperature|humidity|corrosive).*?(?:effect|impact|performance)",
+        ],
+    },
+    "biomedical": {
+        "compound_context": [
+            r"(?:compound|drug|molecule).*?(?:activity|efficacy|potency)", r"(?:inhibit|activate|bind).*?(?:target|receptor|enzyme)",
+        ],
+        "target_context": [
+            r"(?:target|receptor|enzyme).*?(?:expression|activity|function)", r"(?:protein|gene).*?(?:expression|mutation|variant)",
+        ],
+        "assay_context": [
+            r"(?:assay|test|analysis).*?(?:result|measurement|data)", r"(?:ic50|ec50|kd|ki).*?(?:value|measurement|result)",
+        ],
+    },
+}
+#: Words taken from a text with such a context.
+CONTEXT_WORDS = {
+    "material_context": ("material", [r"\b(concrete|steel|wood|glass|brick|masonry)\b", r"\b(strength|durability|performance)\b"]),
+    "system_context": ("system", [r"\b(wall|roof|foundation|beam|column)\b", r"\b(system|assembly|component)\b"]),
+    "environment_context": ("environment", [r"\b(temperature|humidity|corrosive|exposure)\b", r"\b(environment|condition)\b"]),
+}
+#: Candidates for entities where the scored stages find few, by field and kind, and the words that tell a candidate's kind.
+FALLBACK_PATTERNS = {
+    "construction": {
+        "material_patterns": [
+            r"\b(?:high[-\s]?strength|reinforced|prestressed|fiber[-\s]?reinforced|carbon[-\s]?fiber|glass[-\s]?fiber)\s+(?:concrete|steel|polymer)\b",
+            r"\b(?:structural|load[-\s]?bearing|bearing|supporting)\s+(?:beam|column|wall|slab)\b",
+            r"\b(?:thermal|acoustic|fire|water|vapor)\s+(?:insulation|barrier|resistance|proof)\b", r"\b(?:sealant|adhesive|coating|paint|finish)\b",
+            r"\b(?:aggregate|gravel|sand|cement|mortar|grout)\b",
+        ],
+        "system_patterns": [
+            r"\b(?:load[-\s]?bearing|structural|supporting|bearing)\s+(?:system|assembly|framework)\b", r"\b(?:foundation|footing|pile|raft|slab)\b",
+            r"\b(?:roofing|cladding|façade|curtain\s+wall)\b", r"\b(?:HVAC|plumbing|electrical|mechanical)\s+(?:system|installation)\b",
+            r"\b(?:seismic|wind|snow|live|dead)\s+(?:load|resistance)\b",
+        ],
+        "environment_patterns": [
+            r"\b(?:corrosive|harsh|extreme|aggressive)\s+(?:environment|condition)\b", r"\b(?:marine|coastal|industrial|urban|rural)\s+(?:environment|exposure)\b",
+            r"\b(?:freeze[-\s]?thaw|thermal|moisture|humidity)\s+(?:cycle|variation)\b", r"\b(?:UV|ultraviolet|solar|weathering)\s+(?:exposure|degradation)\b",
+            r"\b(?:chemical|biological|physical)\s+(?:attack|degradation)\b",
+        ],
+        "failure_patterns": [
+            r"\b(?:structural|mechanical|material)\s+(?:failure|collapse|buckling)\b", r"\b(?:cracking|crack|fissure|fracture|split)\b",
+            r"\b(?:corrosion|rust|oxidation|deterioration)\b", r"\b(?:deflection|deformation|distortion|sagging)\b", r"\b(?:leakage|water\s+intrusion|moisture\s+damage)\b",
+        ],
+    },
+    "biomedical": {
+        "compound_patterns": [
+            r"\b(?:small[-\s]?molecule|peptide|protein|antibody|enzyme|inhibitor|activator)\b", r"\b(?:drug|compound|molecule|agent|substance)\s+(?:X\d+|[A-Z]{2,}\d+)\b",
+            r"\b(?:IC50|EC50|KD|Ki|IC90|EC90)\s*[<>=]?\s*\d+[\s\w]*\b", r"\b(?:potent|effective|active|inactive|weak)\s+(?:compound|drug|inhibitor)\b",
+            r"\b(?:synthetic|natural|organic|inorganic)\s+(?:compound|molecule)\b",
+        ],
+        "target_patterns": [
+            r"\b(?:protein|enzyme|receptor|channel|transporter)\s+(?:[A-Z][A-Z0-9]+)\b", r"\b(?:gene|mutation|variant|polymorphism)\s+(?:[A-Z][A-Z0-9]+)\b",
+            r"\b(?:cell|tissue|organ)\s+(?:line|type|specific)\b", r"\b(?:pathway|signal|cascade|network)\s+(?:[A-Z][A-Z0-9]+)\b",
+            r"\b(?:binding|interaction|expression|activity)\s+(?:assay|test)\b",
+        ],
+        "assay_patterns": [
+            r"\b(?:ELISA|HPLC|LC-MS|MS/MS|NMR|X-ray|crystallography)\b", r"\b(?:in\s+vitro|in\s+vivo|ex\s+vivo)\s+(?:assay|test|experiment)\b",
+            r"\b(?:dose[-\s]?response|time[-\s]?course|kinetic)\s+(?:study|assay)\b", r"\b(?:cell[-\s]?based|biochemical|functional)\s+(?:assay|screen)\b",
+            r"\b(?:high[-\s]?throughput|HTS|screening)\s+(?:assay|platform)\b",
+        ],
+    },
+}
+FALLBACK_KEYWORDS = {
+    "construction": {
+        "material_keywords": [
+            "concrete", "steel", "wood", "glass", "brick", "masonry", "insulation", "sealant", "coating", "paint", "aggregate", "cement", "mortar",
+        ],
+        "system_keywords": [
+            "beam", "column", "wall", "slab", "foundation", "roof", "floor", "frame", "structure", "assembly", "component",
+        ],
+        "environment_keywords": [
+            "temperature", "humidity", "corrosion", "exposure", "weathering", "freeze", "thaw", "UV", "solar", "marine", "industrial",
+        ],
+        "failure_keywords": [
+            "failure", "collapse", "crack", "fracture", "corrosion", "deterioration", "deflection", "deformation", "leakage", "damage", "buckling",
+        ],
+    },
+    "biomedical": {
+        "compound_keywords": [
+            "compound", "drug", "molecule", "inhibitor", "activator", "ligand", "substrate", "product", "metabolite", "peptide", "protein",
+        ],
+        "target_keywords": [
+            "protein", "enzyme", "receptor", "channel", "transporter", "gene", "mutation", "variant", "cell", "tissue", "organ",
+        ],
+        "assay_keywords": [
+            "assay", "test", "experiment", "screen", "analysis", "measurement", "IC50", "EC50", "KD", "Ki", "activity", "binding",
+        ],
+    },
+}
+CAPITALIZED = r"\b(?:[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3})\b"
+NO_ENTITY_PHRASES = [
+    r"^(?:the|a|an|this|that|these|those|our|your|my|his|her|its)\b", r"\b(?:study|analysis|result|data|method|approach|technique|process|system)\b$",
+    r"\b(?:based|related|associated|involved|including|containing)\b", r"\b(?:from|with|for|by|on|in|at|to|of|as|is|are|was|were)\b",
+]
+ENTITY_CODES = r"(?i)\b(?:[A-Z]{1,3}[-\s]?[0-9]{2,4}|[A-Z]{2,}[0-9]+|[0-9]+[A-Z]{1,3})\b"
+#: Types of entities that are what a text is about, whatever their name.
+PRIMARY_TYPES = ["gene", "protein", "compound", "cell_type", "assay", "test_method", "stem_cell", "neural_cell", "model", "peptide", "failure_mode", "target", "organism", "disease", "phenotype", "mutation", "variant", "tissue", "pathway", "biomarker", "receptor", "enzyme", "transcription_factor", "rna", "metabolite", "drug", "chemical", "exposure", "treatment", "intervention", "outcome", "measurement"]
+#: Entity types that a domain's tables may hold; a domain without an entry may hold all.
+_BUILDING_TYPES = ["material", "materials", "system", "systems", "failure_mode", "failure_modes", "environment", "environments", "hazard", "hazards", "test_method", "test_methods", "code", "codes", "property", "properties"]
+_LIFE_TYPES = ["peptide", "compound", "target", "pathway", "indication", "model", "stem_cell", "neural_cell", "assay", "biomarker"]
+ALLOWED_TYPES = {"construction_science": _BUILDING_TYPES, "biohacking_longevity": _LIFE_TYPES, "neuroscience_cognition": _LIFE_TYPES, "neuroscience": _LIFE_TYPES, "stem_cells_regen": _LIFE_TYPES, "drug_discovery": _LIFE_TYPES, "methods_tooling": _LIFE_TYPES}
+ALL_TYPES = [*_LIFE_TYPES, *_BUILDING_TYPES]

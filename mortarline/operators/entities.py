@@ -144,4 +144,4 @@ def relations(rows: DataFrame, sentence: str = "sentence", entities: str = "enti
     pairs = rows.select(*keep, sentence, F.explode(f"{entities}.entity_name").alias("entity_1"), F.col(f"{entities}.entity_name").alias("_names"))
     pairs = pairs.where(F.col(sentence).rlike("(?i)than|analog of|derivative of")).select(*keep, sentence, "entity_1", F.explode("_names").alias("entity_2"))
     hits = [F.when(F.expr(f"`{sentence}` RLIKE concat('(?i)\\\\Q', entity_1, '\\\\E\\\\s+', {SPARK.text(p)}, '\\\\s+\\\\Q', entity_2, '\\\\E')"), F.lit(name)) for name, p in P.RELATIONS]
-    return exploded(pairs, F.array_compact(F.array(*hits)), "relationship_type", *keep, "entity_1", "entity_2").distinct()
+    return exploded(pairs, F.array_compact(F.array(*hits)), "relationship_type", *keep, "entity_1", "entity_2").select(*keep, "relationship_type", "entity_1", "entity_2").distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,35 +11,11 @@ from pyspark.sql import functions as F
 from mortarline.functions import phrases as P
 from mortarline.functions.dialect import SPARK
 from mortarline.functions.normalize import fold_case
-from mortarline.operators.entities import word_pattern
 
 ENTITY = "struct<entity_type:string,entity_name:string,entity_variant:string,confidence:double,source:string>"
 
-# Patterns of the extraction stages.
-ABBREVIATED = {"concrete": ["conc", "cocrete"], "steel": ["stl"], "wood": ["timber", "lumber"], "brick": ["brk"], "foundation": ["found", "fdn"], "beam": ["bm"], "column": ["col", "clm"], "insulation": ["insul"], "moisture": ["moist"], "corrosion": ["corrode"], "durability": ["durable"], "strength": ["stren"], "failure": ["fail"], "crack": ["crk"], "deflection": ["defl"], "settlement": ["settl"], "temperature": ["temp"], "humidity": ["humid"]}
-CONTEXTS = {
-    "construction": {
-        "system": ([r"(?:system|assembly|component).*?(?:performance|failure|analysis)", r"(?:wall|roof|foundation).*?(?:design|analysis|performance)"], [r"\b(wall|roof|foundation|beam|column)\b", r"\b(system|assembly|component)\b"]),
-        "environment": ([r"(?:environment|condition|exposure).*?(?:effect|impact|performance)", r"(?:temperature|humidity|corrosive).*?(?:effect|impact|performance)"], [r"\b(temperature|humidity|corrosive|exposure)\b", r"\b(environment|condition)\b"]),
-    },
-    "biomedical": {
-        "compound": ([r"(?:compound|drug|molecule).*?(?:activity|efficacy|potency)", r"(?:inhibit|activate|bind).*?(?:target|receptor|enzyme)"], []),
-        "assay": ([r"(?:assay|test|analysis).*?(?:result|measurement|data)", r"(?:ic50|ec50|kd|ki).*?(?:value|measurement|result)"], []),
-    },
-}
+# Labelled sequences, and names that are no entity.
 SEQUENCES = [r"(?i)sequence[:\s]+([{aa}]{8,100})", r"(?i)seq[:\s]+([{aa}]{8,100})", r"(?i)peptide[:\s]+([{aa}]{8,100})", r"(?i)residues?\s+\d+[-–]\d+[:\s]+([{aa}]{8,100})", r"(?i)[nc]-terminus[:\s]+([{aa}]{8,100})", r"(?i)\(([{aa}]{8,100})\)", r"(?i)\[([{aa}]{8,100})\]"]
-FALLBACK_PATTERNS = {
-    "material_keywords": [r"\b(?:high[-\s]?strength|reinforced|prestressed|fiber[-\s]?reinforced|carbon[-\s]?fiber|glass[-\s]?fiber)\s+(?:concrete|steel|polymer)\b", r"\b(?:sealant|adhesive|coating|paint|finish)\b", r"\b(?:aggregate|gravel|sand|cement|mortar|grout)\b"],
-    "system_keywords": [r"\b(?:foundation|footing|pile|raft|slab)\b", r"\b(?:roofing|cladding|façade|curtain\s+wall)\b", r"\b(?:seismic|wind|snow|live|dead)\s+(?:load|resistance)\b"],
-    "environment_keywords": [r"\b(?:marine|coastal|industrial|urban|rural)\s+(?:environment|exposure)\b", r"\b(?:freeze[-\s]?thaw|thermal|moisture|humidity)\s+(?:cycle|variation)\b", r"\b(?:uv|ultraviolet|solar|weathering)\s+(?:exposure|degradation)\b"],
-    "failure_keywords": [r"\b(?:structural|mechanical|material)\s+(?:failure|collapse|buckling)\b", r"\b(?:cracking|crack|fissure|fracture|split)\b", r"\b(?:corrosion|rust|oxidation|deterioration)\b", r"\b(?:leakage|water\s+intrusion|moisture\s+damage)\b"],
-}
-FALLBACK_WORDS = {
-    "material_keywords": ["concrete", "steel", "wood", "glass", "brick", "masonry", "insulation", "sealant", "coating", "paint", "aggregate", "cement", "mortar"],
-    "system_keywords": ["beam", "column", "wall", "slab", "foundation", "roof", "floor", "frame", "structure", "assembly", "component"],
-    "environment_keywords": ["temperature", "humidity", "corrosion", "exposure", "weathering", "freeze", "thaw", "uv", "solar", "marine", "industrial"],
-    "failure_keywords": ["failure", "collapse", "crack", "fracture", "corrosion", "deterioration", "deflection", "deformation", "leakage", "damage", "buckling"],
-}
 JUNK = [r"^[\[\]{}()]$", r"^[^\w\s]+$", r"^\d+$", r"^[a-z]{1,2}$", r"^indirect.*$", r"^unknown.*$", r"^unspecified.*$"]
 BIOMEDICAL_WORDS = ["peptide", "compound", "target", "pathway", "indication", "assay", "protein", "gene"]
 CONSTRUCTION_WORDS = ["concrete", "steel", "wood", "glass", "brick", "masonry", "foundation", "beam", "column"]
@@ -69,26 +46,66 @@ def _none() -> Column:
     return F.array().cast(f"array<{ENTITY}>")
 
 
-def ontology_stage(s: str, ontology: Mapping[str, Sequence[str]]) -> Column:
-    """Terms of an ontology that stand in the text (0.8), and those an abbreviation of theirs gives (0.6)."""
-    rows = []
-    for kind, terms in ontology.items():
-        for t in terms:
-            rows.append((kind, t, "ontology", 0.8, t, word_pattern(t)))
-            for short in ABBREVIATED.get(t, []):
-                rows.append((kind, t, "abbreviation", 0.6, short, word_pattern(short)))
-    if not rows:
+def _suits(name: str, kind: str, domain: str) -> bool:
+    """valid_for_domain for a name that is known when the query is built."""
+    n = name.lower().strip()
+    if any(re.match(p, n) for p in JUNK):
+        return False
+    words = BIOMEDICAL_WORDS if domain == "construction_science" else CONSTRUCTION_WORDS if domain in ("methods_tooling", "biohacking_longevity") else []
+    return not any(w in n for w in words) and not (domain == "construction_science" and kind in P.BIOMEDICAL_TYPES)
+
+
+def preceding_type(name: str, kind: str, domain: str = "construction_science") -> str:
+    """The type that a name has whatever list it stands in: the first group of the domain that holds it, else its own."""
+    groups = P.DOMAIN_TYPES.items() if domain == "construction_science" else ()
+    return next((t for t, names in groups if name.lower().strip() in names), kind)
+
+
+Constant = tuple[str, str, str | None, float, str, str]
+
+
+def _present(s: str, entries: Sequence[Constant]) -> Column:
+    """The (type, name, variant, confidence, source, part) entries whose part the text has."""
+    if not entries:
         return _none()
     text = F.col(s)
-    return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(gate)) & text.rlike(pattern), _entity(F.lit(kind), F.lit(term), F.lit(via), score, via)) for kind, term, via, score, gate, pattern in rows]))
+    return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(part)), _entity(F.lit(kind), F.lit(name), F.lit(variant).cast("string"), score, source)) for kind, name, variant, score, source, part in entries]))
+
+
+def ontology_stage(s: str, ontology: Mapping[str, Sequence[str]], domain: str = "construction_science") -> Column:
+    """Terms of an ontology that are part of the text (0.8), and those of which another writing is (0.6)."""
+    writings = P.ABBREVIATIONS_OF_TERMS if domain == "construction_science" else {}
+    entries: list[Constant] = []
+    for kind, terms in ontology.items():
+        for t in terms:
+            if _suits(t, kind, domain):
+                entries.append((preceding_type(t, kind, domain), t.upper(), None, 0.8, "ontology_exact", t.lower()))
+            for w in dict.fromkeys(writings.get(t.lower(), [])):
+                if w.lower() != t.lower() and _suits(w, kind, domain):
+                    entries.append((preceding_type(w, kind, domain), t.upper(), w.upper(), 0.6, "ontology_abbreviation", w.lower()))
+    return _present(s, entries)
+
+
+#: By list of names: type, variant, confidence and source of an entity found by it.
+SEED_KINDS = {"assays": ("assay", "assay", 0.85, "json_assay"), "metrics": ("assay", "metric", 0.70, "json_metric"), "pathways": ("pathway", "pathway", 0.80, "json_pathway"), "indications": ("indication", "disease", 0.75, "json_indication")}
+
+
+def seed_stage(s: str, seeds: Mapping[str, Sequence[str]], domain: str | None = None, source: str | None = None) -> Column:
+    """Names of seed lists (assays, metrics, pathways, indications) that are part of the text, each type, name and variant once.
+
+    With ``domain`` only names that suit it; ``source`` replaces the list's own.
+    """
+    entries = [(kind, n, variant, score, source or own, n.lower()) for key, (kind, variant, score, own) in SEED_KINDS.items() for n in dict.fromkeys(seeds.get(key, ())) if n and (domain is None or _suits(n, kind, domain))]
+    return _present(s, entries)
 
 
 def context_stage(s: str, field: str) -> Column:
     """Words next to a phrase that speaks of their kind (0.5)."""
     parts = []
-    for kind, (triggers, words) in CONTEXTS[field].items():
-        if not words:
+    for context, triggers in P.CONTEXT_PATTERNS[field].items():
+        if context not in P.CONTEXT_WORDS:
             continue
+        kind, words = P.CONTEXT_WORDS[context]
         found = F.concat(*[F.regexp_extract_all(F.col(s), F.lit(w), F.lit(1)) for w in words])
         parts.append(F.when(F.expr(" OR ".join(SPARK.matches(s, t) for t in triggers)), _as_entities(found, kind, None, 0.5, "context_pattern")).otherwise(_none()))
     return F.concat(*parts) if parts else _none()
@@ -119,22 +136,30 @@ def keep_most_confident(entities: Column) -> Column:
     return F.get(firsts, F.lit(0))
 
 
-def fallback_candidates(sentence: Column, s: str = "_s") -> Column:
-    """Array of struct(text, position, confidence, source): phrases of the field (0.6), capitalized phrases (0.4), codes (0.3)."""
-    patterns = [p for ps in FALLBACK_PATTERNS.values() for p in ps]
-    phrases = F.concat(*[F.regexp_extract_all(F.col(s), F.lit(p), F.lit(0)) for p in patterns])
-    capitals = F.filter(F.regexp_extract_all(sentence, F.lit(r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3}\b"), F.lit(0)), lambda x: ~x.rlike(r"^(?:The|This|These|Those|In|On|At|For|With|Table|Figure|Section|Chapter)\b"))
-    codes = F.regexp_extract_all(sentence, F.lit(r"\b[A-Z]{1,4}-?\d{1,5}[A-Z]?\b"), F.lit(0))
+def fallback_candidates(sentence: Column, s: str = "_s", field: str = "construction") -> Column:
+    """Array of struct(text, position, confidence, source): phrases of the field (0.6), capitalized phrases (0.4), codes (0.3).
+
+    A text that occurs again counts once, with its first position.
+    """
     row = lambda conf, source: lambda x: F.struct(x.alias("text"), (F.call_function("locate", F.lower(x), F.lower(sentence)) - 1).alias("position"), F.lit(conf).alias("confidence"), F.lit(source).alias("source"))
-    return F.concat(F.transform(F.array_distinct(phrases), row(0.6, "domain_pattern")), F.transform(F.array_distinct(capitals), row(0.4, "capitalized")), F.transform(F.array_distinct(codes), row(0.3, "code")))
+    all_of = lambda patterns: F.array_distinct(F.concat(*[F.regexp_extract_all(F.col(s), F.lit(f"(?i){p}"), F.lit(0)) for p in patterns]))
+    phrases = [F.transform(all_of(ps), row(0.6, f"pattern_{kind}")) for kind, ps in P.FALLBACK_PATTERNS[field].items()]
+    capitals = F.filter(F.regexp_extract_all(sentence, F.lit(P.CAPITALIZED), F.lit(0)), lambda x: ~F.lower(x).rlike("|".join(P.NO_ENTITY_PHRASES)))
+    codes = F.regexp_extract_all(sentence, F.lit(P.ENTITY_CODES), F.lit(0))
+    return F.concat(*phrases, F.transform(F.array_distinct(capitals), row(0.4, "capitalized_phrase")), F.transform(F.array_distinct(codes), row(0.3, "alphanumeric_code")))
+
 
+def fallback_types(sentence: Column, s: str = "_s", known: Column | None = None, field: str = "construction") -> Column:
+    """Candidates with a type: the first group of which the text has two words, else the first whose pattern the candidate has; others are dropped.
 
-def fallback_types(sentence: Column, s: str = "_s", known: Column | None = None) -> Column:
-    """Candidates with a type: the first group with two of its words in the text, else the group whose pattern the phrase has; others are dropped."""
-    groups = [F.when(F.expr(f"{SPARK.points((SPARK.has(s, [w]), 1) for w in words)} >= 2"), F.lit(g)) for g, words in FALLBACK_WORDS.items()]
-    by_words = F.coalesce(*groups)
-    by_pattern = lambda x: F.coalesce(*[F.when(F.lower(x).rlike("|".join(ps)), F.lit(g)) for g, ps in FALLBACK_PATTERNS.items()])
-    typed = F.transform(fallback_candidates(sentence, s), lambda c: _entity_of(c, F.coalesce(by_words, by_pattern(c["text"]))))
+    The words of a group are compared as they are written with the text in lower
+    case, so a word in capitals matches nothing.
+    """
+    by_words = F.coalesce(*[F.when(F.expr(f"{SPARK.points((SPARK.has(s, [w]), 1) for w in words)} >= 2"), F.lit(g)) for g, words in P.FALLBACK_KEYWORDS[field].items()])
+    by_pattern = lambda x: F.coalesce(*[F.when(F.lower(x).rlike("(?i)" + "|".join(ps)), F.lit(g)) for g, ps in P.FALLBACK_PATTERNS[field].items()])
+    # the text's group is found once, not for every candidate
+    bound = F.array(F.struct(by_words.alias("g"), fallback_candidates(sentence, s, field).alias("cs")))
+    typed = F.flatten(F.transform(bound, lambda b: F.transform(b["cs"], lambda c: _entity_of(c, F.coalesce(b["g"], by_pattern(c["text"]))))))
     out = F.filter(typed, lambda e: e["entity_type"].isNotNull())
     if known is not None:
         out = F.filter(out, lambda e: ~F.exists(known, lambda k: F.lower(k["entity_name"]) == F.lower(e["entity_name"])))
@@ -145,24 +170,35 @@ def _entity_of(c: Column, kind: Column) -> Column:
     return F.struct(kind.alias("entity_type"), c["text"].alias("entity_name"), F.lit(None).cast("string").alias("entity_variant"), c["confidence"].alias("confidence"), c["source"].alias("source"))
 
 
-def integrated_entities(rows: DataFrame, sentence: str = "sentence", domain: str = "construction_science", ontology: Mapping[str, Sequence[str]] | None = None, fewest: int = 3) -> DataFrame:
+def integrated_entities(rows: DataFrame, sentence: str = "sentence", domain: str = "construction_science", ontology: Mapping[str, Sequence[str]] | None = None, fewest: int = 3, seeds: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """``rows`` with ``entities`` (see ENTITY) and ``fallback_used``.
 
     The scored stages first; where they find fewer than ``fewest`` entities, the
     fallback's are added; each entity once, the most confident.  Only entities
-    that suit the domain are kept.
+    that suit the domain are kept.  ``ontology`` has terms by type (for
+    construction the built-in groups by default), ``seeds`` name lists for the
+    other domains.
     """
     field = "construction" if domain == "construction_science" else "biomedical"
     ontology = ontology if ontology is not None else P.CONSTRUCTION_GROUPS if field == "construction" else {}
     text = F.coalesce(F.col(sentence), F.lit(""))
     rows = rows.withColumn("_s", plain_text(text))
-    staged = F.concat(ontology_stage("_s", ontology), context_stage("_s", field), sequence_stage(text))
+    seeded = seed_stage("_s", seeds or {}, domain) if field == "biomedical" else _none()
+    staged = F.concat(ontology_stage("_s", ontology, domain), seeded, context_stage("_s", field), sequence_stage(text))
     rows = rows.withColumn("_e", keep_most_confident(F.filter(staged, lambda e: valid_for_domain(e["entity_name"], e["entity_type"], domain))))
     rows = rows.withColumn("fallback_used", F.size("_e") < fewest)
-    both = F.when(F.col("fallback_used"), keep_most_confident(F.concat("_e", fallback_types(text, "_s", F.col("_e"))))).otherwise(F.col("_e"))
+    both = F.when(F.col("fallback_used"), keep_most_confident(F.concat("_e", fallback_types(text, "_s", F.col("_e"), field)))).otherwise(F.col("_e"))
     return rows.withColumn("entities", both).drop("_s", "_e")
 
 
+def coverage_improvement(before: Column, after: Column) -> Column:
+    """struct(original_count, enhanced_count, new_entities, coverage_improvement in percent, new_types) of two arrays of entities."""
+    n, m = F.size(before), F.size(after)
+    percent = F.when(n > 0, F.round((m - n) / n * 100, 2)).otherwise(0.0)
+    kinds = F.array_except(F.transform(after, lambda e: e["entity_type"]), F.transform(before, lambda e: e["entity_type"]))
+    return F.struct(n.alias("original_count"), m.alias("enhanced_count"), (m - n).alias("new_entities"), percent.alias("coverage_improvement"), F.array_sort(kinds).alias("new_types"))
+
+
 def integrated_role(kind: Column, confidence: Column) -> Column:
     return F.when(confidence >= 0.8, F.when(kind.isin("material", "compound", "target", "assay"), "primary").otherwise("context")).when(confidence >= 0.5, F.when(kind.isin("system", "environment", "pathway"), "context").otherwise("supporting")).otherwise("supporting")
 

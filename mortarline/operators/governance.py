@@ -11,15 +11,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mortarline.functions import phrases as P
+
 
 REQUIRED = ("id", "name", "description", "claims_mode", "domain_profile_version", "seed_overlays", "exclusions", "pattern_emphasis", "language")
-#: Entity types that a domain's tables may hold; a domain without an entry may hold all.
-ALLOWED_TYPES: dict[str, tuple[str, ...]] = {
-    "construction_science": ("material", "system", "failure_mode", "environment", "hazard", "test_method", "code", "property"),
-    "drug_discovery": ("compound", "target", "assay", "model", "pathway", "indication", "peptide"),
-    "neuroscience_cognition": ("neural_cell", "compound", "target", "pathway", "indication", "model", "assay"),
-    "stem_cells_regen": ("stem_cell", "model", "compound", "target", "assay", "pathway"),
-}
 BANNED_TYPES: dict[str, tuple[str, ...]] = {"construction_science": ("compound", "target", "pathway", "indication", "assay", "peptide")}
 
 
@@ -88,32 +83,63 @@ def valid_domain_id(value: str) -> str:
 
 
 def allowed_only(entities: DataFrame, domain: str, kind: str = "entity_type") -> DataFrame:
-    """Entities of the types a domain may hold; an unknown domain keeps all."""
-    types = ALLOWED_TYPES.get(domain)
-    return entities.where(F.lower(F.trim(kind)).isin(*types)) if types else entities
+    """Entities of the types a domain may hold, as they are written; an unknown domain keeps all."""
+    types = P.ALLOWED_TYPES.get(domain)
+    return entities.where(F.col(kind).isin(*types)) if types else entities
+
+
+def contaminated_types(domain: str) -> list[str]:
+    """The known types that a domain may not hold; none for an unknown domain."""
+    return [t for t in P.ALL_TYPES if t not in P.ALLOWED_TYPES[domain]] if domain in P.ALLOWED_TYPES else []
 
 
 def contamination(entities: DataFrame, domain: str) -> DataFrame:
-    """Count of entities of types that are banned from a domain."""
-    banned = BANNED_TYPES.get(domain, ())
-    return entities.where(F.col("entity_type").isin(*banned)).groupBy("entity_type").agg(F.count("*").alias("n")) if banned else entities.groupBy("entity_type").agg(F.count("*").alias("n")).where("false")
+    """Count of entities of known types that a domain may not hold."""
+    banned = contaminated_types(domain)
+    rows = entities.where(F.col("entity_type").isin(*banned)) if banned else entities.where("false")
+    return rows.groupBy("entity_type").agg(F.count("*").alias("n"))
+
+
+def audit_domains(spark: SparkSession, profiles: Sequence[DomainProfile], overlay_files: Sequence[str] | None = None, seed_files: Sequence[str] | None = None) -> DataFrame:
+    """domain_id, issue, what: preferred types not allowed, allowed ones not preferred, and banned ones preferred.
+
+    With the names of the overlay and seed files there are, those that a profile
+    names and that are missing as well.
+    """
+    rows = []
+    for p in profiles:
+        preferred, allowed, banned = dict.fromkeys(p.preferred_types), P.ALLOWED_TYPES.get(p.id, ()), BANNED_TYPES.get(p.id, ())
+        rows += [(p.id, "preferred_not_allowed", t) for t in preferred if t not in allowed]
+        rows += [(p.id, "allowed_not_preferred", t) for t in allowed if t not in preferred]
+        rows += [(p.id, "leakage", t) for t in preferred if t in banned]
+        if overlay_files is not None:
+            rows += [(p.id, "missing_overlay", f"{o}.json") for o in p.overlays if f"{o}.json" not in overlay_files]
+        if seed_files is not None:
+            rows += [(p.id, "missing_seed", f) for f in p.seed_files if f not in seed_files]
+    return spark.createDataFrame(rows, "domain_id string, issue string, entity_type string")
+
+
+def audit_report(domains: DataFrame, feeds: DataFrame) -> DataFrame:
+    """One row per thing that is wrong: subject, issue.  ``domains`` as from audit_domains, ``feeds`` as from audit_feeds.
+
+    Allowed types that are not preferred are no issue.
+    """
+    wrong = domains.where("issue <> 'allowed_not_preferred'").groupBy("domain_id", "issue").agg(F.array_join(F.array_sort(F.collect_list("entity_type")), ", ").alias("what"))
+    one = wrong.select(F.col("domain_id").alias("subject"), F.concat("issue", F.lit(": "), "what").alias("issue"))
+    return one.unionByName(feeds.where("missing_reason is not null").select(F.concat(F.lit("feed "), F.coalesce("name", F.lit("<unnamed>"))).alias("subject"), F.col("missing_reason").alias("issue")))
 
 
-def audit_domains(spark: SparkSession, profiles: Sequence[DomainProfile]) -> DataFrame:
-    """domain_id, issue, entity_type: preferred types not allowed, allowed ones not preferred, and banned ones preferred."""
-    rows = [(p.id, list(p.preferred_types), list(ALLOWED_TYPES.get(p.id, ())), list(BANNED_TYPES.get(p.id, ()))) for p in profiles]
-    df = spark.createDataFrame(rows, "domain_id string, preferred array<string>, allowed array<string>, banned array<string>")
-    issues = F.concat(
-        F.transform(F.array_except("preferred", "allowed"), lambda t: F.struct(F.lit("preferred_not_allowed").alias("issue"), t.alias("entity_type"))),
-        F.transform(F.array_except("allowed", "preferred"), lambda t: F.struct(F.lit("allowed_not_preferred").alias("issue"), t.alias("entity_type"))),
-        F.transform(F.array_intersect("preferred", "banned"), lambda t: F.struct(F.lit("leakage").alias("issue"), t.alias("entity_type"))),
-    )
-    return df.select("domain_id", F.explode(issues).alias("i")).select("domain_id", "i.issue", "i.entity_type")
+def report_text(report: DataFrame) -> str:
+    """The report as text, 'ISSUES: none' if there are none; one line per domain or feed and issue."""
+    lines = [f"- {r['subject']}: {r['issue']}" for r in report.orderBy("subject", "issue").collect()]
+    return "\n".join(["ISSUES", *lines]) if lines else "ISSUES: none"
 
 
 def audit_feeds(feeds: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Every feed with the reason it cannot be used, null if it can.  ``feeds``: name, url, domain; ``profiles``: domain_id."""
+    """Every enabled feed with the reason it cannot be used, null if it can.  ``feeds``: name, url, domain and maybe enabled (null: yes); ``profiles``: domain_id."""
     known = profiles.select(F.col("domain_id").alias("domain"), F.lit(True).alias("known")).distinct()
+    if "enabled" in feeds.columns:
+        feeds = feeds.where(F.coalesce("enabled", F.lit(True)))
     reason = F.when(F.trim(F.coalesce("domain", F.lit(""))) == "", "missing domain").when(F.trim(F.coalesce("url", F.lit(""))) == "", "missing url").when(F.col("known").isNull(), "unknown domain")
     return feeds.join(F.broadcast(known), "domain", "left").select("name", "url", "domain", reason.alias("missing_reason"))  # known: one row per profile
 
@@ -151,6 +177,31 @@ def checked_memory(value: str) -> int:
     return mb
 
 
+def checked_batch(value: int) -> int:
+    return checked_positive(value, 1000)
+
+
+def checked_path(value: str, must_exist: bool = False) -> Path:
+    """A path without '..' that is not blank, and is there if it must be."""
+    if not (value or "").strip() or ".." in Path(value).parts:
+        raise ValueError(f"unsafe path {value!r}")
+    if must_exist and not Path(value).exists():
+        raise ValueError(f"no such path: {value}")
+    return Path(value)
+
+
+def overlay_version(profile: object | None) -> str:
+    """overlay_version of a profile or its metadata, else its profile version, else v1."""
+    metadata = getattr(profile, "metadata", None)
+    found = getattr(profile, "overlay_version", None), metadata.get("overlay_version") if isinstance(metadata, Mapping) else None, getattr(profile, "domain_profile_version", None) or getattr(profile, "version", None)
+    return next((v for v in found if v), "v1")
+
+
+def seeds_version(environment: Mapping[str, str], described: str | None = None) -> str:
+    """SEEDS_VERSION of the environment, else what the caller found out about the files, else unknown."""
+    return environment.get("SEEDS_VERSION") or (described or "").strip() or "unknown"
+
+
 def is_url(c: Column) -> Column:
     return F.coalesce(c.rlike(r"^https?://[^\s/$.?#][^\s]*$"), F.lit(False))
 

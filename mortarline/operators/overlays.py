@@ -12,9 +12,15 @@ from mortarline.functions import phrases as P
 from mortarline.functions.dialect import SPARK, Dialect
 
 
+def known_overlay(overlay: str) -> Mapping[str, Mapping[str, float]]:
+    if overlay not in P.OVERLAYS:
+        raise ValueError(f"unknown overlay {overlay!r}; known: {', '.join(P.OVERLAYS)}")
+    return P.OVERLAYS[overlay]
+
+
 def event_score(d: Dialect, overlay: str, s: str) -> str:
     """The weights of all boost and demote terms that are part of a lower-cased snippet, with the overlay's own rules."""
-    o = P.OVERLAYS.get(overlay, {"boost": {}, "demote": {}})
+    o = known_overlay(overlay)
     rules = [(f"contains({s}, {d.text(t.lower())})", w) for t, w in [*o["boost"].items(), *o["demote"].items()]]
     if overlay == "climate_resilience_v1":
         rules.append((f"{d.has(s, P.CO_CLIMATE)} AND {d.has(s, P.CO_MATERIAL)}", 1.5))
@@ -24,7 +30,7 @@ def event_score(d: Dialect, overlay: str, s: str) -> str:
 
 
 def priority(d: Dialect, overlay: str, kind: str) -> str:
-    return d.weights(kind, P.OVERLAYS.get(overlay, {}).get("priority", {}), 1.0)
+    return d.weights(kind, known_overlay(overlay)["priority"], 1.0)
 
 
 def model_weight(d: Dialect, name: str) -> str:

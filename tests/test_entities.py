@@ -53,7 +53,7 @@ def test_integrated_extraction_uses_fallback_when_thin(spark):
     rows = spark.createDataFrame([("Reinforced concrete cracking and corrosion of the Main Bridge Deck X12.",), ("",), (None,)], "sentence string")
     out = E.integrated_entities(rows).collect()
     first = out[0]["entities"]
-    assert ("material", "concrete") in {(e["entity_type"], e["entity_name"]) for e in first}
+    assert ("material", "CONCRETE") in {(e["entity_type"], e["entity_name"]) for e in first}
     assert all(0 < e["confidence"] <= 1 for e in first)
     assert [r["entities"] for r in out[1:]] == [[], []]
     stats = E.coverage_stats(E.integrated_entities(rows)).first()
