@@ -76,6 +76,19 @@ def _cheapest(ends: list[int], starts: list[int], penalties: list[float], limit:
     return chosen[::-1]
 
 
+def _reaches(ends: list[int], starts: list[int], limit: int) -> bool:
+    """Whether the last end can be reached by pieces within the limit: the dynamic programme without costs.
+
+    Of the ends that can be reached the last start before the limit serves the next one best.
+    """
+    start = 0
+    for j, p in enumerate(ends):
+        if p - start > limit:
+            return False
+        start = starts[j]
+    return True
+
+
 def boundary_kind(text: str, limit: int = LIMIT) -> tuple[str, list[tuple[int, int]]]:
     """The coarsest kind of break at which pieces within the limit can be cut, and each cut position with its kind's rank.
 
@@ -90,8 +103,7 @@ def boundary_kind(text: str, limit: int = LIMIT) -> tuple[str, list[tuple[int, i
                 cuts[e] = rank
         # pieces without overlap from stretch to stretch: there is a way if no stretch is too long by itself
         lead = spans[0][0] if spans else 0
-        ends, starts = [e - lead for _, e in spans], [s - lead for s, _ in spans[1:]] + [len(text)]
-        if not spans or _cheapest(ends, starts, [0.0] * len(ends), limit, limit, limit) is not None:
+        if _reaches([e - lead for _, e in spans], [s - lead for s, _ in spans[1:]] + [len(text)], limit):
             return kind, list(cuts.items())
         long = [(s, e) for s, e in spans if e - s > limit]
     return KINDS[3], list(cuts.items())
