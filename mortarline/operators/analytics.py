@@ -89,14 +89,31 @@ def domain_export(events: DataFrame, links: DataFrame, entities: DataFrame, cano
 
     The events of two names of one canonical entity are added up, so an event
     under both counts twice.  ``canonical``: entity_type, entity_name,
-    canonical_name.
+    canonical_name.  Events and papers are counted distinct, never collected;
+    lists are made of an entity's distinct names and variants only.
     """
-    rows = links.join(events.where(F.col("research_domain") == domain).select("event_id", "source_id"), "event_id").join(entities.select("entity_id", "entity_type", "entity_name", "entity_variant"), "entity_id")
-    variant = F.when(F.trim("entity_variant") != "", F.trim("entity_variant"))
-    one = rows.groupBy("entity_type", "entity_name").agg(F.count_distinct("event_id").alias("event_count"), F.collect_set(variant).alias("variants"), F.collect_set("source_id").alias("papers"))
-    named = one.join(canonical, ["entity_type", "entity_name"], "left").withColumn("canonical_name", F.coalesce("canonical_name", "entity_name"))
-    out = named.groupBy("entity_type", "canonical_name").agg(F.sum("event_count").alias("event_count"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("variants")))).alias("variants"), F.size(F.array_distinct(F.flatten(F.collect_list("papers")))).alias("n_papers"), F.array_sort(F.collect_set("entity_name")).alias("names"))
-    return out.select(F.col("canonical_name").alias("entity_name"), "entity_type", F.array_join("variants", ",").alias("entity_variant"), "event_count", F.col("n_papers").cast("bigint").alias("n_papers"), F.array_join("names", "|").alias("original_names"))
+    names = entities.select("entity_id", "entity_type", "entity_name", "entity_variant").join(canonical, ["entity_type", "entity_name"], "left").withColumn("canonical_name", F.coalesce("canonical_name", "entity_name"))
+    rows = links.join(events.where(F.col("research_domain") == domain).select("event_id", "source_id"), "event_id").join(names, "entity_id")
+    keys = ["entity_type", "canonical_name"]
+    events_of = rows.groupBy(*keys, "entity_name").agg(F.count_distinct("event_id").alias("n")).groupBy(*keys).agg(F.sum("n").alias("event_count"), F.array_sort(F.collect_set("entity_name")).alias("names"))
+    papers_of = rows.groupBy(*keys).agg(F.count_distinct("source_id").alias("n_papers"))
+    variants = rows.where(F.trim("entity_variant") != "").groupBy(*keys).agg(F.array_sort(F.collect_set(F.trim("entity_variant"))).alias("variants"))
+    out = events_of.join(papers_of, keys).join(variants, keys, "left")
+    return out.select(F.col("canonical_name").alias("entity_name"), "entity_type", F.coalesce(F.array_join("variants", ","), F.lit("")).alias("entity_variant"), "event_count", "n_papers", F.array_join("names", "|").alias("original_names"))
+
+
+def entity_papers(links: DataFrame, events: DataFrame) -> DataFrame:
+    """(entity_id, source_id, n_events): the papers of each entity, a row each, so that an entity of any size fits."""
+    return links.join(events.select("event_id", "source_id").where("source_id is not null"), "event_id").groupBy("entity_id", "source_id").agg(F.count_distinct("event_id").alias("n_events"))
+
+
+def sample_by(rows: DataFrame, column: str, values: Sequence[str], n: int, *order: str) -> DataFrame:
+    """The first n rows of each value: one limited sort per value, so no value's rows are in one place."""
+    out = None
+    for v in values:
+        part = rows.where(F.col(column) == v).orderBy(*order).limit(n)
+        out = part if out is None else out.unionByName(part)
+    return rows.limit(0) if out is None else out
 
 
 def duplicate_terms(lists: DataFrame) -> DataFrame:

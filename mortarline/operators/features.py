@@ -1,9 +1,9 @@
 """Per-entity feature table from events (problem 7).
 
-Events are combined to (entity, type, outcome) totals before anything moves by
-entity, so an entity that holds a third of all rows sends at most one narrow row
-per type and outcome.  One grouped pass with conditional counts and maxima makes
-these totals; a fixed type list lays them out as columns.
+One grouped pass of conditional counts and a latest time makes the totals of an
+entity and type.  They are combined before the shuffle, so an entity that holds a
+third of all rows sends at most one narrow row per task and type.  A fixed list
+of types lays them out as columns.
 """
 
 from __future__ import annotations
@@ -49,20 +49,19 @@ def entity_events(events: DataFrame, links: DataFrame) -> DataFrame:
     return links.join(events, "event_id").dropDuplicates(["entity_id", "event_id"])
 
 
-def type_list(events: DataFrame) -> list[str]:
-    """Event types in their standard notation, at most MAX_WIDE_TYPES of them."""
-    found = [r[0] for r in events.select(F.coalesce(snake(F.col("event_type")), F.lit("unknown")).alias("t")).distinct().limit(MAX_WIDE_TYPES + 1).collect()]
-    if len(found) > MAX_WIDE_TYPES:
-        raise ValueError(f"more than {MAX_WIDE_TYPES} event types; pass a list of types or use feature_rows")
-    return sorted(found)
-
-
 def _name(kind: str, what: str) -> str:
     return f"{kind.replace('/', '__')}__{what}"
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def feature_cells(pairs: DataFrame, outcomes: Sequence[str] = OUTCOMES) -> DataFrame:
+    """(entity_id, event_type, n, last, one count per outcome, other_outcomes): a row for each type an entity has events of.
+
+    One grouped pass of conditional counts and a maximum; what a task has of an
+    entity and type is combined before it is shuffled.
+    """
+    conditional = [F.count_if(F.col("outcome") == o).alias(o) for o in outcomes]
+    other = F.count_if(~F.col("outcome").isin(*outcomes)).alias("other_outcomes")
+    return pairs.groupBy("entity_id", "event_type").agg(F.count("*").alias("n"), F.max("ts").alias("last"), *conditional, other)
 
 
 def entity_features(pairs: DataFrame, types: Sequence[str], as_of: Column | None = None, outcomes: Sequence[str] = OUTCOMES) -> DataFrame:
@@ -73,29 +72,26 @@ def entity_features(pairs: DataFrame, types: Sequence[str], as_of: Column | None
     ``as_of``, ``__days_since`` (days from the latest event to it, negative for
     events in the future).  Events of types that are not listed are counted in
     ``other_types__n``; those of other outcomes in ``__n`` alone, so no event is
-    lost.  Entities without events have no row.
+    lost.  Entities without events have no row.  The aggregates are those of
+    feature_cells; a pivot over the fixed list of types lays them out.
     """
+    if len(types) > MAX_WIDE_TYPES:
+        raise ValueError(f"more than {MAX_WIDE_TYPES} event types: use feature_cells")
     kinds = [*types, "other_types"]
     kind = F.when(F.col("event_type").isin(*types), F.col("event_type")).otherwise("other_types")
-    stats = ["n", "last", *outcomes]
-    cells = pairs.groupBy("entity_id", kind.alias("kind")).agg(F.count("*").alias("n"), F.max("ts").alias("last"), *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes])
-    # at most one narrow cell per type and entity is left: put them side by side, then lay them out as columns
-    cells = cells.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct(*stats)))).alias("_m"))
-    cell = lambda t, x: f"try_element_at(_m, {_quoted(t)}).{x}"
-    columns = [f"{cell(t, x)} as `{_name(t, x)}`" if x == "last" else f"coalesce({cell(t, x)}, 0L) as `{_name(t, x)}`" for t in kinds for x in stats]
-    wide = cells.selectExpr("entity_id", *columns)
+    # times as numbers: a pivot of timestamps would make one aggregate of every cell
+    rows = pairs.select("entity_id", kind.alias("kind"), "outcome", F.unix_micros("ts").alias("ts"))
+    cells = [F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"), *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes]]
+    wide = rows.groupBy("entity_id").pivot("kind", kinds).agg(*cells)
+    value = lambda t, x: F.timestamp_micros(F.col(f"`{t}_{x}`")) if x == "last" else F.coalesce(F.col(f"`{t}_{x}`"), F.lit(0).cast("bigint"))
+    wide = wide.select("entity_id", *[value(t, x).alias(_name(t, x)) for t in kinds for x in ("n", "last", *outcomes)])
     if as_of is None:
         return wide
     since = {_name(t, "days_since"): (F.unix_micros(as_of) - F.unix_micros(F.col(_name(t, "last")))) / F.lit(86_400_000_000.0) for t in types}
     return wide.withColumns(since)
 
 
-def feature_rows(wide: DataFrame, types: Sequence[str], outcomes: Sequence[str] = OUTCOMES) -> DataFrame:
-    """The wide table's non-zero outcome counts as rows (entity_id, event_type, outcome, n)."""
-    cells = [(t, o) for t in types for o in outcomes]
-    keys = ", ".join(f"named_struct('event_type', {_quoted(t)}, 'outcome', {_quoted(o)})" for t, o in cells)
-    counts = ", ".join(f"`{_name(t, o)}`" for t, o in cells)
-    if not cells:
-        return wide.selectExpr("entity_id", "'' as event_type", "'' as outcome", "0L as n").where("false")
-    found = F.expr(f"filter(zip_with(array({keys}), array({counts}), (k, n) -> named_struct('k', k, 'n', n)), x -> x.n > 0)")
-    return wide.select("entity_id", F.explode(found).alias("c")).select("entity_id", "c.k.event_type", "c.k.outcome", "c.n")
+def feature_rows(cells: DataFrame, outcomes: Sequence[str] = OUTCOMES) -> DataFrame:
+    """The outcome counts of feature_cells that are not 0 as rows (entity_id, event_type, outcome, n)."""
+    counts = F.array(*[F.struct(F.lit(o).alias("outcome"), F.col(o).alias("n")) for o in (*outcomes, "other_outcomes")])
+    return cells.select("entity_id", "event_type", F.explode(F.filter(counts, lambda c: c["n"] > 0)).alias("c")).select("entity_id", "event_type", "c.outcome", "c.n")

@@ -36,15 +36,17 @@ def interpretation(d: Dialect, name: str, score: str, pattern: str) -> str:
     return f"concat({name}, ' shows ', {mood}, ' ', {shape}, ' ', {tone}, '.')"
 
 
-def analyze_patterns(entities: DataFrame, links: DataFrame, events: DataFrame, top: int = 50) -> DataFrame:
-    """One row for each of the ``top`` most linked entities, healthiest first.
+def analyze_patterns(entities: DataFrame, links: DataFrame, events: DataFrame, top: int | None = 50) -> DataFrame:
+    """One row for each of the ``top`` most linked entities, or of all with None, healthiest first.
 
     A signal phrase counts once per entity, in however many of its snippets it
     stands.  Ties in the number of links go by entity_id.  Entities without a
     linked event get no row.
     """
     counts = links.where("entity_id is not null").groupBy("entity_id").agg(F.count("*").alias("n"))
-    chosen = counts.join(entities.select("entity_id", "entity_name", "entity_type"), "entity_id").orderBy(F.desc("n"), "entity_id").limit(top)
+    chosen = counts.join(entities.select("entity_id", "entity_name", "entity_type"), "entity_id")
+    if top is not None:
+        chosen = chosen.orderBy(F.desc("n"), "entity_id").limit(top)
     mean = chosen.agg(F.avg("n").alias("mean"))
     phrases = [(group, i, p) for group, ps in P.SIGNALS.items() for i, p in enumerate(ps)]
     said = links.join(chosen.select("entity_id"), "entity_id").join(events.select("event_id", F.lower(F.coalesce("evidence_snippet", F.lit(""))).alias("s"), "confidence"), "event_id")
@@ -64,3 +66,10 @@ def analyze_patterns(entities: DataFrame, links: DataFrame, events: DataFrame, t
 def health_ranges(patterns: DataFrame) -> DataFrame:
     low = F.floor(F.least("health_score", F.lit(99)) / 20) * 20
     return patterns.groupBy(low.cast("int").alias("range_start"), "pattern_type").agg(F.count("*").alias("n"))
+
+
+def pattern_csv(patterns: DataFrame, exported: str) -> DataFrame:
+    """The columns of a pattern export, in order, with one time stamp for all rows."""
+    total = sum((F.col(c) for c in ("positive", "neutral", "negative", "replication")), F.lit(0))
+    signals = [F.col(c).alias(f"{c}_signals") for c in ("positive", "neutral", "negative", "replication")]
+    return patterns.select("entity_name", "entity_type", "pattern_type", "health_score", "event_count", *signals, total.alias("total_signals"), F.col("momentum").alias("time_momentum"), "confidence_level", "interpretation", F.lit(exported).alias("export_timestamp"))

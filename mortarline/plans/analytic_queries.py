@@ -13,7 +13,7 @@ from mortarline.operators import governance as G
 from mortarline.operators import model as M
 from mortarline.operators import overlays as O
 from mortarline.operators.entities import dictionary_match
-from mortarline.operators.identity import collapsed, normalized_doi, resolve_sources
+from mortarline.operators.identity import collapsed, normalized_doi, resolve_all
 from mortarline.plans.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,19 +246,19 @@ def doi_normalize(spark, d):
     return table(spark, d, "sources").where("trim(doi) <> ''").groupBy(normalized_doi(F.col("doi")).alias("doi_n")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH n AS (SELECT source_id, imported_at, coalesce({_DOI}, '') AS doi_n, coalesce({_TITLE}, '') AS title_n FROM sources),
-old AS (SELECT * FROM n WHERE source_id < '8'), new AS (SELECT * FROM n WHERE source_id >= '8'),
-dois AS (SELECT doi_n, min(source_id) AS by_doi FROM old WHERE doi_n <> '' GROUP BY 1), titles AS (SELECT title_n, min(source_id) AS by_title FROM old WHERE title_n <> '' GROUP BY 1)
-SELECT source_id, coalesce(by_doi, by_title, source_id) AS resolved_id, CASE WHEN by_doi IS NOT NULL THEN 'doi' WHEN by_title IS NOT NULL THEN 'title' ELSE 'new' END AS matched_by FROM new LEFT JOIN dois USING (doi_n) LEFT JOIN titles USING (title_n)""")
+@query(f"""WITH n AS (SELECT source_id, coalesce({_DOI}, '') AS doi_n, coalesce({_TITLE}, '') AS title_n FROM sources),
+firsts AS (SELECT source_id, CASE WHEN doi_n <> '' THEN min(source_id) OVER (PARTITION BY doi_n) END AS by_doi, CASE WHEN title_n <> '' THEN min(source_id) OVER (PARTITION BY title_n) END AS by_title FROM n),
+earlier AS (SELECT source_id, CASE WHEN by_doi < source_id THEN by_doi END AS by_doi, CASE WHEN by_title < source_id THEN by_title END AS by_title FROM firsts)
+SELECT source_id, coalesce(by_doi, by_title, source_id) AS resolved_id, CASE WHEN by_doi IS NOT NULL THEN 'doi' WHEN by_title IS NOT NULL THEN 'title' ELSE 'new' END AS matched_by FROM earlier""")
 def source_dedupe_exact(spark, d):
-    rows = table(spark, d, "sources")
-    return resolve_sources(rows.where("source_id < '8'"), rows.where("source_id >= '8'"), fuzzy=False)
+    """Every source against all of smaller ids, by DOI and title."""
+    return resolve_all(table(spark, d, "sources"), fuzzy=False)
 
 
 @query()
 def source_dedupe_blocked(spark, d):
-    rows = table(spark, d, "sources")
-    return resolve_sources(rows.where("source_id < '8'"), rows.where("source_id >= '8'"))
+    """The same with near titles; tested against brute force."""
+    return resolve_all(table(spark, d, "sources"))
 
 
 @query(f"SELECT {_TITLE} AS title_n, count(*) AS n, min(source_id) AS first_id FROM sources WHERE title IS NOT NULL GROUP BY 1 HAVING count(*) > 1")

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mortarline.functions import phrases as P
+from mortarline.functions.classify import explode_sentences, sentences
 from mortarline.functions.dialect import DUCKDB as D
 from mortarline.operators import overlays as O
 from mortarline.operators import patterns as R
 from mortarline.operators.model import keep_last
-from mortarline.plans.corpus import corpus, corpus_sql
 from mortarline.plans.session import table
 
 OVERLAYS = ("science_research_v1", "biohacking_curiosity_v1", "climate_resilience_v1")
@@ -25,9 +25,11 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_overlay_scores(spark: SparkSession, d: str) -> DataFrame:
-    rows = corpus(spark, d).select(F.col("doc_id").alias("event_id"), F.col("sentence").alias("evidence_snippet"))
+    """Scores of the sentences of the documents and of the recorded events' snippets."""
+    sentences = explode_sentences(table(spark, d, "documents").select("doc_id", "text"), "text").select(F.lit("document").alias("event_id"), F.col("sentence").alias("evidence_snippet"))
+    rows = sentences.unionByName(_events(spark, d).select(F.lit("event").alias("event_id"), "evidence_snippet"))
     scores = O.overlay_event_scores(rows, OVERLAYS)
-    return scores.groupBy(*OVERLAYS).agg(F.count("*").alias("n"))
+    return scores.groupBy(F.col("event_id").alias("origin"), *OVERLAYS).agg(F.count("*").alias("n"))
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -62,11 +64,11 @@ def pattern_intelligence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pattern_health_ranges(spark: SparkSession, d: str) -> DataFrame:
-    return R.health_ranges(R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d), top=200))
+    return R.health_ranges(R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d), top=None))
 
 
 def pattern_emphasis(spark: SparkSession, d: str) -> DataFrame:
-    rows = R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d), top=200)
+    rows = R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d), top=None)
     return rows.select("entity_id", F.round(O.emphasized(F.col("health_score"), F.col("pattern_type")), 6).alias("emphasized"))
 
 
@@ -96,9 +98,9 @@ bucketed AS (SELECT *, {O.bucket(D, "score_a", O.most_score(D, "n_events"))} AS
 _SIGNALS = {g: "(" + " + ".join(f"max(CASE WHEN contains(s, {D.text(p)}) THEN 1 ELSE 0 END)" for p in ps) + ")" for g, ps in P.SIGNALS.items()}
 
 
-def _patterns_sql(top: int) -> str:
+def _patterns_sql(top: int | None) -> str:
     return f"""WITH {_EVENTS}, {_LINKS},
-chosen AS (SELECT entity_id, entity_name, entity_type, n FROM (SELECT entity_id, count(*) AS n FROM links GROUP BY 1) AS c JOIN entities USING (entity_id) ORDER BY n DESC, entity_id LIMIT {top}),
+chosen AS (SELECT entity_id, entity_name, entity_type, n FROM (SELECT entity_id, count(*) AS n FROM links GROUP BY 1) AS c JOIN entities USING (entity_id) {f"ORDER BY n DESC, entity_id LIMIT {top}" if top else ""}),
 said AS (SELECT c.entity_id, lower(coalesce(e.evidence_snippet, '')) AS s, e.confidence FROM chosen c JOIN links USING (entity_id) JOIN events e USING (event_id)),
 counted AS (SELECT entity_id, count(*) AS n_rows, count(*) FILTER (WHERE confidence = 'high') AS high, count(*) FILTER (WHERE confidence = 'med') AS med, bool_or({D.has("s", P.ESCALATION_TERMS)}) AS escalates, {", ".join(f"{v} AS {g}" for g, v in _SIGNALS.items())} FROM said GROUP BY 1),
 one AS (SELECT c.*, k.* EXCLUDE (entity_id), (SELECT avg(n) FROM chosen) AS mean FROM chosen c JOIN counted k USING (entity_id)),
@@ -109,13 +111,21 @@ patterns AS (SELECT *, {R.health(D, "pattern_type", "momentum", "confidence_leve
 
 QUERIES = {f.__name__: f for f in (event_overlay_scores, entity_overlay_scores, overlay_top20, bucket_distribution, canonical_merge, pattern_intelligence, pattern_health_ranges, pattern_emphasis)}
 ORACLES = {
-    "event_overlay_scores": f"SELECT {', '.join(f'{O.event_score(D, o, 's')} AS {o}' for o in OVERLAYS)}, count(*) AS n FROM (SELECT lower(sentence) AS s FROM ({corpus_sql(D)}) AS c) AS q GROUP BY ALL",
+    "event_overlay_scores": f"""WITH {_EVENTS}, texts AS (
+  SELECT row_number() OVER () AS i, * FROM (SELECT 'document' AS origin, lower(unnest({sentences(D, "text")})) AS s FROM documents UNION ALL SELECT 'event', lower(coalesce(evidence_snippet, '')) FROM events) AS u),
+weights(overlay, term, points) AS (VALUES {", ".join(f"({D.text(o)}, {D.text(t.lower())}, {float(x)})" for o in OVERLAYS for x_of in ("boost", "demote") for t, x in P.OVERLAYS[o][x_of].items())}),
+found AS (SELECT i, overlay, sum(points)::DOUBLE AS points FROM texts JOIN weights ON contains(s, term) GROUP BY 1, 2),
+sides AS (SELECT i, regexp_matches(s, '{"|".join(P.CO_CLIMATE)}') AND regexp_matches(s, '{"|".join(P.CO_MATERIAL)}') AS co, s LIKE '%efficacy%' OR s LIKE '%effective%' AS claim, regexp_matches(s, '{"|".join(P.ASSAY_KEYWORDS)}') AS assay FROM texts),
+scored AS (SELECT t.origin,
+  coalesce(a.points, 0) - CASE WHEN claim AND NOT assay THEN 1 ELSE 0 END AS {OVERLAYS[0]}, coalesce(b.points, 0)::DOUBLE AS {OVERLAYS[1]}, coalesce(c.points, 0) + CASE WHEN co THEN 1.5 ELSE 0 END AS {OVERLAYS[2]}
+  FROM texts t JOIN sides USING (i) LEFT JOIN found a ON a.i = t.i AND a.overlay = '{OVERLAYS[0]}' LEFT JOIN found b ON b.i = t.i AND b.overlay = '{OVERLAYS[1]}' LEFT JOIN found c ON c.i = t.i AND c.overlay = '{OVERLAYS[2]}')
+SELECT origin, {", ".join(f"{o}::DOUBLE AS {o}" for o in OVERLAYS)}, count(*) AS n FROM scored GROUP BY ALL""",
     "entity_overlay_scores": f"{_SCORED} SELECT canonical_id, entity_type, n_entities, n_events, round(model_factor, 6) AS model_factor, round(score_a, 6) AS {OVERLAYS[0]}_score, round(score_b, 6) AS {OVERLAYS[1]}_score, bucket_a AS {OVERLAYS[0]}_bucket, bucket_b AS {OVERLAYS[1]}_bucket FROM bucketed",
     "overlay_top20": f"{_SCORED} SELECT row_number() OVER (ORDER BY score_a DESC, canonical_id) AS rank, canonical_id, round(score_a, 6) AS score FROM bucketed ORDER BY score_a DESC, canonical_id LIMIT 20",
     "bucket_distribution": f"""{_SCORED}, labels AS (SELECT * FROM (VALUES {", ".join(f"({i + 1}, {D.text(b)})" for i, b in enumerate([*[b for b, _ in P.BUCKETS], P.LAST_BUCKET]))}) AS v(position, bucket))
 SELECT position, bucket, (SELECT count(*) FROM bucketed WHERE bucket_a = bucket) AS n, round((SELECT count(*) FROM bucketed WHERE bucket_a = bucket) * 100.0::DOUBLE / (SELECT count(*) FROM bucketed), 4) AS percent FROM labels""",
     "canonical_merge": f"WITH {_CANON} SELECT canonical_id, entity_type, n_entities, names FROM merged",
     "pattern_intelligence": f"{_patterns_sql(50)} SELECT entity_id, entity_name, entity_type, pattern_type, health_score, n AS event_count, positive, neutral, negative, replication, momentum, confidence_level, {R.interpretation(D, 'entity_name', 'health_score', 'pattern_type')} AS interpretation FROM patterns",
-    "pattern_health_ranges": f"{_patterns_sql(200)} SELECT cast(floor(least(health_score, 99) / 20) * 20 as int) AS range_start, pattern_type, count(*) AS n FROM patterns GROUP BY ALL",
-    "pattern_emphasis": f"{_patterns_sql(200)} SELECT entity_id, round(health_score * {D.weights('pattern_type', P.PATTERN_EMPHASIS, 1.0)}, 6) AS emphasized FROM patterns",
+    "pattern_health_ranges": f"{_patterns_sql(None)} SELECT cast(floor(least(health_score, 99) / 20) * 20 as int) AS range_start, pattern_type, count(*) AS n FROM patterns GROUP BY ALL",
+    "pattern_emphasis": f"{_patterns_sql(None)} SELECT entity_id, round(health_score * {D.weights('pattern_type', P.PATTERN_EMPHASIS, 1.0)}, 6) AS emphasized FROM patterns",
 }

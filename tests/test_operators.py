@@ -46,9 +46,9 @@ def test_features(spark):
     assert rows["n1"]["a__x__n"] == 1 and rows["n1"]["a__x__improved"] == 1 and rows["n1"]["a__x__failed"] == 0
     assert rows["n1"]["a__x__days_since"] == 2.0 and rows["n1"]["b__y__last"] is None and rows["n1"]["b__y__n"] == 1
     assert rows["n2"]["other_types__n"] == 1
-    assert {tuple(r) for r in FE.feature_rows(wide, ["a/x", "b/y"]).collect()} == {("n1", "a/x", "improved", 1)}
-    assert FE.entity_features(pairs.where("false"), ["a/x"]).count() == 0
-    assert FE.type_list(events) == ["a/x", "b/y", "unknown"]
+    got = {tuple(r) for r in FE.feature_rows(FE.feature_cells(pairs)).collect()}
+    assert got == {("n1", "a/x", "improved", 1), ("n1", "b/y", "other_outcomes", 1), ("n2", "unknown", "unknown", 1)}
+    assert FE.entity_features(pairs.where("false"), ["a/x"]).count() == 0 and FE.feature_cells(pairs.where("false")).count() == 0
 
 
 def test_first_and_last_writer(spark):
