@@ -24,6 +24,18 @@ def sentences(d: Dialect, text: str) -> str:
     return f"list_filter(list_transform({parts}, lambda x: trim(replace(x, {d.text(_MASK)}, '.'), {d.text(' \t')})), lambda x: x <> '')"
 
 
+def simple_sentences(d: Dialect, text: str) -> str:
+    """The trimmed parts between full stops, exclamation and question marks: the rule for abstracts."""
+    if d.spark:
+        return f"filter(transform(split({text}, {d.text('[.!?]+')}), x -> trim(BOTH {d.text(' \t\n\r')} FROM x)), x -> x <> '')"
+    return f"list_filter(list_transform(string_split_regex({text}, {d.text('[.!?]+')}), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '')"
+
+
+def feed_keep(d: Dialect, n_entities: str, tags: str, measured: str) -> str:
+    """Whether a sentence of a feed is kept: it has an entity, a method tag or a measurement."""
+    return f"({n_entities} > 0 OR {d.length(tags)} > 0 OR {measured})"
+
+
 def stage(d: Dialect, s: str) -> str:
     return d.first([(d.word(s, words), name) for name, words in P.STAGES.items()], "unknown")
 

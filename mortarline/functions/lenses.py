@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mortarline.functions import phrases as P
@@ -123,6 +123,19 @@ def lens(d: Dialect, name: str, s: str, flags: Flags | None = None) -> dict[str,
     return {"trigger": trigger, "raw_outcome": result, "confidence": level, "event_type": d.text(event), "tags": d.joined(listed, ","), "entities": _entities(d, entities)}
 
 
+def sound_entities(entities: Column) -> Column:
+    """An array of entities (entity_type, entity_name, entity_variant, role) without junk, each once, the first kept.
+
+    Junk are names of one character, of punctuation alone, and words that name nothing.
+    """
+    name = lambda e: F.lower(e["entity_name"])
+    kept = F.filter(entities, lambda e: (F.length(name(e)) >= 2) & ~name(e).rlike(r"^[!@#$%^&*()_+\-=\[\]{}|;:,.<>?]+$") & ~name(e).isin(*P.GENERIC_NAMES))
+    key = lambda e: F.concat_ws("\u0001", e["entity_type"], name(e), F.coalesce(e["entity_variant"], F.lit("")), F.coalesce(e["role"], F.lit("")))
+    bound = F.transform(F.array(kept), lambda es: F.struct(es.alias("es"), F.transform(es, key).alias("keys")))
+    firsts = F.transform(bound, lambda b: F.filter(b["es"], lambda e, i: F.array_position(b["keys"], F.get(b["keys"], i)) == i + 1))
+    return F.get(firsts, F.lit(0))
+
+
 COLUMNS = ("lens", "event_type", "outcome", "raw_outcome", "confidence", "context_strength", "source_weight", "tags", "entities")
 
 
@@ -163,12 +176,16 @@ def apply_lens(rows: DataFrame, name: str, sentence: str = "sentence", source_ty
     return lens_stack(rows, [name], sentence, source_type=source_type).drop("rank")
 
 
-def lens_stack(rows: DataFrame, names: Sequence[str] = LENSES, sentence: str = "sentence", source_type: str = "'research_paper'", confidence_rank: dict[str, int] | None = None, context_rank: dict[str, int] | None = None) -> DataFrame:
+def lens_stack(rows: DataFrame, names: Sequence[str] = LENSES, sentence: str = "sentence", source_type: str = "'research_paper'", confidence_rank: dict[str, int] | None = None, context_rank: dict[str, int] | None = None, no_match: str = "drop") -> DataFrame:
     """All lens events of each row in one pass, ranked by source weight, confidence and context strength.
 
     ``rank`` counts from 1; ties follow the order of ``names``.  The rank maps can
-    be replaced.
+    be replaced.  A row without any event is left out; with ``no_match`` "keep"
+    it stays once with null columns, with "raise" it is an error when it is read.
+    An unknown lens or mode is an error at once.
     """
+    if no_match not in ("drop", "keep", "raise"):
+        raise ValueError(f"unknown mode {no_match!r}")
     d = SPARK
     conf = confidence_rank or {"high": 3, "med": 2, "low": 1}
     ctx = context_rank or {"strong": 3, "moderate": 2, "weak": 1}
@@ -184,5 +201,9 @@ def lens_stack(rows: DataFrame, names: Sequence[str] = LENSES, sentence: str = "
         fields = f"'lens', '{name}', 'event_type', {e}.event_type, 'outcome', {normalized_outcome(d, f'{e}.raw_outcome')}, 'raw_outcome', {e}.raw_outcome, 'confidence', {e}.confidence, 'context_strength', _strength, 'source_weight', _weight, 'tags', {e}.tags, 'entities', {e}.entities"
         events.append(F.expr(f"CASE WHEN {e} IS NOT NULL THEN named_struct({order}, {fields}) END"))
     ordered = F.array_sort(F.array_compact(F.array(*events)))
-    out = rows.select(*keep, F.posexplode_outer(ordered).alias("p", "e")).where("e is not null")
+    out = rows.select(*keep, F.posexplode_outer(ordered).alias("p", "e"))
+    if no_match == "drop":
+        out = out.where("e is not null")
+    if no_match == "raise":
+        out = out.withColumn("p", F.when(F.col("e").isNull(), F.raise_error(F.lit("no lens matches")).cast("int")).otherwise(F.col("p")))
     return out.select(*keep, (F.col("p") + 1).cast("bigint").alias("rank"), *[F.col(f"e.{c}").alias(c) for c in COLUMNS])

@@ -387,6 +387,12 @@ FALLBACK_KEYWORDS = {
         ],
     },
 }
+# --- seed lint
+PROBLEMATIC_TERMS = {
+    "MS": "Multiple Sclerosis vs Mass Spectrometry", "KI": "Inhibition constant vs part of 'kinase'", "RB": "Retinoblastoma vs Rubidium", "NA": "Sodium (too generic)",
+    "K": "Potassium (too generic)", "CA": "Calcium (too generic)", "IC": "Inhibitory Concentration vs part of 'clinical'", "EC": "Effective Concentration (needs word boundary)",
+}
+COMMON_TERMS = ["cell", "cells", "tissue", "protein", "peptide", "drug", "compound", "receptor", "enzyme", "factor", "system", "process", "pathway", "response", "signaling", "metabolism", "synthesis", "degradation"]
 CAPITALIZED = r"\b(?:[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3})\b"
 NO_ENTITY_PHRASES = [
     r"^(?:the|a|an|this|that|these|those|our|your|my|his|her|its)\b", r"\b(?:study|analysis|result|data|method|approach|technique|process|system)\b$",

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mortarline.functions import phrases as P
+from mortarline.functions.normalize import iso_timestamp
+
 CONFIDENCE_ORDER = ("high", "med", "low")
 
 
@@ -128,6 +131,42 @@ def short_terms(lists: DataFrame, most: int = 3, safe: Sequence[str] = ()) -> Da
     return rows.where(~F.upper("term").isin(*[s.upper() for s in safe])) if safe else rows
 
 
+def seed_issues(lists: DataFrame, safe: Sequence[str] = ()) -> DataFrame:
+    """(issue, category, term, detail) of all checks of term lists (category, term).
+
+    problematic: a known ambiguous abbreviation; short: up to three characters;
+    common: a word that stands in any text; duplicate: a term of several categories.
+    """
+    rows = lists.where(F.trim("term") != "").select("category", F.trim("term").alias("term")).distinct()
+    known = F.create_map(*[x for k, v in P.PROBLEMATIC_TERMS.items() for x in (F.lit(k), F.lit(v))])
+    problematic = rows.withColumn("detail", F.try_element_at(known, F.upper("term"))).where("detail is not null").select(F.lit("problematic").alias("issue"), "category", "term", "detail")
+    short = short_terms(rows, safe=safe).select(F.lit("short").alias("issue"), "category", "term", F.length("term").cast("string").alias("detail"))
+    common = rows.where(F.lower("term").isin(*P.COMMON_TERMS)).select(F.lit("common").alias("issue"), "category", "term", F.lit(None).cast("string").alias("detail"))
+    again = duplicate_terms(rows).select(F.lit("duplicate").alias("issue"), F.lit(None).cast("string").alias("category"), "term", F.array_join("categories", ", ").alias("detail"))
+    return problematic.unionByName(short).unionByName(common).unionByName(again)
+
+
+def role_counts(entities: Column) -> Column:
+    """struct(n_primary, n_context, primary, context, all) of a 'type:name; …' string.
+
+    An entity is primary by its type, but a process word that is called an assay
+    is context.  Parts without a colon are left out; a null string has none.
+    """
+    parts = F.filter(F.transform(F.split(F.coalesce(entities, F.lit("")), r"\s*;\s*"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit(":")))
+    kind = lambda x: F.substring_index(x, ":", 1)
+    name = lambda x: F.lower(F.trim(F.substr(x, F.length(kind(x)) + 2)))
+    primary = lambda x: F.lower(F.trim(kind(x))).isin(*P.PRIMARY_TYPES) & ~((kind(x) == "assay") & name(x).isin(*P.PROCESS_WORDS))
+    bound = F.array(F.struct(F.filter(parts, primary).alias("p"), F.filter(parts, lambda x: ~primary(x)).alias("c"), parts.alias("a")))
+    joined = lambda x: F.array_join(x, "; ")
+    made = F.transform(bound, lambda b: F.struct(F.size(b["p"]).alias("n_primary"), F.size(b["c"]).alias("n_context"), joined(b["p"]).alias("primary"), joined(b["c"]).alias("context"), joined(b["a"]).alias("all")))
+    return F.get(made, F.lit(0))
+
+
+def hours_since(run: Column, now: Column) -> Column:
+    """Hours from a run's ISO-8601 time (UTC without a zone) to now; more than 1 means that a newer export should be there."""
+    return (F.unix_micros(now) - F.unix_micros(iso_timestamp(run))) / F.lit(3_600_000_000.0)
+
+
 def entity_quality(found: DataFrame, key: str) -> DataFrame:
     """Quality of the entities found per key: mean confidence, share of confident ones, variety of types.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mortarline.functions import phrases as P
+from mortarline.operators.identity import cleaned_doi
 
 MIN_ABSTRACT = 50
 HEADER_WORDS = r"(?i)journal|vol(?:ume)?|issue|pages?|issn|doi|copyright|published by|all rights reserved|arxiv|biorxiv|medrxiv|preprint"
@@ -43,16 +44,21 @@ def absolute_links(base: pd.Series, links: pd.Series) -> pd.Series:
 
 
 def entry_links(link: Column, summary: Column, page_html: Column, enclosures: Column) -> Column:
-    """PDF links of a feed entry: in its text, of a preprint's abstract page, as typed links, else those of its page made absolute.
+    """PDF links of a feed entry by the first way that gives any: in its text, of a preprint's abstract page, as typed links, those of its page made absolute.
 
     ``enclosures``: array of struct(href, type, title).
     """
     texts = pdf_links(summary, link)
     preprint = F.when(link.rlike(r"arxiv\.org/abs/"), F.array(F.concat(F.replace(link, F.lit("/abs/"), F.lit("/pdf/")), F.lit(".pdf")))).otherwise(F.array().cast("array<string>"))
     typed = F.transform(F.filter(F.coalesce(enclosures, F.array().cast("array<struct<href:string,type:string,title:string>>")), lambda e: (e["type"] == "application/pdf") | (F.lower(e["title"]) == "pdf")), lambda e: e["href"])
-    first = F.array_distinct(F.concat(texts, preprint, typed))
     on_page = F.coalesce(F.regexp_extract_all(page_html, F.lit(r"(?i)href=[\"']([^\"']+\.pdf[^\"']*)[\"']"), F.lit(1)), F.array().cast("array<string>"))
-    return F.when(F.size(first) > 0, first).otherwise(absolute_links(link, on_page))
+    return F.when(F.size(texts) > 0, texts).when(F.size(preprint) > 0, preprint).when(F.size(typed) > 0, F.array_distinct(typed)).otherwise(absolute_links(link, on_page))
+
+
+def abstract_link(links: Column, *texts: Column) -> Column:
+    """The first link of a feed entry to an abstract: one of its own to doi.org or ascelibrary.org, else the first DOI link in its texts."""
+    own = F.filter(F.coalesce(links, F.array().cast("array<string>")), lambda x: F.contains(x, F.lit("doi.org")) | F.contains(x, F.lit("ascelibrary.org")))
+    return F.get(F.concat(own, doi_links(*texts)), F.lit(0))
 
 
 def year_in(c: Column) -> Column:
@@ -62,7 +68,7 @@ def year_in(c: Column) -> Column:
 
 def first_page(text: Column, scan: int = 10) -> dict[str, Column]:
     """title, authors, doi and year guessed from a document's first page."""
-    lines = F.filter(F.transform(F.split(text, r"\r?\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     head = F.slice(lines, 1, scan)
     title = F.get(F.filter(head, lambda x: (F.length(x) >= 5) & ~x.rlike(HEADER_WORDS)), F.lit(0))
     away = lambda x: F.lower(x).rlike("|".join(map(_quoted, P.AFFILIATIONS)) + r"|@|https?://|www\.")
@@ -81,7 +87,7 @@ def document_metadata(meta: Column, text: Column) -> dict[str, Column]:
     """A map of a file's own metadata first, the first page's guesses where it is silent."""
     page = first_page(text)
     own = lambda k: F.nullif(F.trim(F.try_element_at(meta, F.lit(k))), F.lit(""))
-    subject = F.nullif(F.regexp_replace(F.regexp_extract(own("Subject"), r"10\.\d{4,9}/[-._;()/:A-Za-z0-9<>%+,]+", 0), r"[.,;:]+$", ""), F.lit(""))
+    subject = F.nullif(cleaned_doi(F.regexp_extract(own("Subject"), r"10\.\d{4,9}/[-._;()/:A-Za-z0-9<>%+,]+", 0)), F.lit(""))
     return {"title": F.coalesce(own("Title"), page["title"]), "authors": F.coalesce(own("Author"), page["authors"]), "year": F.coalesce(year_in(own("CreationDate")), page["year"]), "doi": F.coalesce(subject, page["doi"])}
 
 

@@ -73,6 +73,30 @@ def entity_role(name: Column, kind: Column) -> Column:
     return F.when((kind == "assay") & F.lower(name).isin(*P.PROCESS_WORDS), "context").otherwise("primary")
 
 
+def roles_by_map(entities: DataFrame, mapping: DataFrame) -> DataFrame:
+    """``entities`` with ``role``: that of the first canonical name of its type which is its name or has it as a variant, else by type.
+
+    ``mapping``: kind, canonical, variants (array), role (null: primary) and ord,
+    the order of the canonical names.  Without a hit the role is primary for the
+    types that are always so, and unknown for the others.
+    """
+    names = mapping.select(F.lower("kind").alias("_kind"), F.coalesce("role", F.lit("primary")).alias("_role"), "ord", F.explode(F.array_distinct(F.transform(F.concat(F.array("canonical"), F.coalesce("variants", F.array().cast("array<string>"))), F.lower))).alias("_name"))
+    first = names.groupBy("_kind", "_name").agg(F.min_by("_role", "ord").alias("_role"))
+    kind = F.lower(F.trim(F.coalesce("entity_type", F.lit(""))))
+    rows = entities.withColumns({"_kind": kind, "_name": F.lower(F.trim(F.coalesce("entity_name", F.lit(""))))})
+    role = F.coalesce("_role", F.when(F.col("_kind").isin(*P.PRIMARY_TYPES), "primary").otherwise("unknown"))
+    return rows.join(first, ["_kind", "_name"], "left").withColumn("role", role).select(*entities.columns, "role")
+
+
+#: Peptides with fewer linked events are left out of a final export.
+PEPTIDE_EVENTS = 2
+
+
+def exported_entities(scored: DataFrame) -> DataFrame:
+    """What a final export shows: all but peptides with too few events.  ``scored``: entity_type, n_events."""
+    return scored.where((F.col("entity_type") != "peptide") | (F.coalesce("n_events", F.lit(0)) >= PEPTIDE_EVENTS))
+
+
 def peptide_is_valid(name: Column, known: Sequence[str] = ()) -> Column:
     n = F.upper(F.trim(name))
     return n.rlike(f"^[{P.AMINO_ACIDS}]{{8,100}}$") | n.isin(*known) if known else n.rlike(f"^[{P.AMINO_ACIDS}]{{8,100}}$")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mortarline.functions import phrases as P
 from mortarline.functions.dialect import DUCKDB as D
 from mortarline.operators import analytics as A
 from mortarline.operators import governance as G
@@ -24,6 +25,10 @@ PROFILE = G.profile_from(G.EXAMPLE_PROFILE)
 WATCHED = ["concrete", "mortar", "hempcrete", "creep", "RT-9", "graphene aerogel", "kevlar"]
 
 
+def _set(values) -> str:  # noqa: ANN001
+    return f"SELECT unnest([{', '.join(D.text(v) for v in values)}])"
+
+
 def query(sql: str | None = None):  # noqa: ANN201
     def add(f):  # noqa: ANN001, ANN202
         QUERIES[f.__name__] = f
@@ -161,7 +166,7 @@ def watchlist_missing(spark, d):
     return A.watch_list(entities(spark, d), WATCHED)
 
 
-@query("SELECT entity_type, count(*) AS n FROM entities WHERE entity_type IN ('compound', 'target', 'pathway', 'indication', 'assay', 'peptide') GROUP BY 1")
+@query(f"SELECT entity_type, count(*) AS n FROM entities WHERE entity_type IN ({_set(P.ALL_TYPES)} EXCEPT {_set(P.ALLOWED_TYPES['construction_science'])}) GROUP BY 1")
 def contamination_check(spark, d):
     return G.contamination(entities(spark, d), "construction_science")
 
@@ -212,19 +217,25 @@ def first_of_equal_documents(spark, d):
     return M.keep_first(rows.select("content", "sha256", "doc_id", "created_at"), ["content"], ["created_at", "doc_id"]).select("sha256", "doc_id")
 
 
-@query("SELECT entity_type, entity_name, arg_min(entity_id, (created_at, entity_id)) AS entity_id, count(*)::BIGINT AS n FROM entities GROUP BY 1, 2")
+@query("""WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_type, entity_name ORDER BY created_at, entity_id) AS r FROM entities),
+old AS (SELECT entity_type, entity_name, max(entity_id) AS entity_id FROM entities WHERE organism IS NOT NULL GROUP BY 1, 2)
+SELECT entity_type, entity_name, coalesce(o.entity_id, r.entity_id) AS entity_id, o.entity_id IS NOT NULL AS was_there FROM ranked r LEFT JOIN old o USING (entity_type, entity_name) WHERE r.r = 1""")
 def entities_insert_or_ignore(spark, d):
+    """All entities put into a table that holds one row, not the first, of each name that ever had an organism: those stay as they are."""
     ents = entities(spark, d)
-    old = M.keep_first(ents.where("entity_id < '8'"), ["entity_type", "entity_name"], ["created_at", "entity_id"])
-    # the existing rows stay even if an incoming row is older; here the key's first row wins over both parts
-    merged = M.keep_first(M.insert_or_ignore(old, ents, ["entity_type", "entity_name"], ["created_at", "entity_id"]).unionByName(ents), ["entity_type", "entity_name"], ["created_at", "entity_id"])
-    counts = ents.groupBy("entity_type", "entity_name").agg(F.count("*").alias("n"))
-    return merged.join(counts, ["entity_type", "entity_name"]).select("entity_type", "entity_name", "entity_id", "n")
+    keys, order = ["entity_type", "entity_name"], ["created_at", "entity_id"]
+    old = M.keep_last(ents.where("organism is not null"), keys, ["entity_id"])
+    merged = M.insert_or_ignore(old, ents, keys, order)
+    there = old.select(*keys, F.lit(True).alias("was_there"))
+    return merged.join(there, keys, "left").select(*keys, "entity_id", F.coalesce("was_there", F.lit(False)).alias("was_there"))
 
 
-@query("SELECT c.chunk_id, c.doc_id, c.source_id, d.source_id AS doc_source_id FROM chunks c JOIN documents d USING (doc_id) WHERE c.source_id IS DISTINCT FROM d.source_id")
+@query("""WITH d AS (SELECT doc_id, CASE WHEN sha256 IS NOT NULL THEN source_id END AS source_id FROM documents)
+SELECT c.chunk_id, c.doc_id, c.source_id, d.source_id AS doc_source_id FROM chunks c JOIN d USING (doc_id) WHERE c.source_id IS DISTINCT FROM d.source_id""")
 def chunk_source_violations(spark, d):
-    return M.source_mismatches(table(spark, d, "chunks"), table(spark, d, "documents"))
+    """Pages whose source is not their document's, the documents without a hash having lost theirs (in the tables all agree)."""
+    docs = table(spark, d, "documents").select("doc_id", F.when(F.col("sha256").isNotNull(), F.col("source_id")).alias("source_id"))
+    return M.source_mismatches(table(spark, d, "chunks"), docs)
 
 
 @query("SELECT event_id, count(*) AS n FROM event_entities WHERE event_id NOT IN (SELECT event_id FROM research_events) GROUP BY 1")
@@ -267,9 +278,16 @@ def equal_titles(spark, d):
     return rows.where("n > 1")
 
 
-@query("SELECT issue, entity_type, 'construction_science' AS domain_id FROM (VALUES ('preferred_not_allowed', 'assay'), ('allowed_not_preferred', 'property'), ('leakage', 'assay')) AS v(issue, entity_type)")
+_PREFERRED, _ALLOWED = _set(PROFILE.preferred_types), _set(P.ALLOWED_TYPES[PROFILE.id])
+_TYPE_ISSUES = f"""(SELECT 'preferred_not_allowed' AS issue, t AS entity_type FROM ({_PREFERRED} AS t EXCEPT {_ALLOWED})) UNION ALL (SELECT 'allowed_not_preferred', t FROM ({_ALLOWED} AS t EXCEPT {_PREFERRED}))
+UNION ALL (SELECT 'leakage', t FROM ({_PREFERRED} AS t INTERSECT {_set(["compound", "target", "pathway", "indication", "assay", "peptide"])}))"""
+
+
+@query(f"SELECT 'construction_science' AS domain_id, issue, a.entity_type, count(e.entity_id) AS n_entities FROM ({_TYPE_ISSUES}) AS a LEFT JOIN entities e ON e.entity_type = a.entity_type GROUP BY ALL")
 def domain_audit(spark, d):
-    return G.audit_domains(spark, [PROFILE])
+    """What is wrong with a domain's types, and how many entities of such a type there are."""
+    counts = A.distribution(entities(spark, d), "entity_type", name="k")
+    return G.audit_domains(spark, [PROFILE]).join(counts, "entity_type", "left").select("domain_id", "issue", "entity_type", F.coalesce("k", F.lit(0)).alias("n_entities"))
 
 
 @query(f"SELECT {G.excluded_sql(D, PROFILE, 's')} AS excluded, {D.has('s', PROFILE.forbidden)} AS forbidden, count(*) AS n FROM (SELECT lower(chunk_text) AS s FROM chunks) AS c GROUP BY ALL")
@@ -289,9 +307,57 @@ def seed_lint(spark, d):
     return A.duplicate_terms(lists).select("term", F.array_join("categories", ", ").alias("categories"))
 
 
-@query("SELECT 'sources' AS table_name, (SELECT count(*) FROM sources) AS n_rows, 12::BIGINT AS n_columns UNION ALL SELECT 'entities', (SELECT count(*) FROM entities), 6 UNION ALL SELECT 'chunks', (SELECT count(*) FROM chunks), 7")
+TABLES = {"sources": 12, "documents": 10, "chunks": 7, "entities": 6, "research_events": 19, "event_entities": 3, "construction_science_aliases": 4}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, {n}::BIGINT AS n_columns" for t, n in TABLES.items()))
 def table_stats(spark, d):
-    return G.table_stats(spark, d, ["sources", "entities", "chunks"])
+    return G.table_stats(spark, d, list(TABLES))
+
+
+_PARTS = r"list_filter(list_transform(string_split_regex(entities, '\s*;\s*'), lambda x: trim(x, ' ')), lambda x: contains(x, ':'))"
+_PRIMARY = f"list_contains([{', '.join(D.text(t) for t in P.PRIMARY_TYPES)}], split_part(x, ':', 1)) AND NOT (split_part(x, ':', 1) = 'assay' AND list_contains([{', '.join(D.text(w) for w in P.PROCESS_WORDS)}], lower(substr(x, 7))))"
+
+
+@query(f"""WITH {EVENTS}, {LINKS}, named AS (SELECT DISTINCT event_id, entity_type || ':' || replace(entity_name, ';', ',') AS e FROM links JOIN entities USING (entity_id) WHERE event_id IN (SELECT event_id FROM events)), listed AS (SELECT event_id, string_agg(e, '; ' ORDER BY e) AS entities FROM named GROUP BY 1)
+SELECT event_id, len(list_filter({_PARTS}, lambda x: {_PRIMARY})) AS n_primary, len(list_filter({_PARTS}, lambda x: NOT ({_PRIMARY}))) AS n_context, array_to_string(list_filter({_PARTS}, lambda x: {_PRIMARY}), '; ') AS main FROM listed""")
+def entity_roles_per_event(spark, d):
+    """Main and side entities of each event's list."""
+    ents = entities(spark, d).withColumn("entity_name", F.replace("entity_name", F.lit(";"), F.lit(",")))
+    rows = A.events_with_entities(events(spark, d), links(spark, d), ents).where("entities <> ''")
+    rows = rows.select("event_id", A.role_counts(F.col("entities")).alias("r"))
+    return rows.select("event_id", F.col("r.n_primary").cast("bigint").alias("n_primary"), F.col("r.n_context").cast("bigint").alias("n_context"), F.col("r.primary").alias("main"))
+
+
+@query(f"""WITH names AS (SELECT entity_type AS kind, lower(unnest(list_concat([canonical], aliases))) AS name, canonical_id, CASE WHEN canonical_id % 2 = 0 THEN 'context' ELSE 'primary' END AS r FROM construction_science_aliases),
+firsts AS (SELECT kind, name, arg_min(r, canonical_id) AS r FROM names GROUP BY 1, 2)
+SELECT role, count(*) AS n FROM (SELECT coalesce(f.r, CASE WHEN lower(trim(entity_type)) IN ({_set(P.PRIMARY_TYPES)}) THEN 'primary' ELSE 'unknown' END) AS role FROM entities e LEFT JOIN firsts f ON f.kind = lower(trim(e.entity_type)) AND f.name = lower(trim(e.entity_name))) AS q GROUP BY 1""")
+def entity_roles_by_map(spark, d):
+    """Roles by a map that gives every second canonical name the role context."""
+    mapping = table(spark, d, "construction_science_aliases").select(F.col("entity_type").alias("kind"), "canonical", F.col("aliases").alias("variants"), F.col("canonical_id").alias("ord"), F.when(F.col("canonical_id") % 2 == 0, "context").alias("role"))
+    return A.distribution(O.roles_by_map(entities(spark, d), mapping), "role")
+
+
+@query(f"WITH {EVENTS}, {LINKS} SELECT entity_id, source_id, count(DISTINCT event_id) AS n_events FROM links JOIN events USING (event_id) WHERE source_id IS NOT NULL GROUP BY 1, 2")
+def entity_papers(spark, d):
+    return A.entity_papers(links(spark, d), events(spark, d))
+
+
+@query(f"WITH {EVENTS} SELECT event_id, confidence FROM events WHERE confidence IN ('high', 'med', 'low') QUALIFY row_number() OVER (PARTITION BY confidence ORDER BY event_id) <= 5")
+def confidence_samples(spark, d):
+    return A.sample_by(events(spark, d).select("event_id", "confidence"), "confidence", A.CONFIDENCE_ORDER, 5, "event_id")
+
+
+@query(f"""WITH lists AS (SELECT DISTINCT entity_type AS category, trim(unnest(aliases)) AS term FROM construction_science_aliases UNION SELECT entity_type, trim(entity_name) FROM entities WHERE trim(entity_name) <> ''),
+again AS (SELECT lower(term) AS term, string_agg(DISTINCT category, ', ' ORDER BY category) AS detail FROM lists GROUP BY 1 HAVING count(DISTINCT category) > 1)
+SELECT 'short' AS issue, category, term, length(term)::VARCHAR AS detail FROM lists WHERE length(term) <= 3 AND NOT regexp_matches(term, '[-/_.]')
+UNION ALL SELECT 'common', category, term, NULL FROM lists WHERE lower(term) IN ({_set(P.COMMON_TERMS)})
+UNION ALL SELECT 'duplicate', NULL, term, detail FROM again
+UNION ALL SELECT 'problematic', category, term, v.detail FROM lists JOIN (VALUES {", ".join(f"({D.text(k)}, {D.text(x)})" for k, x in P.PROBLEMATIC_TERMS.items())}) AS v(k, detail) ON upper(term) = k""")
+def seed_checks(spark, d):
+    """All checks of term lists, over the canonical list and the names people entered."""
+    lists = table(spark, d, "construction_science_aliases").select(F.col("entity_type").alias("category"), F.explode("aliases").alias("term"))
+    return A.seed_issues(lists.unionByName(entities(spark, d).select(F.col("entity_type").alias("category"), F.col("entity_name").alias("term"))))
 
 
 @query()

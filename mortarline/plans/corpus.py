@@ -19,7 +19,7 @@ FINDINGS = [
     "reduced energy consumption by 12 percent", "increased flood risk under RCP 8.5", "may suggest a trend", "was tested under freeze-thaw cycling", "contained traces of nitrosamine", "was discussed briefly", "was more stable than the analog", "needed an expensive mass spectrometry method", "showed a half-life of 6 hours",
 ]
 CONTEXTS = ["in vivo", "in vitro", "in clinical patients", "in plasma samples", "in a mouse model"]
-TEMPLATES = ["{s} {f} {c}.", "In this study, {s} {f}; IC50 of {m} nM {c}.", "{s} {f} with Kd = {m} nM, e.g. {c}!", "We observed that {s} {f} and a stability of {m} percent {c}.", "Table {m}: {s} {f}.", "{s} {f}, moisture content and thermal conductivity were measured {c}.", "Climate normals {m} {m} temperature humidity pressure table {s}."]
+TEMPLATES = ["{s} {f} {c}.", "In this study, {s} {f}; IC50 of {m} nM {c}.", "{s} {f} with Kd = {m} nM, e.g. {c}!", "We observed that {s} {f} and a stability of {m} percent {c}.", "Table {m}: {s} {f}.", "{s} {f}, moisture content and thermal conductivity were measured {c}.", "Climate normals {m} {m} temperature humidity pressure table {s}.", "{s} was more stable than {o} {c}.", "{s} is an analog of {o}.", "Here {o} is  less toxic than {s}, while it {f}."]
 DOMAINS = ["construction_science", "drug_discovery", "neuroscience_cognition", "methods_tooling"]
 
 
@@ -27,7 +27,8 @@ def _sentence(d: Dialect) -> str:
     s, f, c = d.at(SUBJECTS, f"l_partkey % {len(SUBJECTS)}"), d.at(FINDINGS, f"(l_orderkey * 7 + l_linenumber) % {len(FINDINGS)}"), d.at(CONTEXTS, f"l_suppkey % {len(CONTEXTS)}")
     m = d.string(d.truncated("l_quantity"))
     text = d.at(TEMPLATES, f"(l_orderkey * 3 + l_linenumber) % {len(TEMPLATES)}")
-    for mark, value in (("{s}", s), ("{f}", f), ("{c}", c), ("{m}", m)):
+    o = d.at(SUBJECTS, f"(l_partkey + l_suppkey + 1) % {len(SUBJECTS)}")
+    for mark, value in (("{s}", s), ("{o}", o), ("{f}", f), ("{c}", c), ("{m}", m)):
         text = f"replace({text}, '{mark}', {value})"
     return text
 

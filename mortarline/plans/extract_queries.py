@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mortarline.functions import phrases as P
+from mortarline.functions.classify import explode_sentences, sentences
 from mortarline.functions.dialect import DUCKDB as D
 from mortarline.functions.normalize import exploded
 from mortarline.operators import documents as M
@@ -13,7 +14,7 @@ from mortarline.operators import extractors as E
 from mortarline.operators.analytics import entity_quality
 from mortarline.operators.entities import peptide_sequences, relations, tag_entities
 from mortarline.operators.identity import cleaned_doi, doi_in
-from mortarline.plans.corpus import corpus, corpus_sql, lower_corpus_sql
+from mortarline.plans.corpus import SUBJECTS, corpus, corpus_sql
 from mortarline.plans.session import table
 
 COMPOUNDS = ["quercetin", "rapamycin", "metformin", "resveratrol"]
@@ -27,7 +28,7 @@ def entities_tagged(spark: SparkSession, d: str) -> DataFrame:
 
 def neural_and_stem_sentences(spark: SparkSession, d: str) -> DataFrame:
     """Sentences of all pages that name a neural or a stem cell."""
-    rows = corpus(spark, d).select(F.lower("sentence").alias("s"))
+    rows = explode_sentences(table(spark, d, "chunks").select("chunk_id", "chunk_text"), "chunk_text").select(F.lower("sentence").alias("s"))
     return rows.agg(F.count_if(F.col("s").rlike(r"\b(?:" + "|".join(P.NEURAL_CELL_KEYWORDS) + r")\b")).alias("n_neural"), F.count_if(F.col("s").rlike(r"\b(?:" + "|".join(P.STEM_CELL_KEYWORDS) + r")\b")).alias("n_stem"))
 
 
@@ -36,8 +37,9 @@ def peptides_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def relationships(spark: SparkSession, d: str) -> DataFrame:
-    """Comparisons between two named subjects of one sentence."""
-    rows = corpus(spark, d).select("doc_id", "page_number", F.concat(F.lit("Quercetin was more stable than Rapamycin, while "), "sentence").alias("sentence"), F.array(*[F.struct(F.lit(n).alias("entity_name")) for n in ("Quercetin", "Rapamycin")]).alias("entities"))
+    """Comparisons between two subjects that stand in one sentence."""
+    named = F.array_compact(F.array(*[F.when(F.contains("sentence", F.lit(n)), F.struct(F.lit(n).alias("entity_name"))) for n in SUBJECTS]))
+    rows = corpus(spark, d).select("doc_id", "page_number", "sentence", named.alias("entities"))
     return relations(rows, keep=("doc_id", "page_number")).groupBy("relationship_type", "entity_1", "entity_2").agg(F.count("*").alias("n"))
 
 
@@ -100,9 +102,12 @@ QUERIES = {
 }
 _AA = P.AMINO_ACIDS
 ORACLES = {
-    "neural_and_stem_sentences": f"SELECT count(*) FILTER (WHERE {D.word('sentence', P.NEURAL_CELL_KEYWORDS)}) AS n_neural, count(*) FILTER (WHERE {D.word('sentence', P.STEM_CELL_KEYWORDS)}) AS n_stem FROM ({lower_corpus_sql(D)}) AS c",
+    "neural_and_stem_sentences": f"SELECT count(*) FILTER (WHERE {D.word('sentence', P.NEURAL_CELL_KEYWORDS)}) AS n_neural, count(*) FILTER (WHERE {D.word('sentence', P.STEM_CELL_KEYWORDS)}) AS n_stem FROM (SELECT lower(unnest({sentences(D, 'chunk_text')})) AS sentence FROM chunks) AS c",
     "peptides_found": rf"SELECT research_domain, peptide, count(*) AS n FROM (SELECT research_domain, unnest(list_distinct(regexp_extract_all(sentence, '\b[{_AA}]{{7,}}\b'))) AS peptide FROM ({corpus_sql(D)}) AS c) AS p GROUP BY 1, 2",
-    "relationships": f"SELECT 'more_stable_than' AS relationship_type, 'Quercetin' AS entity_1, 'Rapamycin' AS entity_2, count(*) AS n FROM (SELECT DISTINCT doc_id, page_number FROM ({corpus_sql(D)}) AS c) AS q",
+    "relationships": " UNION ALL ".join(
+        f"SELECT {D.text(name)} AS relationship_type, regexp_extract(sentence, {D.text(pattern)}, 1) AS entity_1, regexp_extract(sentence, {D.text(pattern)}, 2) AS entity_2, count(DISTINCT (doc_id, page_number)) AS n FROM ({corpus_sql(D)}) AS c WHERE regexp_matches(sentence, {D.text(pattern)}) GROUP BY ALL"
+        for name, pattern in ((n, f"({'|'.join(SUBJECTS)}) +{words} +({'|'.join(SUBJECTS)})") for n, words in (("more_stable_than", "was +more +stable +than"), ("analog_of", "is +an +analog +of"), ("less_toxic_than", "is +less +toxic +than")))
+    ),
     "html_abstract": r"SELECT doc_id, sha256(trim(regexp_replace(regexp_replace(text, '[<>]', ' ', 'g'), '\s+', ' ', 'g'))) AS abstract_hash FROM documents",
     "page_links": r"SELECT source_id, array_to_string(regexp_extract_all(s, '(?i)https?://[^\s<>\"'']+\.pdf(?:\?[^\s<>\"'']*)?(?:#[^\s<>\"'']*)?'), ' ') AS links FROM (SELECT source_id, coalesce(url, '') || ' see https://a.example/' || pdf_file || ' and https://a.example/x.pdf?v=1#p2 <b>' AS s FROM sources) AS q",
     "doi_clean": r"SELECT source_id, regexp_replace(regexp_replace(trim(doi), '[.,;:]+$', ''), '\([^)]*\)$', '') AS cleaned, nullif(regexp_replace(regexp_extract('https://doi.org/' || trim(doi) || '.', '10\.\d{4,9}/[-._;()/:A-Za-z0-9<>%+,]+', 0), '[.,;:]+$', ''), '') AS found FROM sources WHERE doi IS NOT NULL",

@@ -63,6 +63,11 @@ def pattern_intelligence(spark: SparkSession, d: str) -> DataFrame:
     return R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d))
 
 
+def pattern_export(spark: SparkSession, d: str) -> DataFrame:
+    rows = R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d))
+    return R.pattern_csv(rows, "2026-01-01 00:00:00")
+
+
 def pattern_health_ranges(spark: SparkSession, d: str) -> DataFrame:
     return R.health_ranges(R.analyze_patterns(table(spark, d, "entities"), _links(spark, d), _events(spark, d), top=None))
 
@@ -109,7 +114,7 @@ patterns AS (SELECT *, {R.health(D, "pattern_type", "momentum", "confidence_leve
 """
 
 
-QUERIES = {f.__name__: f for f in (event_overlay_scores, entity_overlay_scores, overlay_top20, bucket_distribution, canonical_merge, pattern_intelligence, pattern_health_ranges, pattern_emphasis)}
+QUERIES = {f.__name__: f for f in (event_overlay_scores, entity_overlay_scores, overlay_top20, bucket_distribution, canonical_merge, pattern_intelligence, pattern_export, pattern_health_ranges, pattern_emphasis)}
 ORACLES = {
     "event_overlay_scores": f"""WITH {_EVENTS}, texts AS (
   SELECT row_number() OVER () AS i, * FROM (SELECT 'document' AS origin, lower(unnest({sentences(D, "text")})) AS s FROM documents UNION ALL SELECT 'event', lower(coalesce(evidence_snippet, '')) FROM events) AS u),
@@ -126,6 +131,7 @@ SELECT origin, {", ".join(f"{o}::DOUBLE AS {o}" for o in OVERLAYS)}, count(*) AS
 SELECT position, bucket, (SELECT count(*) FROM bucketed WHERE bucket_a = bucket) AS n, round((SELECT count(*) FROM bucketed WHERE bucket_a = bucket) * 100.0::DOUBLE / (SELECT count(*) FROM bucketed), 4) AS percent FROM labels""",
     "canonical_merge": f"WITH {_CANON} SELECT canonical_id, entity_type, n_entities, names FROM merged",
     "pattern_intelligence": f"{_patterns_sql(50)} SELECT entity_id, entity_name, entity_type, pattern_type, health_score, n AS event_count, positive, neutral, negative, replication, momentum, confidence_level, {R.interpretation(D, 'entity_name', 'health_score', 'pattern_type')} AS interpretation FROM patterns",
+    "pattern_export": f"{_patterns_sql(50)} SELECT entity_name, entity_type, pattern_type, health_score, n AS event_count, positive AS positive_signals, neutral AS neutral_signals, negative AS negative_signals, replication AS replication_signals, positive + neutral + negative + replication AS total_signals, momentum AS time_momentum, confidence_level, {R.interpretation(D, 'entity_name', 'health_score', 'pattern_type')} AS interpretation, '2026-01-01 00:00:00' AS export_timestamp FROM patterns",
     "pattern_health_ranges": f"{_patterns_sql(None)} SELECT cast(floor(least(health_score, 99) / 20) * 20 as int) AS range_start, pattern_type, count(*) AS n FROM patterns GROUP BY ALL",
     "pattern_emphasis": f"{_patterns_sql(None)} SELECT entity_id, round(health_score * {D.weights('pattern_type', P.PATTERN_EMPHASIS, 1.0)}, 6) AS emphasized FROM patterns",
 }

@@ -75,6 +75,26 @@ def document_sentences(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("n_sentences"), F.count_distinct("doc_id").alias("n_docs"), F.max("position").cast("bigint").alias("last_position"))
 
 
+def abstract_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences of whole documents by the rule for abstracts, per language."""
+    rows = table(spark, d, "documents").select("lang", F.expr(C.simple_sentences(SPARK, "text")).alias("a"))
+    return rows.groupBy("lang").agg(F.sum(F.size("a")).alias("n_sentences"), F.max(F.size("a")).cast("bigint").alias("most"))
+
+
+def kept_feed_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences that a feed would keep, against those that the engine's gate lets pass."""
+    rows = C.classify(corpus(spark, d))
+    kept = F.expr(C.feed_keep(SPARK, "CASE WHEN has_entity THEN 1 ELSE 0 END", "tags", "has_measurement"))
+    return rows.groupBy(kept.alias("kept"), "keep").agg(F.count("*").alias("n"))
+
+
+def unmatched_by_lenses(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences of the pages by the lens that comes first, those without any among them."""
+    rows = C.explode_sentences(table(spark, d, "chunks").select("chunk_id", "chunk_text"), "chunk_text")
+    first = X.lens_stack(rows, no_match="keep").where("rank is null or rank = 1")
+    return first.groupBy("lens").agg(F.count("*").alias("n"))
+
+
 def page_sections(spark: SparkSession, d: str) -> DataFrame:
     """Section guessed from the page's text against the one recorded."""
     rows = table(spark, d, "chunks").select(F.lower("chunk_text").alias("s"), F.coalesce("section_guess", F.lit("none")).alias("recorded"))
@@ -97,7 +117,7 @@ def confidence_boost(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("confidence", F.expr(C.boosted_confidence(SPARK, "entities", "confidence", "s", "research_domain")).alias("boosted")).agg(F.count("*").alias("n"))
 
 
-for _q in (method_tag_counts, gate_comparison, measurements_by_type_unit, construction_events, boilerplate_filtered, document_sentences, page_sections, snippet_labels, confidence_boost):
+for _q in (method_tag_counts, gate_comparison, measurements_by_type_unit, construction_events, boilerplate_filtered, document_sentences, abstract_sentences, kept_feed_sentences, unmatched_by_lenses, page_sections, snippet_labels, confidence_boost):
     QUERIES[_q.__name__] = _q
 
 _LOW = lower_corpus_sql(DUCKDB)
@@ -111,6 +131,8 @@ WHERE NOT {C.boilerplate(DUCKDB, "sentence")} AND NOT {C.climate_row(DUCKDB, "se
     "boilerplate_filtered": f"SELECT {C.boilerplate(DUCKDB, 'sentence')} AS boilerplate, {C.climate_row(DUCKDB, 'sentence')} AS climate_row, count(*) AS n FROM ({_LOW}) AS s GROUP BY ALL",
     "document_sentences": f"""SELECT source, sum(len(a))::BIGINT AS n_sentences, count(*) FILTER (WHERE len(a) > 0) AS n_docs, max(len(a)) - 1 AS last_position
 FROM (SELECT source, {C.sentences(DUCKDB, "text")} AS a FROM documents) AS s GROUP BY source""",
+    "abstract_sentences": r"SELECT lang, sum(len(a))::BIGINT AS n_sentences, max(len(a)) AS most FROM (SELECT lang, regexp_extract_all(text, '[^.!?]*[^.!?\s][^.!?]*') AS a FROM documents) AS q GROUP BY lang",
+    "kept_feed_sentences": f"SELECT (has_entity OR len(tags) > 0 OR has_measurement) AS kept, keep, count(*) AS n FROM ({_LABELS}) AS l GROUP BY ALL",
     "page_sections": f"SELECT {C.section(DUCKDB, 's')} AS guessed, recorded, count(*) AS n FROM (SELECT lower(chunk_text) AS s, coalesce(section_guess, 'none') AS recorded FROM chunks) AS c GROUP BY ALL",
     "snippet_labels": f"SELECT outcome, evidence_strength, stage, count(*) AS n FROM ({C.classified_sql(DUCKDB, 'SELECT lower(evidence_snippet) AS sentence, true AS has_entity FROM research_events')}) AS l GROUP BY ALL",
     "confidence_boost": f"""WITH links AS (SELECT DISTINCT event_id, entity_type || ':' || entity_name AS e FROM event_entities JOIN entities USING (entity_id) WHERE event_id IS NOT NULL),
@@ -155,6 +177,9 @@ def _stack_sql(rows: str) -> str:
 
 QUERIES["multi_lens_stack"] = multi_lens_stack
 QUERIES["lens_events_on_pages"] = lens_events_on_pages
+ORACLES["unmatched_by_lenses"] = f"""{_stack_sql(f"SELECT lower(unnest({C.sentences(DUCKDB, 'chunk_text')})) AS sentence FROM chunks")},
+ranked AS (SELECT row_id, lens, row_number() OVER (PARTITION BY row_id ORDER BY CASE confidence WHEN 'high' THEN 3 WHEN 'med' THEN 2 ELSE 1 END DESC, CASE context_strength WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END DESC, o) AS p FROM events)
+SELECT e.lens, count(*) AS n FROM rows r LEFT JOIN ranked e ON e.row_id = r.row_id AND e.p = 1 GROUP BY 1"""
 ORACLES["multi_lens_stack"] = f"""{_stack_sql(_LOW)}
 SELECT rank, lens, confidence, context_strength, count(*) AS n FROM (
   SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY source_weight DESC, CASE confidence WHEN 'high' THEN 3 WHEN 'med' THEN 2 ELSE 1 END DESC, CASE context_strength WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END DESC, o) AS rank

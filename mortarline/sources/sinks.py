@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import shutil
-import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +37,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_one_file(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """A small export as one file, replaced in one step; for local paths."""
-    tmp = tempfile.mkdtemp(dir=str(Path(path).parent))
+    tmp = f"{path}.{uuid.uuid4().hex}"
     try:
         out = os.path.join(tmp, "out")
         writer = df.coalesce(1).write.mode("overwrite")
