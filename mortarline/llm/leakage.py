@@ -7,7 +7,8 @@ that were edited.  A window's SimHash is taken over its weighted shingles of fiv
 words; its 64 bits are cut into BLOCKS blocks, and two fingerprints within the
 guaranteed radius lie within NEAR (or 0) bits of each other in one block at least.
 Candidates within the radius are verified by the exact weighted similarity of
-their shingles.
+their shingles.  Stretches of a document without any shingle of the items hold no
+similar window and are not fingerprinted.
 """
 
 from __future__ import annotations
@@ -165,6 +166,7 @@ class ItemIndex:
     units: list[list[str]]
     least: int  # units of the smallest leak that counts
     windows: list[WindowIndex]
+    shingles: dict[int, np.ndarray]  # by length, all shingles of the items' windows in order
 
     @staticmethod
     def build(units: list[list[str]], least: int) -> ItemIndex:
@@ -181,7 +183,16 @@ class ItemIndex:
                 # the shorter a window, the fewer shingles vote, and the less a near fingerprint says
                 near = NEAR if size > least else 0
                 found.setdefault((size, k, near), []).extend((int(prints[at]), i, at) for at in {0, n - size})
-        return ItemIndex(units, least, [WindowIndex.build(w, *key) for key, w in sorted(found.items())])
+        lengths = {k for _, k, _ in found}
+        known = {k: np.unique(np.concatenate([shingle_hashes(u, k) for u in units])) for k in lengths}
+        return ItemIndex(units, least, [WindowIndex.build(w, *key) for key, w in sorted(found.items())], known)
+
+    def stretch(self, shingles: np.ndarray, k: int, longest: int) -> tuple[int, int]:
+        """From where to where a text's windows can hold a shingle of the items: no other window is similar to any of theirs."""
+        known = self.shingles[k]
+        at = np.searchsorted(known, shingles)
+        shared = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == shingles)
+        return (max(0, int(shared[0]) - longest + 1), int(shared[-1]) + longest) if len(shared) else (0, 0)
 
 
 def _item_size(n: int, least: int) -> int:
@@ -207,14 +218,16 @@ def leaks_in(units: list[str], index: ItemIndex) -> dict[int, tuple[int, float,
     out: dict[int, tuple[int, float, bool]] = {}
     for k in {w.shingle for w in index.windows}:
         lengths = [w.size - k + 1 for w in index.windows if w.shingle == k]
-        prints = window_simhashes(shingle_hashes(units, k), sorted(set(lengths)))
+        shingles = shingle_hashes(units, k)
+        begin, end = index.stretch(shingles, k, max(lengths))
+        prints = window_simhashes(shingles[begin:end], sorted(set(lengths)))
         for w in (w for w in index.windows if w.shingle == k):
             mine = prints[w.size - k + 1]
             if not len(mine):
                 continue
             for at, hit in zip(*w.near(mine), strict=True):
                 i, p = int(w.items[hit]), int(w.at[hit])
-                x, y = units[at : at + w.size], index.units[i][p : p + w.size]
+                x, y = units[begin + at : begin + at + w.size], index.units[i][p : p + w.size]
                 exact = x == y
                 similarity = 1.0 if exact else weighted_similarity(x, y)
                 if similarity >= SIMILARITY:
