@@ -10,9 +10,10 @@ def nfkc(c: Column) -> Column:
     """Unicode compatibility composition (NFKC).
 
     Pure-ASCII values are returned as they are; the others go through the
-    ICU library that ships with Spark.  Null stays null.
+    ICU library that ships with Spark, and a Spark without it is an error.  Null
+    stays null.
     """
-    composed = F.try_reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
     return F.when(c.rlike(r"[^\x00-\x7F]"), composed).otherwise(c)
 
 

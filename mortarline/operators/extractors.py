@@ -23,7 +23,7 @@ CONSTRUCTION_WORDS = ["concrete", "steel", "wood", "glass", "brick", "masonry",
 
 def plain_text(c: Column) -> Column:
     """Decomposed, without combining marks, one kind of hyphen, single spaces, lower case."""
-    decomposed = F.when(c.rlike(r"[^\x00-\x7F]"), F.try_reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), c, F.lit(True))).otherwise(c)
+    decomposed = F.when(c.rlike(r"[^\x00-\x7F]"), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), c, F.lit(True))).otherwise(c)
     s = F.regexp_replace(F.regexp_replace(decomposed, r"\p{Mn}+", ""), "[-–—]", "-")
     return fold_case(F.trim(F.regexp_replace(s, r"(?U)\s+", " ")))
 
