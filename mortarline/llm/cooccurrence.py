@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64
+#: Baskets with at least this part of all links are not shuffled by their key.
+HOT_PARTS = 1000
 
 
 def distinct_links(rows: DataFrame, basket: str, item: str) -> DataFrame:
@@ -36,8 +38,13 @@ def pair_counts(links: DataFrame, block: int = BLOCK) -> DataFrame:
     ``links`` has distinct (basket, item) rows.
     """
     sizes = links.groupBy("basket").agg(F.count("*").alias("size"))
-    big = sizes.where(F.col("size") > block).select("basket", F.ceil(F.col("size") / block).cast("int").alias("chunks"))
-    marked = links.join(big, "basket", "left")
+    chunks_of = F.ceil(F.col("size") / block).cast("int").alias("chunks")
+    # at most HOT_PARTS baskets hold such a part of all links: they are marked where they stand, the others meet their size
+    huge = sizes.where((F.col("size") > block) & (F.col("size") * HOT_PARTS >= sizes.agg(F.sum("size")).scalar())).select("basket", chunks_of)
+    big = sizes.where(F.col("size") > block).select("basket", chunks_of)
+    in_huge = links.join(F.broadcast(huge), "basket")
+    others = links.join(F.broadcast(huge.select("basket")), "basket", "left_anti").join(big, "basket", "left")
+    marked = in_huge.unionByName(others)
     chunk = F.coalesce(F.pmod(F.xxhash64("item"), F.col("chunks")), F.lit(0)).cast("int")
     chunks = marked.groupBy("basket", "chunks", chunk.alias("chunk")).agg(F.sort_array(F.collect_set("item")).alias("items"))
     pairs = chunks.where(F.size("items") > 1).select(F.explode(_within(F.col("items"))).alias("p"))
