@@ -42,7 +42,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_pairs(spark: SparkSession, d: str) -> DataFrame:
-    pairs = associations(table(spark, d, "event_entities"))
+    """All pairs of a support of five, with their lift."""
+    pairs = associations(table(spark, d, "event_entities"), min_count=5)
     return pairs.select("entity_a", "entity_b", "n_ab", F.round("lift", 6).alias("lift"))
 
 
@@ -72,6 +73,17 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_items(table(spark, d, "chunks"))
 
 
+def p5_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Per page, what its pieces say of the whole: its length, whether each starts within the one before, how long they are."""
+    pieces = split_items(table(spark, d, "chunks")).where("piece is not null")
+    ends = pieces.groupBy("chunk_id").agg(F.max("end_pos").alias("n_chars"), F.max(F.length("piece")).alias("longest"), F.sum(F.length("piece")).alias("total"), F.sum(F.col("end_pos") - F.col("start_pos")).alias("spans"), F.count("*").alias("n"), F.max("n_pieces").alias("n_pieces"))
+    late = pieces.select("chunk_id", (F.col("piece_no") + 1).alias("piece_no"), F.col("end_pos").alias("before")).join(pieces.select("chunk_id", "piece_no", "start_pos"), ["chunk_id", "piece_no"])
+    gaps = late.groupBy("chunk_id").agg(F.max(F.col("before") - F.col("start_pos")).alias("widest"), F.min(F.col("before") - F.col("start_pos")).alias("narrowest"))
+    rows = ends.join(gaps, "chunk_id", "left")
+    sound = (F.col("longest") <= 2000) & (F.col("total") == F.col("spans")) & (F.col("n") == F.col("n_pieces")) & F.coalesce((F.col("narrowest") >= 0) & (F.col("widest") <= 200), F.lit(True))
+    return rows.select("chunk_id", "n_chars", sound.alias("sound"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return found_noise(table(spark, d, "chunks"), table(spark, d, "sources"))
 
@@ -101,6 +113,12 @@ def _mixed(spark: SparkSession, d: str, total: str | None) -> tuple[DataFrame, D
     return mix(sized, table(spark, d, "mix_targets"), "n_tokens", total)
 
 
+def p9_goals(spark: SparkSession, d: str) -> DataFrame:
+    """Goals of the largest mix that keeps the shares, in characters."""
+    report, _ = balance(table(spark, d, "documents"), table(spark, d, "mix_targets"), "n_chars", LARGEST)
+    return report.select("source", "n_docs", F.round("own_size", 3).alias("own_size"), F.round("goal", 3).alias("goal"), F.round("expected", 3).alias("expected"))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     """The largest mix in which every source that has documents keeps its share."""
     return _mixed(spark, d, LARGEST)[0].select("doc_id", "source", "n_tokens", "copies")
@@ -127,11 +145,20 @@ def p10_sentences(spark: SparkSession, d: str) -> DataFrame:
     return split_sentences(table(spark, d, "documents"))
 
 
+def p10_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Per document the letters and digits of its sentences, and that they stand in order."""
+    rows = split_sentences(table(spark, d, "documents"))
+    late = rows.select("doc_id", (F.col("sentence_no") + 1).alias("sentence_no"), F.col("end_pos").alias("before")).join(rows.select("doc_id", "sentence_no", "start_pos"), ["doc_id", "sentence_no"])
+    wrong = late.where("start_pos < before").groupBy("doc_id").agg(F.count("*").alias("wrong"))
+    sums = rows.groupBy("doc_id").agg(F.sum(F.length(F.regexp_replace("sentence", r"[^\p{L}\p{N}]", ""))).alias("n_letters"))
+    return sums.join(wrong, "doc_id", "left").select("doc_id", "n_letters", F.col("wrong").isNull().alias("in_order"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        p1_found, p1_clean_chunks, p2_found, p2_collapsed, p3_found, p3_pairs, p4_found, p4_matches, p4_unmatched, p5_found, p5_pieces,
-        p6_found, p6_paragraphs, p8_found, p8_leaked_items, p9_found, p9_mix, p9_shares, p9_full_mix, p9_full_shares, p10_found, p10_sentences,
+        p1_found, p1_clean_chunks, p2_found, p2_collapsed, p3_found, p3_pairs, p4_found, p4_matches, p4_unmatched, p5_found, p5_pieces, p5_coverage,
+        p6_found, p6_paragraphs, p8_found, p8_leaked_items, p9_found, p9_goals, p9_mix, p9_shares, p9_full_mix, p9_full_shares, p10_found, p10_sentences, p10_coverage,
     )
 }
 
