@@ -170,9 +170,10 @@ def hours_since(run: Column, now: Column) -> Column:
 def entity_quality(found: DataFrame, key: str) -> DataFrame:
     """Quality of the entities found per key: mean confidence, share of confident ones, variety of types.
 
-    ``found``: key, entity_type, confidence.  Score: at most 100.
+    ``found``: key, entity_type, confidence (its hundredths count, so that the mean
+    is the same in whatever order rows are added).  Score: at most 100.
     """
-    rows = found.groupBy(key).agg(F.count("*").alias("n"), F.avg("confidence").alias("mean"), F.avg((F.col("confidence") >= 0.8).cast("double")).alias("sure"), F.count_distinct("entity_type").alias("types"))
+    rows = found.groupBy(key).agg(F.count("*").alias("n"), (F.sum(F.round(F.col("confidence") * 100).cast("bigint")) / (F.count("confidence") * 100.0)).alias("mean"), (F.count_if(F.col("confidence") >= 0.8) / F.count("*")).alias("sure"), F.count_distinct("entity_type").alias("types"))
     variety = F.col("types") / F.col("n")
     score = F.least(F.lit(100.0), F.col("mean") * 50 + F.col("sure") * 30 + variety * 20)
     issues = F.array_compact(F.array(F.when(F.col("mean") < 0.6, "low confidence"), F.when(F.col("sure") < 0.3, "few confident entities"), F.when(variety < 0.2, "few types")))
