@@ -28,6 +28,8 @@ MIN_COUNT = 3
 #: A word of scanned pages alone is a misreading if a single one parts it from a word so many times as frequent.
 MISREAD_RATIO = 20
 LONGEST_LINE = 110
+#: Sound words that go to the tasks, as 8 bytes each (1 GB); a corpus of more is an error, and none is left out.
+MOST_WORDS = 1 << 27
 
 _TOKEN = re.compile(rf"[^\W_]+(?:[{re.escape(STRAYS)}'’-]+[^\W_]+)*[{re.escape(STRAYS)}]*|[{re.escape(STRAYS)}]+[^\W_]+")
 _LETTERS = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
@@ -143,6 +145,9 @@ def train_editor(pages: DataFrame, max_words: int = MAX_WORDS) -> CharEditor:
     counts = stored(sound_words(stored(word_counts(pages))).where(F.length("word") > 1))
     top = counts.orderBy(F.desc(F.col("n_digital") * 10 + F.col("n_scanned")), "word").limit(max_words).collect()
     words = counts.select("word").unionByName(counts.where("contains(word, '-')").select(F.explode(F.split("word", "-")).alias("word")).where(F.length("word") > 1))
+    n = words.count()
+    if n > MOST_WORDS:
+        raise ValueError(f"{n} different words; more than {MOST_WORDS} are not sent to the tasks")
     hashes = words.select(F.xxhash64("word").alias("h")).distinct().toArrow()["h"]
     return CharEditor([r["word"] for r in top], known=HashedWords(hashes.to_numpy()))
 
@@ -315,8 +320,6 @@ def _shape(line: str) -> int:
     s = line.strip()
     if s.endswith((".", "!", "?", ";", ",")) and not re.search(r"\bal\.$", s, re.I) or _broken(s):
         return 0
-    if len(s) > 90:
-        return 0
     if "|" in s or re.search(r"\S {2,}\S", s) or re.search(r"\bet\s+al\b", s, re.I):
         return 2
     return 1
@@ -452,7 +455,9 @@ def repaired_paragraphs(pages: DataFrame, sources: DataFrame, editor: CharEditor
     doc_type = pages.schema["doc_id"].dataType.simpleString()
     pieces = marked.join(gone, "chunk_id", "left").select("chunk_id", "doc_id", "page_number", "chunk_text", "venue_lines", "gone").mapInArrow(repair, f"chunk_id string, doc_id {doc_type}, page_number int, piece int, text string, broken boolean, new boolean")
     page = F.coalesce("page_number", F.lit(2_147_483_647))
-    pieces = stored(pieces.withColumn("block", F.floor(page / PAGE_BLOCK)).withColumn("page", page))
+    # pages without a number are parted by the beginning of their chunk_id, which keeps their order
+    block = F.struct(F.floor(page / PAGE_BLOCK).alias("pages"), F.when(F.col("page_number").isNull(), F.substring("chunk_id", 1, 4)).otherwise("").alias("beginning"))
+    pieces = stored(pieces.withColumn("block", block).withColumn("page", page))
     # number the paragraphs of a document: within blocks of pages, then from block to block
     order = Window.partitionBy("doc_id", "block").orderBy("page", "chunk_id", "piece")
     inside = pieces.withColumn("n", F.sum(F.col("new").cast("int")).over(order))
