@@ -109,11 +109,13 @@ def duplicate_members(records: DataFrame, key: str, fields: Mapping[str, tuple[s
 def collapsed_records(records: DataFrame, key: str, fields: Mapping[str, tuple[str, object]] = RECORD_FIELDS) -> DataFrame:
     """Each record once, in the writing of its smallest key, with n_copies.
 
-    Of rows that repeat a key the one whose values come first is shown.
+    Of rows that repeat a key the one whose values come first is shown.  A column
+    n_copies of the records is replaced.
     """
-    sizes = duplicate_members(records, key, fields).groupBy("first_id").agg(F.count("*").alias("n_copies"))
+    records = records.drop("n_copies")
+    sizes = duplicate_members(records, key, fields).groupBy(F.col("first_id").alias("_first")).agg(F.count("*").alias("n_copies"))
     rest = [c for c in records.columns if c != key]
-    firsts = records.join(sizes, F.col(key) == F.col("first_id")).groupBy(key, "n_copies").agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("_r"))
+    firsts = records.join(sizes, F.col(key) == F.col("_first")).groupBy(key, "n_copies").agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("_r"))
     return firsts.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest], "n_copies").select(*records.columns, "n_copies")
 
 

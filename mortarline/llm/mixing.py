@@ -178,27 +178,30 @@ def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | str | Non
     less than one such document and half a bin (1 / BINS of what may be rounded
     up), or, if it has fewer documents, by half its largest.  Copies never exceed
     max_repeats.  The report adds to that of balance n_copies, reached (size in
-    the mix) and reached_share.
+    the mix) and reached_share.  The mix has rate and copies besides the columns
+    of the documents; theirs with these names are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.drop("rate", "copies")
     report, states = balance(docs, targets, size, total, source)
     amount = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("double")
-    rated = docs.join(F.broadcast(_state_rows(spark, states).withColumnRenamed("source", source)), source)  # at most MAX_SOURCES rows
-    rated = rated.withColumn("rate", _rate(amount)).withColumn("_floor", F.floor("rate").cast("int"))
-    unit = F.pmod(F.xxhash64(F.lit("copies"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # the documents' own columns travel in one, so that none of them can clash
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(source).alias("source"), F.col(key).alias("_key"), amount.alias("size"))
+    rated = rows.join(F.broadcast(_state_rows(spark, states)), "source")  # at most MAX_SOURCES rows
+    rated = rated.withColumn("rate", _rate(F.col("size"))).withColumn("_floor", F.floor("rate").cast("int"))
+    unit = F.pmod(F.xxhash64(F.lit("copies"), F.col("_key")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # a document goes up if its hash lies less than delta above the rate's fraction; with delta 0 the mean is right
     over = unit - (F.col("rate") - F.col("_floor"))
-    rated = rated.withColumn("_over", F.when(amount > LARGE * F.col("_goal"), F.when(F.col("rate") - F.col("_floor") >= 0.5, -9.0).otherwise(9.0)).otherwise(over))
+    rated = rated.withColumn("_over", F.when(F.col("size") > LARGE * F.col("_goal"), F.when(F.col("rate") - F.col("_floor") >= 0.5, -9.0).otherwise(9.0)).otherwise(over))
     may = F.col("rate") > F.col("_floor")
-    delta = _rounding(rated.select(F.col(source).alias("source"), amount.alias("size"), "_floor", "_over", "rate", may.alias("may")))
-    shifts = _state_rows(spark, states, _shift=delta).select(F.col("source").alias(source), "_shift")
+    delta = _rounding(rated.select("source", "size", "_floor", "_over", "rate", may.alias("may")))
+    shifts = _state_rows(spark, states, _shift=delta).select("source", "_shift")
     up = F.when(may & (F.col("_over") < F.col("_shift")), 1).otherwise(0)
-    chosen = rated.join(F.broadcast(shifts), source).withColumn("copies", F.col("_floor") + up)  # shifts: at most MAX_SOURCES rows
-    chosen = chosen.where(F.col("copies") > 0).select(*docs.columns, "rate", "copies")
-    reached = chosen.groupBy(F.col(source).alias("source")).agg(F.sum("copies").alias("n_copies"), F.sum(F.col("copies") * amount).alias("reached"))
+    chosen = rated.join(F.broadcast(shifts), "source").withColumn("copies", F.col("_floor") + up).where(F.col("copies") > 0)  # shifts: at most MAX_SOURCES rows
+    reached = chosen.groupBy("source").agg(F.sum("copies").alias("n_copies"), F.sum(F.col("copies") * F.col("size")).alias("reached"))
     out = report.join(F.broadcast(reached), "source", "left").fillna(0, ["n_copies", "reached"])  # reached: one row per listed source
     whole = reached.agg(F.sum("reached").alias("whole"))
-    return chosen, out.withColumn("reached_share", F.try_divide(F.col("reached"), whole.scalar()))
+    return chosen.select("_doc.*", "rate", "copies"), out.withColumn("reached_share", F.try_divide(F.col("reached"), whole.scalar()))
 
 
 def _rounding(rated: DataFrame) -> dict[str, float]:

@@ -98,9 +98,11 @@ def cleaned_pages(pages: DataFrame, page_source: DataFrame, min_docs: int = 3, m
     """All pages with clean_text, the text without its repeated lines, and n_removed.
 
     Null text stays null; a page without repeated lines keeps its text as it is.
+    Columns of the pages with these two names are replaced.
     """
     found = repeated_lines(pages, page_source, min_docs, min_share)
-    gone = found.groupBy("chunk_id").agg(F.collect_set("line_no").alias("gone"))
-    kept = F.filter(F.split("chunk_text", "\n"), lambda line, i: ~F.array_contains(F.col("gone"), (i + 1).cast("bigint")))
+    gone = found.groupBy("chunk_id").agg(F.collect_set("line_no").alias("_gone"))
+    kept = F.filter(F.split("chunk_text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), (i + 1).cast("bigint")))
+    pages = pages.drop("clean_text", "n_removed")
     out = pages.join(gone, "chunk_id", "left")
-    return out.select(*pages.columns, F.when(F.col("gone").isNull(), F.col("chunk_text")).otherwise(F.array_join(kept, "\n")).alias("clean_text"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"))
+    return out.select(*pages.columns, F.when(F.col("_gone").isNull(), F.col("chunk_text")).otherwise(F.array_join(kept, "\n")).alias("clean_text"), F.coalesce(F.size("_gone"), F.lit(0)).alias("n_removed"))
