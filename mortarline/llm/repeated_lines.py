@@ -29,7 +29,8 @@ def _has(bits: Column, position: Column) -> Column:
 
 def _line_keys(text: Column) -> Column:
     """A text in which only letters, digits and line breaks are left, case and compatibility form aside."""
-    return F.regexp_replace(fold_case(nfkc(text)), r"[^\p{L}\p{N}\n]+", "")
+    folded = F.when(text.rlike(r"[^\x00-\x7F]"), fold_case(nfkc(text))).otherwise(F.lower(text))
+    return F.regexp_replace(folded, r"[^\p{L}\p{N}\n]+", "")
 
 
 def venue_pages(pages: DataFrame, page_source: DataFrame) -> DataFrame:
