@@ -339,8 +339,11 @@ def furniture(lines: DataFrame) -> DataFrame:
     heads = edges.where((~F.col("alone")) & (F.col("shape") > 0) & (F.length("key") >= 4) & (F.col("place") <= 2))
     seen = heads.where(F.length("key") >= 5).groupBy("doc_id", "key").agg(F.count_distinct("chunk_id").alias("pages"))
     # a header may be misread: near ones of a document share their beginning or end and differ in few letters
-    blocks = F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.substring("key", 1, 5)), F.concat(F.lit(">"), F.substring(F.reverse("key"), 1, 5))))).alias("block")
+    blocks = F.explode(F.array(F.xxhash64(F.lit("<"), F.substring("key", 1, 5)), F.xxhash64(F.lit(">"), F.substring(F.reverse("key"), 1, 5)))).alias("block")
     one = seen.select("doc_id", "key", "pages", blocks)
+    # most lines at an edge are prose and share no block with another page: they need not be compared
+    shared = one.groupBy("doc_id", "block").agg(F.sum("pages").alias("n")).where(F.col("n") >= HEADER_PAGES).select("doc_id", "block")
+    one = one.join(shared, ["doc_id", "block"], "left_semi")
     other = one.select("doc_id", "block", F.col("key").alias("other"), F.col("pages").alias("other_pages"))
     most = F.greatest(F.length("key"), F.lit(6))
     close = (F.col("key") == F.col("other")) | (F.abs(F.length("key") - F.length("other")) * 6 <= most) & (F.levenshtein("key", "other") * 6 <= most)
