@@ -18,7 +18,6 @@ from pathlib import Path
 import pandas as pd
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mortarline.plans.session import stored
@@ -29,9 +28,8 @@ MAX_SOURCES = 10_000
 #: Newton steps, bisection included; more are an error.
 MAX_STEPS = 200
 TOLERANCE = 1e-9
-#: Bins of the rounding threshold per source, and the share of a source's goal above which a document is rounded by itself.
+#: Bins of the rounding threshold per source and size class.
 BINS = 4096
-LARGE = 0.002
 LARGEST = "largest"
 
 
@@ -143,15 +141,15 @@ def balance(docs: DataFrame, targets: DataFrame, size: str, total: float | str |
             _step(v, got, slope)
     else:
         raise RuntimeError(f"no balance after {MAX_STEPS} steps")
-    rows = [(s, v["share"], v["cap"], v["n"], v["own"], v["goal"], v["own"] * v["cap"], not (v["rate"] == math.inf and v["expected"] < v["goal"]), v["expected"]) for s, v in states.items()]
+    rows = [(s, v["share"], v["cap"], v["n"], v["own"], v["goal"], v["own"] * v["cap"], not (v["rate"] == math.inf and v["expected"] < v["goal"] or total == LARGEST and (v["share"] or 0.0) > 0 and v["goal"] <= 0), v["expected"]) for s, v in states.items()]
     schema = "source string, target_share double, max_repeats int, n_docs bigint, own_size double, goal double, capacity double, feasible boolean, expected double"
     return spark.createDataFrame(rows, schema), states
 
 
-def _state_rows(spark: SparkSession, states: Mapping[str, dict], **more: Mapping[str, float]) -> DataFrame:
+def _state_rows(spark: SparkSession, states: Mapping[str, dict]) -> DataFrame:
     """The states as a table of at most MAX_SOURCES rows, small enough to be sent to every task."""
-    rows = [(s, float(v["rate"]), float(v["mean"]), float(v["cap"]), float(v["goal"]), *(float(m.get(s, 0.0)) for m in more.values())) for s, v in states.items()]
-    return spark.createDataFrame(rows, ", ".join(["source string", "_rate double", "_mean double", "_cap double", "_goal double", *(f"{k} double" for k in more)]))
+    rows = [(s, float(v["rate"]), float(v["mean"]), float(v["cap"])) for s, v in states.items()]
+    return spark.createDataFrame(rows, "source string, _rate double, _mean double, _cap double")
 
 
 def _dual(sizes: DataFrame, states: DataFrame) -> DataFrame:
@@ -173,10 +171,9 @@ def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | str | Non
 
     ``total`` as for balance.  A rate is rounded down, and up for the documents
     whose hash comes first, as many as bring the source's size to its expected
-    one; documents above LARGE of the goal are rounded to the nearest first, so
-    that what is left to chance is small.  A source misses its expected size by
-    less than one such document and half a bin (1 / BINS of what may be rounded
-    up), or, if it has fewer documents, by half its largest.  Copies never exceed
+    one: from the largest documents to the smallest, each size class (a power of
+    two) makes up what the larger ones miss, so that in the end no more is missed
+    than about half a small document or half a bin.  Copies never exceed
     max_repeats.  The report adds to that of balance n_copies, reached (size in
     the mix) and reached_share.  The mix has rate and copies besides the columns
     of the documents; theirs with these names are replaced.
@@ -190,33 +187,40 @@ def mix(docs: DataFrame, targets: DataFrame, size: str, total: float | str | Non
     rated = rows.join(F.broadcast(_state_rows(spark, states)), "source")  # at most MAX_SOURCES rows
     rated = rated.withColumn("rate", _rate(F.col("size"))).withColumn("_floor", F.floor("rate").cast("int"))
     unit = F.pmod(F.xxhash64(F.lit("copies"), F.col("_key")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # a document goes up if its hash lies less than delta above the rate's fraction; with delta 0 the mean is right
-    over = unit - (F.col("rate") - F.col("_floor"))
-    rated = rated.withColumn("_over", F.when(F.col("size") > LARGE * F.col("_goal"), F.when(F.col("rate") - F.col("_floor") >= 0.5, -9.0).otherwise(9.0)).otherwise(over))
+    # a document goes up if its hash lies little enough above the rate's fraction; half the bins are below it
+    over = F.floor((unit - (F.col("rate") - F.col("_floor")) + 1.0) * (BINS / 2)).cast("int")
+    rated = rated.withColumns({"_over": over, "class": F.floor(F.log2(F.greatest("size", F.lit(1.0)))).cast("int")})
     may = F.col("rate") > F.col("_floor")
-    delta = _rounding(rated.select("source", "size", "_floor", "_over", "rate", may.alias("may")))
-    shifts = _state_rows(spark, states, _shift=delta).select("source", "_shift")
-    up = F.when(may & (F.col("_over") < F.col("_shift")), 1).otherwise(0)
-    chosen = rated.join(F.broadcast(shifts), "source").withColumn("copies", F.col("_floor") + up).where(F.col("copies") > 0)  # shifts: at most MAX_SOURCES rows
+    last = _rounding(rated.select("source", "size", "class", "_floor", "_over", "rate", may.alias("may")))
+    up = F.when(may & (F.col("_over") <= F.col("_last")), 1).otherwise(0)
+    # last: at most 64 rows for each of MAX_SOURCES sources
+    chosen = rated.join(F.broadcast(last), ["source", "class"]).withColumn("copies", F.col("_floor") + up).where(F.col("copies") > 0)
     reached = chosen.groupBy("source").agg(F.sum("copies").alias("n_copies"), F.sum(F.col("copies") * F.col("size")).alias("reached"))
     out = report.join(F.broadcast(reached), "source", "left").fillna(0, ["n_copies", "reached"])  # reached: one row per listed source
     whole = reached.agg(F.sum("reached").alias("whole"))
     return chosen.select("_doc.*", "rate", "copies"), out.withColumn("reached_share", F.try_divide(F.col("reached"), whole.scalar()))
 
 
-def _rounding(rated: DataFrame) -> dict[str, float]:
-    """By source, the shift of the rounding threshold that brings the rounded size next to the expected one.
+def _rounding(rated: DataFrame) -> DataFrame:
+    """(source, class, _shift): by size class, the shift of the rounding threshold that brings a source next to its expected size.
 
     Sizes are added up in BINS bins of how far a document's hash lies over its
-    fraction; running sums over a source's bins give the last bin to round up.
+    fraction.  The classes of a source go from the largest down, and each makes up
+    what those before it miss; at most 64 * (BINS + 1) rows of a source are left.
     """
-    bins = F.when(F.col("_over") < -1, -1).when(F.col("_over") > 1, BINS).otherwise(F.floor((F.col("_over") + 1.0) * (BINS / 2)))
-    rows = rated.groupBy("source", F.when(F.col("may"), bins).otherwise(F.lit(BINS)).alias("bin"))
-    rows = rows.agg(F.sum(F.col("size") * F.col("rate")).alias("wanted"), F.sum(F.col("size") * F.col("_floor")).alias("down"), F.sum(F.when(F.col("may"), F.col("size")).otherwise(0.0)).alias("extra"))
-    # at most BINS + 2 rows of a source
-    whole = W.partitionBy("source")
-    rows = rows.withColumn("lack", F.sum("wanted").over(whole) - F.sum("down").over(whole)).withColumn("sum", F.sum("extra").over(whole.orderBy("bin")))
-    best = rows.where(F.col("bin") < BINS).groupBy("source").agg(F.min_by("bin", F.abs(F.col("sum") - F.col("lack"))).alias("bin"), F.min("bin").alias("first"), F.min_by("sum", "bin").alias("least"), F.min("lack").alias("lack"))
-    # nothing goes up where even the first bin is further from the goal than none, unless it holds the large ones
-    none = (F.col("first") >= 0) & (F.col("lack") < F.abs(F.col("least") - F.col("lack"))) & (F.col("bin") == F.col("first"))
-    return {s: (b + 1) / (BINS / 2) - 1.0 for s, b in best.select("source", F.when(none, -1).otherwise(F.col("bin"))).collect()}
+    bins = F.when(F.col("may"), F.col("_over")).otherwise(F.lit(BINS))
+    rows = rated.groupBy("source", "class", bins.alias("bin"))
+    rows = rows.agg(F.sum(F.col("size") * (F.col("rate") - F.col("_floor"))).alias("lack"), F.sum(F.when(F.col("may"), F.col("size")).otherwise(0.0)).alias("extra"))
+
+    def choose(cells: pd.DataFrame) -> pd.DataFrame:
+        out, missing = [], 0.0
+        for size_class, part in sorted(cells.groupby("class"), key=lambda x: -x[0]):
+            wanted = part["lack"].sum() + missing
+            some = part[part["bin"] < BINS].sort_values("bin")
+            sums = [0.0, *some["extra"].cumsum()]
+            best = min(range(len(sums)), key=lambda k: abs(sums[k] - wanted))
+            missing = wanted - sums[best]
+            out.append((cells["source"].iloc[0], size_class, int(some["bin"].iloc[best - 1]) if best else -1))
+        return pd.DataFrame(out, columns=["source", "class", "_last"])
+
+    return rows.groupBy("source").applyInPandas(choose, "source string, class int, _last int")

@@ -131,6 +131,12 @@ def test_mixing(spark):
     assert out["big"]["reached_share"] == pytest.approx(0.375, abs=0.003) and out["small"]["reached_share"] == pytest.approx(0.625, abs=0.003)
     own = {s: sum(x for _, t, x in rows if t == s and x) for s in ("big", "small")}
     assert sum(r["goal"] for r in out.values()) == pytest.approx(min(own["big"] * 2 / 0.375, own["small"] * 4 / 0.625))
+    assert not out["tiny"]["feasible"]
+    # few and long documents at low rates: each source within a hundredth of its goal
+    long = spark.createDataFrame([(i, f"s{i % 5}", float(rng.randrange(50, 500))) for i in range(4000)] + [(9000 + i, f"s{i % 5}", 9000.0) for i in range(10)], "doc_id long, source string, size double")
+    five = spark.createDataFrame([(f"s{k}", x, 2) for k, x in enumerate((0.9, 0.04, 0.03, 0.02, 0.01))], "source string, target_share double, max_repeats int")
+    for r in mix(long, five, "size", LARGEST)[1].collect():
+        assert r["reached"] == pytest.approx(r["goal"], rel=0.011)
     assert balance(df.where("false"), targets, "size")[0].where("feasible").count() == 3
     assert mix(df, targets.where("false"), "size")[0].count() == 0
 
