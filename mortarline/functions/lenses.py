@@ -17,7 +17,9 @@ LENSES = ("building_physics", "climate", "compliance", "failure", "materials")
 
 def unit_signal(d: Dialect, s: str) -> str:
     """Whether any unit stands in the text; in Spark a search for what the units hold goes before the patterns."""
-    found = d.matches(s, "|".join(P.UNIT_PATTERNS))
+    # the other engine's patterns cannot look around: there the digit and the space are part of the match
+    patterns = P.UNIT_PATTERNS if d.spark else [p.replace(r"(?<=\d)%(?=\s|$)", r"\d%(?:\s|$)") for p in P.UNIT_PATTERNS]
+    found = d.matches(s, "|".join(patterns))
     return f"({d.has(s, P.UNIT_PARTS)} AND {found})" if d.spark else found
 
 

@@ -45,6 +45,11 @@ def iso_timestamp(c: Column) -> Column:
     return zoned.try_cast("timestamp")
 
 
+def iso_text(c: Column) -> Column:
+    """A timestamp as ISO-8601 text in UTC to the second, with Z."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def snake(c: Column) -> Column:
     """Lower case, trimmed, one underscore between words; a slash is kept."""
     s = F.lower(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")))

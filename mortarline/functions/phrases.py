@@ -74,6 +74,7 @@ RELATIONS = [
 STEM_CELL_KEYWORDS = ["msc", "mesenchymal", "ipsc", "pluripotent", "stem cell", "stem-cell", "differentiation", "reprogramming"]
 NEURAL_CELL_KEYWORDS = ["neuron", "neurons", "dopaminergic", "glutamatergic", "gabaergic", "astrocyte", "astrocytes", "oligodendrocyte", "oligodendrocytes", "microglia", "microglial"]
 FALLBACK_MODELS = ["mouse", "rat", "human", "hela", "hek293"]
+KNOWN_PEPTIDES = ["ETELCALCETIDE", "PLECANATIDE", "TERIPARATIDE", "OCTREOTIDE", "LANREOTIDE", "PASIREOTIDE", "SOMATOSTATIN"]
 PEPTIDE_DENYLIST = ["CANADIAN", "CLIMATE", "PREFACE", "PRINCIPAL", "SERVICE", "PACIFIC"]
 AMINO_ACIDS = "ACDEFGHIKLMNPQRSTVWY"
 TARGET_CONTEXT_TERMS = ["protein", "gene", "receptor", "kinase", "phosphorylation", "expression", "signaling", "pathway", "assay", "cell", "cells", "compound", "treatment", "inhibitor", "inhibition", "mutation", "disease", "binding"]
@@ -92,7 +93,7 @@ FAILURE_CAUSES = ["shear", "fatigue", "stress", "thermal", "brittle", "ductile",
 # --- lenses
 UNIT_PATTERNS = [
     r"\bmpa\b", r"\bkpa\b", r"\bgpa\b", r"\bkn\b", r"\bmn\b", r"\bmm\b", r"\bcm\b", r"\bft\b", r"\bw/m2k\b", r"\bw/m·k\b", r"\bw/mk\b",
-    r"\bwh\b", r"\bkwh\b", r"\bkw\b", r"\bpa\b", r"\bppm\b", r"\d%(?:\s|$)", r"\bpercent\b", r"\w°c\b", r"\bdegc\b", r"\w°f\b",
+    r"\bwh\b", r"\bkwh\b", r"\bkw\b", r"\bpa\b", r"\bppm\b", r"(?<=\d)%(?=\s|$)", r"\bpercent\b", r"\b°c\b", r"\bdegc\b", r"\b°f\b",
 ]
 #: Of each unit pattern a part that a text with the unit has.
 UNIT_PARTS = ["pa", "kn", "mn", "mm", "cm", "ft", "w/m", "wh", "kw", "ppm", "%", "percent", "°c", "degc", "°f"]

@@ -68,10 +68,12 @@ def scored_event_confidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def html_abstract(spark: SparkSession, d: str) -> DataFrame:
-    """Abstracts of web pages in two layouts, made from the documents."""
+    """Abstracts of web pages in all six layouts, made from the documents."""
     text = F.regexp_replace(F.col("text"), "[<>]", " ")
-    html = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('<html><div class="abstract"><p>'), text, F.lit("</p></div></html>"))).otherwise(F.concat(F.lit("<h2>Abstract</h2> <p>"), text, F.lit("</p>")))
-    return table(spark, d, "documents").select("doc_id", F.sha2(M.html_abstract(html), 256).alias("abstract_hash"))
+    layouts = [('<div class="abstract"><p>', "</p></div>"), ('<div class="x abstractSection" ><div class="abstractSection">', "</div>"), ('<p id="a" class="abstract">', "</p>"), ('<div id="abstract">', "</div>"), ("<h2>Abstract</h2> <p>", "</p>"), ("<h2>ABSTRACT</h2>\n<p>", "</p>")]
+    page = F.coalesce(*[F.when(F.col("doc_id") % 6 == i, F.concat(F.lit(f"<html><p>menu</p>{a}"), text, F.lit(f"{b}</html>"))) for i, (a, b) in enumerate(layouts)])
+    pages = exploded(table(spark, d, "documents"), F.array(page), "page", "doc_id")
+    return pages.select("doc_id", F.sha2(M.html_abstract(F.col("page")), 256).alias("abstract_hash"))
 
 
 def page_links(spark: SparkSession, d: str) -> DataFrame:

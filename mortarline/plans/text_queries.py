@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mortarline.functions import classify as C
 from mortarline.functions import lenses as X
+from mortarline.functions import phrases as P
 from mortarline.functions.dialect import DUCKDB, SPARK
 from mortarline.functions.normalize import exploded
 from mortarline.plans.corpus import corpus, corpus_sql, lower_corpus_sql
@@ -16,7 +18,35 @@ from mortarline.plans.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-_LABELS = C.classified_sql(DUCKDB, lower_corpus_sql(DUCKDB))
+
+
+def _labels_sql(rows: str) -> str:
+    """A query that adds all labels to a subquery with a lower-cased sentence and has_entity.
+
+    The rules stand here a second time, as joins of the distinct sentences with a
+    table of phrases, so that the expressions are held against something else.
+    """
+    text = DUCKDB.text
+    groups = {"tag": P.METHOD_TAGS, "failure": P.FAILURE_PHRASES, "decision": P.DECISION_PHRASES, "outcome": P.OUTCOME_PHRASES, "stage": P.STAGES, "evidence": {"strong": P.STRONG_EVIDENCE, "weak": P.WEAK_EVIDENCE}}
+    words = {"toxic": P.TOXICITY_WORDS, "degrading": P.DEGRADATION_WORDS, "active": P.ACTIVITY_WORDS, "producing": P.PRODUCTION_WORDS, "cost": P.COST_WORDS, "signal": P.HIGH_SIGNAL_TERMS}
+    phrases = [(kind, o, label, p) for kind, table_ in groups.items() for o, (label, ps) in enumerate(table_.items()) for p in ps] + [(kind, 0, p, p) for kind, ps in words.items() for p in ps]
+    values = ", ".join(f"({text(kind)}, {o}, {text(label)}, {text(r'\b' + re.escape(p).replace(chr(92) + ' ', ' ').replace(chr(92) + '-', '-') + r'\b')})" for kind, o, label, p in phrases)
+    measured = " OR ".join(f"regexp_matches(sentence, {text(q + r'.*?[0-9]+[.]?[0-9]*[ ]*(' + u + ')')})" for _, q, u in P.MEASUREMENTS)
+    first = lambda kind, default: f"coalesce(arg_min(label, o) FILTER (WHERE kind = '{kind}'), '{default}')"
+    has = lambda kind: f"coalesce(bool_or(kind = '{kind}'), false) AS {kind}"
+    return f"""WITH rows_ AS (SELECT * FROM ({rows}) AS q), phrases(kind, o, label, p) AS (VALUES {values}), texts AS (SELECT DISTINCT sentence FROM rows_ WHERE sentence IS NOT NULL),
+hits AS (SELECT sentence, kind, o, label FROM texts LEFT JOIN phrases ON regexp_matches(sentence, p)),
+one AS (SELECT sentence, list_distinct(list(label) FILTER (WHERE kind = 'tag')) AS found, {first("failure", "unknown")} AS failure_reason, {first("decision", "unknown")} AS decision, {first("outcome", "unknown")} AS outcome, {first("stage", "unknown")} AS stage, {first("evidence", "moderate")} AS evidence_strength,
+  {", ".join(has(k) for k in words if k != "signal")}, count(DISTINCT label) FILTER (WHERE kind = 'signal') AS signals, {measured} AS has_measurement FROM hits GROUP BY sentence),
+two AS (SELECT *, coalesce(found, []) AS tags, CASE WHEN list_contains(coalesce(found, []), 'nitrosamine') OR failure_reason = 'regulatory' THEN 'regulatory_risk' WHEN failure_reason = 'toxicity_flag' OR toxic THEN 'toxicity_flag' WHEN failure_reason = 'stability_failure' THEN 'stability_issue' WHEN degrading THEN 'degradation_event'
+  WHEN failure_reason = 'no_activity' OR active THEN 'efficacy_result' WHEN failure_reason = 'scalability' OR producing THEN 'manufacturing_constraint' WHEN len(found) > 0 AND cost THEN 'cost_tradeoff' WHEN len(found) > 0 THEN 'method_evaluation' WHEN decision <> 'unknown' THEN 'decision_point' ELSE 'other' END AS event_type,
+  CASE WHEN list_contains(coalesce(found, []), 'serum') THEN 'serum/plasma' WHEN sentence LIKE '%organoid%' THEN 'organoid' WHEN sentence LIKE '%cell line%' OR sentence LIKE '%cell culture%' THEN 'cells' END AS system_context,
+  CASE WHEN len(found) > 0 THEN 1 ELSE 0 END + CASE WHEN failure_reason <> 'unknown' THEN 2 ELSE 0 END + CASE WHEN decision <> 'unknown' THEN 1 ELSE 0 END + CASE WHEN has_measurement THEN 2 ELSE 0 END + CASE WHEN signals >= 3 THEN 2 WHEN signals = 2 THEN 1 ELSE 0 END AS points FROM one),
+three AS (SELECT rows_.* EXCLUDE (sentence), two.*, CASE WHEN points + CASE WHEN has_entity THEN 2 ELSE 0 END >= 6 THEN 'high' WHEN points + CASE WHEN has_entity THEN 2 ELSE 0 END >= 3 THEN 'med' ELSE 'low' END AS confidence FROM rows_ JOIN two USING (sentence))
+SELECT *, CASE WHEN confidence <> 'low' OR event_type <> 'other' AND (failure_reason <> 'unknown' OR decision <> 'unknown' OR len(tags) > 0) THEN 1 ELSE 0 END AS keep FROM three"""
+
+
+_LABELS = _labels_sql(lower_corpus_sql(DUCKDB))
 
 
 def _grouped(name: str, keys: list[str], where: str | None = None) -> None:
@@ -24,7 +54,10 @@ def _grouped(name: str, keys: list[str], where: str | None = None) -> None:
 
     def query(spark: SparkSession, d: str) -> DataFrame:
         rows = C.classify(corpus(spark, d))
-        return (rows.where(where) if where else rows).groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
+        # a filter on a label would be pushed below all labels, with every one it is made of written out
+        kept = F.expr(where) if where else F.lit(True)
+        counts = rows.groupBy(*keys).agg(F.count_if(kept).alias("n"), F.count_distinct(F.when(kept, F.col("doc_id"))).alias("n_docs"))
+        return counts.where("n > 0")
 
     QUERIES[name] = query
     ORACLES[name] = f"SELECT {', '.join(keys)}, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM ({_LABELS}) AS l {'WHERE ' + where if where else ''} GROUP BY {', '.join(keys)}"
@@ -134,7 +167,7 @@ FROM (SELECT source, {C.sentences(DUCKDB, "text")} AS a FROM documents) AS s GRO
     "abstract_sentences": r"SELECT lang, sum(len(a))::BIGINT AS n_sentences, max(len(a)) AS most FROM (SELECT lang, regexp_extract_all(text, '[^.!?]*[^.!?\s][^.!?]*') AS a FROM documents) AS q GROUP BY lang",
     "kept_feed_sentences": f"SELECT (has_entity OR len(tags) > 0 OR has_measurement) AS kept, keep, count(*) AS n FROM ({_LABELS}) AS l GROUP BY ALL",
     "page_sections": f"SELECT {C.section(DUCKDB, 's')} AS guessed, recorded, count(*) AS n FROM (SELECT lower(chunk_text) AS s, coalesce(section_guess, 'none') AS recorded FROM chunks) AS c GROUP BY ALL",
-    "snippet_labels": f"SELECT outcome, evidence_strength, stage, count(*) AS n FROM ({C.classified_sql(DUCKDB, 'SELECT lower(evidence_snippet) AS sentence, true AS has_entity FROM research_events')}) AS l GROUP BY ALL",
+    "snippet_labels": f"SELECT outcome, evidence_strength, stage, count(*) AS n FROM ({_labels_sql("SELECT lower(coalesce(evidence_snippet, '')) AS sentence, true AS has_entity FROM research_events")}) AS l GROUP BY ALL",
     "confidence_boost": f"""WITH links AS (SELECT DISTINCT event_id, entity_type || ':' || entity_name AS e FROM event_entities JOIN entities USING (entity_id) WHERE event_id IS NOT NULL),
 listed AS (SELECT event_id, string_agg(e, '; ' ORDER BY e) AS entities FROM links GROUP BY 1),
 events AS (SELECT event_id, arg_max(confidence, loaded_at) AS confidence, lower(arg_max(evidence_snippet, loaded_at)) AS s, arg_max(research_domain, loaded_at) AS research_domain FROM research_events GROUP BY 1)

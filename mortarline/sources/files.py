@@ -6,13 +6,14 @@ import io
 import json
 import re
 import zipfile
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mortarline.functions import phrases as P
 from mortarline.operators.documents import pdf_links
 
 PDF_MAGIC = "%PDF-"
@@ -183,10 +184,21 @@ def csv_export(spark: SparkSession, path: str, columns: str | None = None) -> Da
     return (reader.schema(columns) if columns else reader).csv(path)
 
 
-def known_names(path: str | None, default: tuple[str, ...] = ()) -> tuple[str, ...]:
-    """Allow-list from a JSON, CSV or text file, upper case; the default without a file."""
-    if not path:
-        return tuple(x.upper() for x in default)
+def known_names(path: str | None, default: Sequence[str] = tuple(P.KNOWN_PEPTIDES), listed: str | None = None) -> tuple[str, ...]:
+    """Allow-list in upper case: ``listed`` (names parted by commas, semicolons or lines, as an environment variable has them), else a JSON, CSV or text file, else the default.
+
+    A JSON file may be a list, or an object that holds one under peptides,
+    known_peptides or values.
+    """
+    upper = lambda items: tuple(sorted({str(x).split("#")[0].strip().upper() for x in items} - {""}))
+    if listed and listed.strip():
+        return upper(re.split(r"[\n,;]+", listed))
+    if not path or not Path(path).is_file():
+        return upper(default)
     text = Path(path).read_text(encoding="utf-8")
-    items = json.loads(text) if path.endswith(".json") else re.split(r"[\n,]", text)
-    return tuple(sorted({str(x).split("#")[0].strip().upper() for x in items} - {""}))
+    if not path.endswith(".json"):
+        return upper(re.split(r"[\n,;]+", text))
+    items = json.loads(text)
+    if isinstance(items, dict):
+        items = next((items[k] for k in ("peptides", "known_peptides", "values") if k in items), list(items.values()))
+    return upper(items)

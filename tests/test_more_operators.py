@@ -11,6 +11,7 @@ from mortarline.functions import lenses as X
 from mortarline.functions import phrases as P
 from mortarline.functions.classify import feed_keep, simple_sentences
 from mortarline.functions.dialect import SPARK
+from mortarline.functions.normalize import iso_text
 from mortarline.operators import analytics as A
 from mortarline.operators import documents as M
 from mortarline.operators import extractors as E
@@ -199,6 +200,23 @@ def test_every_source_against_earlier_ones(spark):
     assert got == want and {"doi", "title", "fuzzy", "new"} <= {m for _, m in want.values()}
 
 
+def test_allow_lists(tmp_path):
+    assert "OCTREOTIDE" in S.known_names(None) and len(S.known_names(str(tmp_path / "absent.txt"))) == 7
+    assert S.known_names(None, listed=" a; b,c\n") == ("A", "B", "C")
+    (tmp_path / "p.json").write_text(json.dumps({"known_peptides": ["x ", "y"]}))
+    (tmp_path / "p.csv").write_text("x,z # c\n")
+    assert S.known_names(str(tmp_path / "p.json")) == ("X", "Y") and S.known_names(str(tmp_path / "p.csv")) == ("X", "Z")
+
+
+def test_iso_text(spark):
+    assert one(spark, "2026-01-02T03:04:05.9+02:00", iso_text(F.col("c").cast("timestamp"))) == "2026-01-02T01:04:05Z" and one(spark, None, iso_text(F.col("c").cast("timestamp"))) is None
+
+
+@pytest.mark.parametrize(("text", "want"), [("5% of it", True), ("a 5%x", False), ("100 mpa", True), ("impart", False), ("at 5°c", True), ("at 5 °c", False), ("percent", True), ("no unit", False), ("", False)])
+def test_units(spark, text, want):
+    assert one(spark, text, F.expr(X.unit_signal(SPARK, "c"))) is want
+
+
 def test_tables_are_complete():
     assert len(P.OVERLAYS["climate_resilience_v1"]["boost"]) == 190 and len(P.OVERLAYS["climate_resilience_v1"]["demote"]) == 4
     assert len(P.ABBREVIATIONS_OF_TERMS) == 135 and sum(map(len, P.FALLBACK_PATTERNS["construction"].values())) == 20 and sum(map(len, P.FALLBACK_PATTERNS["biomedical"].values())) == 15
