@@ -103,14 +103,22 @@ bucketed AS (SELECT *, {O.bucket(D, "score_a", O.most_score(D, "n_events"))} AS
 _SIGNALS = {g: "(" + " + ".join(f"max(CASE WHEN contains(s, {D.text(p)}) THEN 1 ELSE 0 END)" for p in ps) + ")" for g, ps in P.SIGNALS.items()}
 
 
+_WORDS = """entity_name || ' shows ' || CASE WHEN health_score >= 80 THEN 'strong research momentum' WHEN health_score >= 60 THEN 'promising and active research' WHEN health_score >= 40 THEN 'exploratory research' WHEN health_score >= 20 THEN 'stalled or uncertain research' ELSE 'declining research attention' END
+|| ' ' || MAP {'convergence': 'with convergence around consistent methods', 'escalation': 'with increasing validation efforts', 'stagnation': 'encountering persistent technical barriers', 'abandonment': 'with declining research interest', 'fragmentation': 'remaining methodologically diverse'}[pattern_type]
+|| ' and ' || if(positive > negative, 'predominantly positive', if(negative > positive, 'predominantly negative', 'mixed')) || ' outcome language.'"""
+
+
 def _patterns_sql(top: int | None) -> str:
     return f"""WITH {_EVENTS}, {_LINKS},
 chosen AS (SELECT entity_id, entity_name, entity_type, n FROM (SELECT entity_id, count(*) AS n FROM links GROUP BY 1) AS c JOIN entities USING (entity_id) {f"ORDER BY n DESC, entity_id LIMIT {top}" if top else ""}),
 said AS (SELECT c.entity_id, lower(coalesce(e.evidence_snippet, '')) AS s, e.confidence FROM chosen c JOIN links USING (entity_id) JOIN events e USING (event_id)),
 counted AS (SELECT entity_id, count(*) AS n_rows, count(*) FILTER (WHERE confidence = 'high') AS high, count(*) FILTER (WHERE confidence = 'med') AS med, bool_or({D.has("s", P.ESCALATION_TERMS)}) AS escalates, {", ".join(f"{v} AS {g}" for g, v in _SIGNALS.items())} FROM said GROUP BY 1),
 one AS (SELECT c.*, k.* EXCLUDE (entity_id), (SELECT avg(n) FROM chosen) AS mean FROM chosen c JOIN counted k USING (entity_id)),
-two AS (SELECT *, {R.pattern_type(D, "entity_name", "n", "escalates")} AS pattern_type, {R.momentum(D, "n", "mean")} AS momentum, {R.confidence_vote(D, "n_rows", "high", "med")} AS confidence_level FROM one),
-patterns AS (SELECT *, {R.health(D, "pattern_type", "momentum", "confidence_level")} AS health_score FROM two)
+two AS (SELECT *, CASE WHEN n < 10 AND n > 3 THEN if(escalates, 'escalation', 'fragmentation') WHEN n <= 3 THEN 'abandonment' WHEN regexp_matches(entity_name, '(?i)aggregation|degradation|instability|toxicity|poor') THEN 'stagnation' ELSE 'convergence' END AS pattern_type,
+  if(n > 1.5 * mean, 'increasing', if(n < 0.5 * mean, 'decreasing', 'stable')) AS momentum, if(high > n_rows / 2, 'high', if(med + high > n_rows / 2, 'med', 'low')) AS confidence_level FROM one),
+patterns AS (SELECT *, least(100, greatest(0, trunc((
+  MAP {{'convergence': 40, 'escalation': 45, 'fragmentation': 20, 'stagnation': 10, 'abandonment': 0}}[pattern_type] + 5 * positive - 5 * negative + 3 * replication + least(neutral, 5) + MAP {{'increasing': 10, 'stable': 5, 'decreasing': -10}}[momentum])
+  * MAP {{'high': 11, 'med': 10, 'low': 9}}[confidence_level] / 10.0)::INTEGER)) AS health_score FROM two)
 """
 
 
@@ -130,8 +138,8 @@ SELECT origin, {", ".join(f"{o}::DOUBLE AS {o}" for o in OVERLAYS)}, count(*) AS
     "bucket_distribution": f"""{_SCORED}, labels AS (SELECT * FROM (VALUES {", ".join(f"({i + 1}, {D.text(b)})" for i, b in enumerate([*[b for b, _ in P.BUCKETS], P.LAST_BUCKET]))}) AS v(position, bucket))
 SELECT position, bucket, (SELECT count(*) FROM bucketed WHERE bucket_a = bucket) AS n, round((SELECT count(*) FROM bucketed WHERE bucket_a = bucket) * 100.0::DOUBLE / (SELECT count(*) FROM bucketed), 4) AS percent FROM labels""",
     "canonical_merge": f"WITH {_CANON} SELECT canonical_id, entity_type, n_entities, names FROM merged",
-    "pattern_intelligence": f"{_patterns_sql(50)} SELECT entity_id, entity_name, entity_type, pattern_type, health_score, n AS event_count, positive, neutral, negative, replication, momentum, confidence_level, {R.interpretation(D, 'entity_name', 'health_score', 'pattern_type')} AS interpretation FROM patterns",
-    "pattern_export": f"{_patterns_sql(50)} SELECT entity_name, entity_type, pattern_type, health_score, n AS event_count, positive AS positive_signals, neutral AS neutral_signals, negative AS negative_signals, replication AS replication_signals, positive + neutral + negative + replication AS total_signals, momentum AS time_momentum, confidence_level, {R.interpretation(D, 'entity_name', 'health_score', 'pattern_type')} AS interpretation, '2026-01-01 00:00:00' AS export_timestamp FROM patterns",
+    "pattern_intelligence": f"{_patterns_sql(50)} SELECT entity_id, entity_name, entity_type, pattern_type, health_score, n AS event_count, positive, neutral, negative, replication, momentum, confidence_level, {_WORDS} AS interpretation FROM patterns",
+    "pattern_export": f"{_patterns_sql(50)} SELECT entity_name, entity_type, pattern_type, health_score, n AS event_count, positive AS positive_signals, neutral AS neutral_signals, negative AS negative_signals, replication AS replication_signals, positive + neutral + negative + replication AS total_signals, momentum AS time_momentum, confidence_level, {_WORDS} AS interpretation, '2026-01-01 00:00:00' AS export_timestamp FROM patterns",
     "pattern_health_ranges": f"{_patterns_sql(None)} SELECT cast(floor(least(health_score, 99) / 20) * 20 as int) AS range_start, pattern_type, count(*) AS n FROM patterns GROUP BY ALL",
-    "pattern_emphasis": f"{_patterns_sql(None)} SELECT entity_id, round(health_score * {D.weights('pattern_type', P.PATTERN_EMPHASIS, 1.0)}, 6) AS emphasized FROM patterns",
+    "pattern_emphasis": f"{_patterns_sql(None)} SELECT entity_id, round(health_score * MAP {{'convergence': 1.10, 'escalation': 1.15, 'fragmentation': 1.05, 'stagnation': 0.95, 'abandonment': 0.90}}[pattern_type]::DOUBLE, 6) AS emphasized FROM patterns",
 }
