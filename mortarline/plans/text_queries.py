@@ -175,14 +175,58 @@ SELECT confidence, {C.boosted_confidence(DUCKDB, "entities", "confidence", "s",
 }
 
 
+def _lenses_sql(rows: str) -> str:
+    """CTEs up to ``events``: every lens event of a subquery's sentences, the rules stated a second time.
+
+    Each distinct sentence meets a table of phrases once: any_x and has_x say
+    whether a phrase of group x stands there as words or as a part, list_x which.
+    """
+    text = DUCKDB.text
+    groups = X.L
+    values = ", ".join(f"({text(key)}, {o}, {text(p)}, {text(r'\b' + re.escape(p).replace(chr(92) + ' ', ' ').replace(chr(92) + '-', '-') + r'\b')})" for key, ps in groups.items() for o, p in enumerate(ps))
+    flags = ", ".join(f"coalesce(bool_or(k = '{key}' AND word), false) AS any_{key}, coalesce(bool_or(k = '{key}'), false) AS has_{key}, coalesce(list(p ORDER BY o) FILTER (WHERE k = '{key}' AND word), []) AS list_{key}" for key in groups)
+    units = "|".join(p.replace(r"(?<=\d)%(?=\s|$)", r"\d%(?:\s|$)") for p in P.UNIT_PATTERNS)
+    any_word = lambda ps: r"\b(" + "|".join(re.escape(p).replace(chr(92) + "-", "-").replace(chr(92) + " ", " ") for p in ps) + r")\b"
+    generic = f"[{', '.join(text(g) for g in P.GENERIC_NAMES)}]"
+    named = lambda *parts: "array_to_string(list_distinct_ordered, '; ')".replace("list_distinct_ordered", " || ".join(f"list_transform(list_filter({array}, lambda x: NOT list_contains({generic}, x)), lambda x: '{kind}:' || x)" for kind, array in parts))
+    tagged = lambda event, *tags: f"array_to_string(list_filter(['{event}', {', '.join(f'CASE WHEN {c} THEN {text(t)} END' for c, t in tags)}], lambda x: x IS NOT NULL), ',')"
+    one = lambda c: f"CASE WHEN {c} THEN 1 ELSE 0 END"
+    level = lambda score, high, med: f"CASE WHEN {score} >= {high} THEN 'high' WHEN {score} >= {med} THEN 'med' ELSE 'low' END"
+    energy = r"\benergy\s+(consumption|use|demand)\b"
+    gap = r"(\W*\b\w+\b){0,7}\W*"
+    saving = f"regexp_matches(sentence, {text(r'\breduc\w*\b' + gap + energy)}) OR regexp_matches(sentence, {text(energy + gap + r'\breduc\w*\b')})"
+    built = "any_climate_materials OR any_climate_systems"
+    standard = f"(has_standards OR regexp_matches(sentence, {text(P.STANDARD_PATTERN)}))"
+    said = "(has_passes OR has_fails OR contains(sentence, 'requirement') OR contains(sentence, 'standard'))"
+    lenses = [
+        ("building_physics", "building_physics_performance", "any_physics", f"CASE WHEN has_physics_bad THEN 'degraded' WHEN has_physics_good OR {saving} THEN 'positive' ELSE 'neutral' END",
+         level(f"2 + {one('any_assemblies')} + {one('number')} + 2 * {one('unit')} + {one('has_measured')}", 6, 3), tagged("building_physics_performance", ("any_assemblies", "has_component"), ("unit", "has_units")), named(("building_component", "list_assemblies[1:5]"), ("physics_metric", "list_physics[1:6]"))),
+        ("climate", "climate_resilience", "any_hazards OR any_resilience", "CASE WHEN has_climate_bad AND has_climate_good THEN 'mixed_hazard' WHEN has_climate_bad THEN 'degraded' WHEN has_climate_good THEN 'improved' WHEN any_hazards THEN 'negative' ELSE 'neutral' END",
+         level(f"2 * {one('any_hazards')} + {one('any_resilience')} + {one('number')} + {one('unit')} + 2 * {one('has_scenarios')} + 2 * {one(built)}", 6, 3), tagged("climate_resilience", ("any_hazards", "has_hazard"), ("contains(sentence, 'rcp') OR contains(sentence, 'ssp')", "climate_scenario"), (built, "construction_climate_interaction")),
+         named(("hazard", "list_hazards[1:6]"), ("resilience_term", "list_resilience[1:4]"), ("material", "list_climate_materials[1:3]"), ("system", "list_climate_systems[1:3]"))),
+        ("compliance", "code_compliance", f"{standard} OR {said}", "CASE WHEN has_passes AND has_fails THEN 'mixed' WHEN has_passes THEN 'successful' WHEN has_fails THEN 'failed' ELSE 'neutral' END",
+         level(f"3 * {one(standard)} + 2 * {one(said)} + {one('number')} + {one('unit')}", 6, 3), tagged("code_compliance", ("has_passes AND NOT has_fails", "pass"), ("has_fails AND NOT has_passes", "fail"), ("has_passes AND has_fails", "mixed")),
+         named(("code_standard", f"CASE WHEN regexp_matches(sentence, {text(P.STANDARD_PATTERN)}) THEN [upper(regexp_extract(sentence, {text(P.STANDARD_PATTERN)}, 1))] WHEN {standard} THEN ['STANDARD'] ELSE [] END"))),
+        ("failure", "failure_analysis", "has_failure_signals OR any_failure_modes OR has_causes", "CASE WHEN any_failure_modes THEN 'failed' WHEN has_causes THEN 'negative' ELSE 'unknown' END",
+         level(f"2 * {one('any_failure_modes')} + 2 * {one('any_failure_drivers')} + {one('has_causes')} + {one('number')} + {one('unit')}", 6, 3), tagged("failure_analysis", ("any_failure_modes", "has_failure_mode"), ("any_failure_drivers", "has_failure_driver"), ("has_causes", "has_causality"), ("unit", "has_units")), named(("failure_mode", "list_failure_modes"), ("failure_driver", "list_failure_drivers[1:5]"))),
+        ("materials", "material_performance", "any_materials AND any_properties OR any_properties AND (unit OR number) OR (any_materials OR any_properties) AND has_tests", "CASE WHEN has_more THEN 'improved' WHEN has_less THEN 'degraded' ELSE 'neutral' END",
+         level(f"2 * {one('any_materials')} + 2 * {one('any_properties')} + {one('number')} + 2 * {one('unit')} + {one('has_more OR has_less')}", 7, 4), tagged("material_performance", ("any_materials", "has_material"), ("any_properties", "has_property"), ("unit", "has_units")), named(("material", "list_materials[1:5]"), ("property", "list_properties[1:6]"))),
+    ]
+    events = " UNION ALL ".join(f"SELECT rows.*, {o} AS o, '{name}' AS lens, '{event}' AS event_type, {raw} AS raw_outcome, {conf} AS confidence, strength AS context_strength, {tags} AS tags, {ents} AS entities FROM rows JOIN flagged USING (sentence) WHERE {when}" for o, (name, event, when, raw, conf, tags, ents) in enumerate(lenses))
+    outcome = "MAP {'improved': 'positive', 'successful': 'positive', 'pass': 'positive', 'positive': 'positive', 'degraded': 'negative', 'failed': 'negative', 'fail': 'negative', 'negative': 'negative', 'neutral': 'neutral', 'mixed': 'neutral', 'mixed_hazard': 'neutral', 'stable': 'neutral', 'unknown': 'unknown'}[raw_outcome]"
+    return f"""WITH rows AS (SELECT *, row_number() OVER () AS row_id FROM ({rows}) AS q), texts AS (SELECT DISTINCT sentence FROM rows),
+phrases(k, o, p, pattern) AS (VALUES {values}), met AS (SELECT sentence, k, o, p, regexp_matches(sentence, pattern) AS word FROM texts LEFT JOIN phrases ON contains(sentence, p)),
+counted AS (SELECT sentence, {flags}, regexp_matches(sentence, '\\b[0-9]+([.][0-9]+)?\\b') AS number, regexp_matches(sentence, {text(units)}) AS unit FROM met GROUP BY sentence),
+flagged AS (SELECT *, CASE WHEN number AND unit OR regexp_matches(sentence, {text(any_word(P.STRONG_RESULT_TERMS))}) AND (number OR unit) THEN 'strong' WHEN number OR unit OR regexp_matches(sentence, {text(any_word(P.MODERATE_CONTEXT_TERMS))}) THEN 'moderate' ELSE 'weak' END AS strength FROM counted),
+raw AS ({events}), events AS (SELECT *, {outcome} AS outcome, 0.9 AS source_weight FROM raw)"""
+
+
 def _lens_query(name: str) -> None:
     def query(spark: SparkSession, d: str) -> DataFrame:
         return X.apply_lens(corpus(spark, d), name).groupBy("event_type", "outcome", "raw_outcome", "confidence", "context_strength", "tags", "entities").agg(F.count("*").alias("n"))
 
-    c = X.lens_columns(DUCKDB, name, "sentence")
-    keys = ("event_type", "outcome", "raw_outcome", "confidence", "context_strength", "tags", "entities")
     QUERIES[f"lens_{name}"] = query
-    ORACLES[f"lens_{name}"] = f"SELECT {', '.join(f'{c[k]} AS {k}' for k in keys)}, count(*) AS n FROM ({_LOW}) AS s WHERE {X.lens(DUCKDB, name, 'sentence')['trigger']} GROUP BY ALL"
+    ORACLES[f"lens_{name}"] = f"{_lenses_sql(_LOW)} SELECT event_type, outcome, raw_outcome, confidence, context_strength, tags, entities, count(*) AS n FROM events WHERE lens = '{name}' GROUP BY ALL"
 
 
 for _n in X.LENSES:
@@ -200,22 +244,14 @@ def lens_events_on_pages(spark: SparkSession, d: str) -> DataFrame:
     return X.lens_stack(rows).groupBy("lens", "outcome", "confidence").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 
 
-def _stack_sql(rows: str) -> str:
-    parts = []
-    for i, name in enumerate(X.LENSES):
-        c = X.lens_columns(DUCKDB, name, "sentence")
-        parts.append(f"SELECT r.*, {i} AS o, {', '.join(f'{c[k]} AS {k}' for k in ('lens', 'confidence', 'context_strength', 'source_weight', 'outcome'))} FROM rows r WHERE {X.lens(DUCKDB, name, 'sentence')['trigger']}")
-    return f"WITH rows AS (SELECT *, row_number() OVER () AS row_id FROM ({rows}) AS q), events AS ({' UNION ALL '.join(parts)})"
-
-
 QUERIES["multi_lens_stack"] = multi_lens_stack
 QUERIES["lens_events_on_pages"] = lens_events_on_pages
-ORACLES["unmatched_by_lenses"] = f"""{_stack_sql(f"SELECT lower(unnest({C.sentences(DUCKDB, 'chunk_text')})) AS sentence FROM chunks")},
+ORACLES["unmatched_by_lenses"] = f"""{_lenses_sql(f"SELECT lower(unnest({C.sentences(DUCKDB, 'chunk_text')})) AS sentence FROM chunks")},
 ranked AS (SELECT row_id, lens, row_number() OVER (PARTITION BY row_id ORDER BY CASE confidence WHEN 'high' THEN 3 WHEN 'med' THEN 2 ELSE 1 END DESC, CASE context_strength WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END DESC, o) AS p FROM events)
 SELECT e.lens, count(*) AS n FROM rows r LEFT JOIN ranked e ON e.row_id = r.row_id AND e.p = 1 GROUP BY 1"""
-ORACLES["multi_lens_stack"] = f"""{_stack_sql(_LOW)}
+ORACLES["multi_lens_stack"] = f"""{_lenses_sql(_LOW)}
 SELECT rank, lens, confidence, context_strength, count(*) AS n FROM (
   SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY source_weight DESC, CASE confidence WHEN 'high' THEN 3 WHEN 'med' THEN 2 ELSE 1 END DESC, CASE context_strength WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END DESC, o) AS rank
   FROM events) AS e GROUP BY 1, 2, 3, 4"""
-ORACLES["lens_events_on_pages"] = f"""{_stack_sql(f"SELECT doc_id, lower(unnest({C.sentences(DUCKDB, 'chunk_text')})) AS sentence FROM chunks")}
+ORACLES["lens_events_on_pages"] = f"""{_lenses_sql(f"SELECT doc_id, lower(unnest({C.sentences(DUCKDB, 'chunk_text')})) AS sentence FROM chunks")}
 SELECT lens, outcome, confidence, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM events GROUP BY 1, 2, 3"""
