@@ -93,8 +93,8 @@ def measurements_by_type_unit(spark: SparkSession, d: str) -> DataFrame:
 
 def construction_events(spark: SparkSession, d: str) -> DataFrame:
     rows = corpus(spark, d).select("doc_id", F.lower("sentence").alias("s"))
-    kept = rows.where(F.expr(f"NOT {C.boilerplate(SPARK, 's')} AND NOT {C.climate_row(SPARK, 's')}"))
-    return kept.select("doc_id", F.expr(C.construction_event(SPARK, "s")).alias("event_type")).where("event_type is not null").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
+    kind = F.expr(f"CASE WHEN NOT {C.boilerplate(SPARK, 's')} AND NOT {C.climate_row(SPARK, 's')} THEN {C.construction_event(SPARK, 's')} END")
+    return exploded(rows, F.array(kind), "event_type", "doc_id").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 
 
 def boilerplate_filtered(spark: SparkSession, d: str) -> DataFrame:
@@ -154,14 +154,33 @@ for _q in (method_tag_counts, gate_comparison, measurements_by_type_unit, constr
     QUERIES[_q.__name__] = _q
 
 _LOW = lower_corpus_sql(DUCKDB)
+
+
+def _construction_sql(rows: str) -> str:
+    """CTEs up to ``judged``: event type, boilerplate and climate_row of a subquery's distinct sentences, the rules stated a second time."""
+    text = DUCKDB.text
+    any_of = lambda ps: f"regexp_matches(s, {text('|'.join(re.escape(p).replace(chr(92) + '-', '-').replace(chr(92) + ' ', ' ') for p in ps))})"
+    pairs = [(-1, "climate_load", P.CLIMATE_TERMS, P.BUILDING_CONTEXT), *((o, *rule) for o, rule in enumerate(P.CONSTRUCTION_EVENTS))]
+    values = ", ".join(f"({o}, '{name}', '{side}', {text(p)})" for o, name, first, near in pairs for side, ps in (("first", first), ("near", near)) for p in ps)
+    listed = lambda ps: f"[{', '.join(map(text, ps))}]"
+    return f"""WITH rows AS (SELECT * FROM ({rows}) AS q), texts AS (SELECT DISTINCT sentence, sentence AS s FROM rows), rules(o, name, side, p) AS (VALUES {values}),
+found AS (SELECT sentence, o, name FROM texts JOIN rules ON contains(s, p) GROUP BY 1, 2, 3 HAVING count(DISTINCT side) = 2), events AS (SELECT sentence, arg_min(name, o) AS event_type FROM found GROUP BY 1),
+cut AS (SELECT *, string_split_regex(s, '\\s+') AS parts, list_filter(list_transform(string_split_regex(s, '\\s+'), lambda x: trim(x, '.,;:()[]{{}}')), lambda x: x <> '') AS tokens FROM texts),
+told AS (SELECT *, len(list_filter(tokens, lambda x: regexp_matches(x, '^-?[0-9]*([.][0-9]+|[0-9][.]?[0-9]*)$'))) AS numbers, len(list_filter({listed(P.MONTHS)}, lambda x: contains(s, x))) AS months, {any_of(P.BUILDING_CONTEXT)} AS building, s LIKE '%climate normals%' AS normals,
+  len(list_filter({listed(P.BOILERPLATE_WORDS)}, lambda x: list_contains(parts, x))) AS stock FROM cut),
+judged AS (SELECT t.sentence, event_type,
+  (normals OR s LIKE '%normales climatiques%') AND NOT building OR {any_of(P.FRONT_MATTER)} OR stock >= 3 AND NOT {any_of(P.ACTION_TERMS)} OR s LIKE '%climate%' AND s LIKE '%pressure%' AND s LIKE '%temperature%' AND s LIKE '%humidity%' AS boilerplate,
+  normals AND NOT building AND (numbers >= 3 AND len(tokens) <= 18 OR months >= 2 AND numbers >= 1 OR {any_of(P.CLIMATE_PLACES)} AND numbers >= 1 AND len(tokens) <= 12 OR (s LIKE '%table%' OR s LIKE '%normal%') AND numbers >= 2) AS climate_row
+  FROM told t LEFT JOIN events USING (sentence))"""
+
+
 ORACLES |= {
     "method_tag_counts": f"SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM ({_LABELS}) AS l) AS t GROUP BY tag",
     "gate_comparison": f"SELECT {C.signal_gate(DUCKDB, 'sentence', 'tags', 'decision', 'has_measurement')} AS engine_gate, {C.phrase_gate(DUCKDB, 'sentence')} AS phrase_gate, count(*) AS n FROM ({_LABELS}) AS l GROUP BY ALL",
     "measurements_by_type_unit": f"""SELECT p[1] AS measurement_type, p[3] AS unit, count(*) AS n, min(p[2]::DOUBLE) AS lowest, max(p[2]::DOUBLE) AS highest
 FROM (SELECT string_split(m, '|') AS p FROM (SELECT unnest({C.measurements(DUCKDB, "sentence")}) AS m FROM ({_LOW}) AS s) AS u) AS q GROUP BY 1, 2""",
-    "construction_events": f"""SELECT event_type, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, {C.construction_event(DUCKDB, "sentence")} AS event_type FROM ({_LOW}) AS s
-WHERE NOT {C.boilerplate(DUCKDB, "sentence")} AND NOT {C.climate_row(DUCKDB, "sentence")}) AS e WHERE event_type IS NOT NULL GROUP BY 1""",
-    "boilerplate_filtered": f"SELECT {C.boilerplate(DUCKDB, 'sentence')} AS boilerplate, {C.climate_row(DUCKDB, 'sentence')} AS climate_row, count(*) AS n FROM ({_LOW}) AS s GROUP BY ALL",
+    "construction_events": f"{_construction_sql(_LOW)} SELECT event_type, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM rows JOIN judged USING (sentence) WHERE NOT boilerplate AND NOT climate_row AND event_type IS NOT NULL GROUP BY 1",
+    "boilerplate_filtered": f"{_construction_sql(_LOW)} SELECT boilerplate, climate_row, count(*) AS n FROM rows JOIN judged USING (sentence) GROUP BY ALL",
     "document_sentences": f"""SELECT source, sum(len(a))::BIGINT AS n_sentences, count(*) FILTER (WHERE len(a) > 0) AS n_docs, max(len(a)) - 1 AS last_position
 FROM (SELECT source, {C.sentences(DUCKDB, "text")} AS a FROM documents) AS s GROUP BY source""",
     "abstract_sentences": r"SELECT lang, sum(len(a))::BIGINT AS n_sentences, max(len(a)) AS most FROM (SELECT lang, regexp_extract_all(text, '[^.!?]*[^.!?\s][^.!?]*') AS a FROM documents) AS q GROUP BY lang",
